@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tamis.llm.topk_search import topk_search
+from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.shipping import ship
 
 
@@ -19,8 +20,13 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,6 +43,27 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
     """,
+    "op2_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), n AS (
+            SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM v
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+        ), c AS (
+            SELECT a, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT c.a AS vec_id, CAST((SELECT count(*) FROM link WHERE link.a = c.a) AS BIGINT) AS n_links, component_id, c.a = component_id AS kept FROM c
+    """,
 }
 
 
