@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tamis.llm.topk_search import topk_search
 from tamis.llm.embedding_dedup import embedding_near_duplicates
+from tamis.llm.secrets import scan_secrets
 from tamis.shipping import ship
 
 
@@ -24,9 +25,21 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """Path of a rank file and the pattern that splits text before its merges."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"), *tokenizer())
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
