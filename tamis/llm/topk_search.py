@@ -21,7 +21,7 @@ from tamis.llm.common import stash
 
 LEVELS = 24
 #: Fractions of the highest impact at which a walk asks for a proof.
-THRESHOLDS = (0.12, 0.06, 0.03, 0.015, 0.0)
+THRESHOLDS = (0.05, 0.03, 0.015, 0.0)
 _BLOCK = "block int, n int, d int, ids binary, cells binary"
 
 
@@ -58,6 +58,7 @@ class ImpactIndex:
         level = size // self.step
         self.order = np.argsort(-level, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(cells.T, self.order, axis=1).astype(np.float64)
+        self.most, self.float_cells = int(size.max(initial=0)), cells.astype(np.float64)
         # ends[j, l]: postings of dimension j with a level above l, that is, the end of its segments above l
         self.ends = np.stack([np.searchsorted(-level[o, j], -np.arange(LEVELS + 1), side="left") for j, o in enumerate(self.order)]) if self.d else np.zeros((0, LEVELS + 1), int)
 
@@ -65,39 +66,38 @@ class ImpactIndex:
         """The k best (scores, ids) by score, then smaller id, without the id `own`; all, if fewer."""
         q = np.concatenate([q, np.zeros(max(0, self.d - len(q)), np.int64)])[: self.d]
         weight = np.abs(q).astype(np.float64)
-        acc, seen, at = np.zeros(self.n), np.zeros(self.n, np.int32), np.zeros(self.d, int)
         best = weight.max(initial=0) * LEVELS * self.step
-        maybe = others = self.ids != own
-        for part in THRESHOLDS if best else ():
+        others = maybe = self.ids != own
+        # one accumulator holds the partial score and, in units above any score, the number of dimensions seen
+        unit = 2.0 ** math.ceil(math.log2(2 * self.d * weight.max(initial=0) * self.most + 2)) if self.d else 1.0
+        exact = unit * max(1, self.d) < 2.0**52
+        scored = (lambda rows: (self.float_cells[rows] @ q.astype(np.float64)).astype(np.int64)) if exact else (lambda rows: self.cells[rows] @ q)
+        acc, at = np.zeros(self.n), np.zeros(self.d, int)
+        for part in THRESHOLDS if best and exact else ():
             t = part * best
             # a segment of level l has values up to (l + 1) * step - 1 and is due once its impact exceeds t
-            due = np.floor(t / np.maximum(weight, 1e-9) / self.step).astype(np.int64)
-            due = np.clip(due, 0, LEVELS) if t else np.full(self.d, -1)
+            due = np.clip(np.floor(t / np.maximum(weight, 1e-9) / self.step), 0, LEVELS).astype(np.int64) if t else np.full(self.d, -1)
             for j in np.flatnonzero(weight):
                 to = self.ends[j, due[j]] if due[j] >= 0 else self.n
                 if to > at[j]:
-                    rows = self.order[j, at[j] : to]
-                    acc[rows] += q[j] * self.values[j, at[j] : to]
-                    seen[rows] += 1
+                    acc[self.order[j, at[j] : to]] += self.values[j, at[j] : to] * q[j] + unit
                     at[j] = to
-            if due.max(initial=-1) < 0:
-                gain = np.zeros(self.n)
-            else:
-                rest = weight * (np.minimum(due, LEVELS) + 1) * self.step
-                rest[at >= self.n] = 0
-                gain = np.minimum((self.d - seen) * rest.max(initial=0), rest.sum())
+            seen = np.rint(acc / unit)
+            bound = acc - seen * unit
+            rest = weight * (due + 1) * self.step
+            rest[at >= self.n] = 0
+            bound += np.minimum((np.count_nonzero(weight) - seen) * rest.max(initial=0), rest.sum())
             # the k-th best of some exact scores is a bound that the k-th best of all reaches
             some = np.flatnonzero(others)
             if len(some) > 4 * k:
-                some = some[np.argpartition(-acc[some], 4 * k)[: 4 * k]]
-            exact = np.sort(self.cells[some] @ q)[::-1]
-            if len(exact) < k:
+                some = some[np.argpartition(-bound[some], 4 * k)[: 4 * k]]
+            if len(some) < k:
                 break
-            maybe = others & (acc + gain >= exact[k - 1])
-            if maybe.sum() <= max(8 * k, self.n // 100):
+            maybe = others & (bound >= np.sort(scored(some))[-k])
+            if np.count_nonzero(maybe) <= max(8 * k, self.n // 16):
                 break
         rows = np.flatnonzero(maybe)
-        scores, ids = self.cells[rows] @ q, self.ids[rows]
+        scores, ids = scored(rows), self.ids[rows]
         top = np.lexsort((ids, -scores))[:k]
         return scores[top], ids[top]
 
