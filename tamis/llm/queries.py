@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tamis.llm.topk_search import topk_search
 from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.llm.secrets import scan_secrets
+from tamis.llm.line_dedup import drop_boilerplate
 from tamis.shipping import ship
 
 
@@ -36,10 +37,15 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"), *tokenizer())
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents"), host_col="source").select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_line_dedup": op4_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -77,6 +83,27 @@ ORACLES: dict[str, str] = {
         )
         SELECT c.a AS vec_id, CAST((SELECT count(*) FROM link WHERE link.a = c.a) AS BIGINT) AS n_links, component_id, c.a = component_id AS kept FROM c
     """,
+    "op4_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents
+        ), often AS (
+            SELECT source, line, count(DISTINCT doc_id) AS n FROM lines WHERE line <> '' GROUP BY ALL
+        ), total AS (
+            SELECT source, count(*) AS pages FROM documents GROUP BY source
+        ), gone AS (
+            SELECT o.source, list(o.line) AS drop_lines
+            FROM often o JOIN total t ON o.source IS NOT DISTINCT FROM t.source
+            WHERE o.n >= 3 AND o.n > 0.08::DOUBLE * t.pages
+            GROUP BY o.source
+        ), met AS (
+            SELECT d.doc_id, d.source, d.text, string_split(d.text, chr(10)) AS l,
+                   list_filter(string_split(d.text, chr(10)), lambda x: NOT coalesce(list_contains(g.drop_lines, x), false)) AS k
+            FROM documents d LEFT JOIN gone g ON d.source IS NOT DISTINCT FROM g.source
+        )
+        SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, chr(10)), '') END AS text,
+               CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(l) - len(k), 0) AS BIGINT) AS n_dropped
+        FROM met
+    """,
 }
 
 
