@@ -32,7 +32,8 @@ FAMILIES = {
 }
 
 _LETTER = re.compile(r"[^\W\d_]")
-_OTHER = re.compile(rb"[\x00-@\[-`{-\x7f]+")
+#: Every other ASCII byte becomes a space.
+_SPACED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def family_of(lang: str) -> str:
@@ -40,11 +41,12 @@ def family_of(lang: str) -> str:
 
 
 def counts(text: str) -> np.ndarray:
-    """Hashed trigram counts of the lower-cased text, with runs of other ASCII characters read as one space."""
-    b = np.frombuffer(b" " + _OTHER.sub(b" ", text.lower().encode("utf-8", "replace")) + b" ", np.uint8).astype(np.uint32)
+    """Hashed trigram counts of the lower-cased text, with other ASCII characters read as spaces."""
+    b = np.frombuffer(b" " + text.lower().encode("utf-8", "replace").translate(_SPACED) + b" ", np.uint8).astype(np.uint32)
     if len(b) < 3:
         return np.zeros(DIMENSIONS)
     h = (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761)
+    h = h[(b[:-2] != 32) | (b[1:-1] != 32)]  # not within a gap
     return np.bincount(h >> np.uint32(19), minlength=DIMENSIONS).astype(np.float64)
 
 
@@ -60,9 +62,9 @@ def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60)
     step = 1 / (1 + 2 * c * 2)
     for k in range(rounds):
         v = w + k / (k + 3) * (w - prev)
-        hinge = np.maximum(0, 1 - y * (x @ v[:-1] + v[-1]))
+        hinge = np.maximum(0, 1 - y * (x @ v[:-1].astype(x.dtype) + v[-1]))
         g = -2 * c * weight * hinge * y
-        prev, w = w, v - step * (v * np.append(np.ones(x.shape[1]), 0) + np.append(x.T @ g, g.sum()))
+        prev, w = w, v - step * (v * np.append(np.ones(x.shape[1]), 0) + np.append(g.astype(x.dtype) @ x, g.sum()))
     return w
 
 

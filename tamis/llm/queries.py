@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamis.llm.topk_search import topk_search
 from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.llm.secrets import scan_secrets
 from tamis.llm.line_dedup import drop_boilerplate
+from tamis.llm.language_id import identify_languages
 from tamis.shipping import ship
 
 
@@ -41,11 +43,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(table(spark, sf_dir, "documents"), host_col="source").select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def held_out() -> Column:
+    """Rows that no model learns from."""
+    return F.coalesce(F.expr("crc32(cast(doc_id AS string)) % 3 = 1"), F.lit(False))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_line_dedup": op4_line_dedup,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLES: dict[str, str] = {
