@@ -12,6 +12,7 @@ from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.llm.secrets import scan_secrets
 from tamis.llm.line_dedup import drop_boilerplate
 from tamis.llm.language_id import identify_languages
+from tamis.llm.byte_bpe import encode_documents
 from tamis.shipping import ship
 
 
@@ -53,12 +54,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), *tokenizer(), digests=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op7_language_id": op7_language_id,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
