@@ -13,6 +13,7 @@ from tamis.llm.secrets import scan_secrets
 from tamis.llm.line_dedup import drop_boilerplate
 from tamis.llm.language_id import identify_languages
 from tamis.llm.byte_bpe import encode_documents
+from tamis.llm.mixing import mix_sources
 from tamis.shipping import ship
 
 
@@ -58,6 +59,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), *tokenizer(), digests=True)
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("copies")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -65,6 +70,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_source_mixing": op9_source_mixing,
 }
 
 ORACLES: dict[str, str] = {
