@@ -14,6 +14,7 @@ from tamis.llm.line_dedup import drop_boilerplate
 from tamis.llm.language_id import identify_languages
 from tamis.llm.byte_bpe import encode_documents
 from tamis.llm.mixing import mix_sources
+from tamis.llm.quality import score_quality
 from tamis.shipping import ship
 
 
@@ -63,6 +64,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("copies")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    scored = score_quality(documents, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -71,6 +78,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_source_mixing": op9_source_mixing,
+    "op6_quality": op6_quality,
 }
 
 ORACLES: dict[str, str] = {
