@@ -15,6 +15,7 @@ from tamis.llm.language_id import identify_languages
 from tamis.llm.byte_bpe import encode_documents
 from tamis.llm.mixing import mix_sources
 from tamis.llm.quality import score_quality
+from tamis.llm.url_filter import filter_urls, host_of
 from tamis.shipping import ship
 
 
@@ -70,6 +71,25 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """The dated list that op10 applies: by a rule over the hosts of the pages (a number k from length and first letter), adds, removals and additions again of hosts, and one path prefix for each registered domain."""
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host IS NOT NULL").distinct()
+    k = (F.length("host") * 7 + F.ascii("host")) % 10
+    day = lambda n: F.timestamp_seconds(F.lit(1704067200) + F.lit(86400) * n)
+    entry = lambda domain, prefix, action, at: F.struct(domain.alias("domain"), F.lit(prefix).alias("prefix"), F.lit(action).alias("action"), at.alias("listed_at"))
+    host, n = F.col("host"), F.col("k") * 31
+    own = hosts.withColumn("k", k).where("k < 4").select(F.inline(F.array(entry(host, "/", "add", day(n)), entry(host, "/", "remove", day(n + 120)), entry(host, "/", "add", day(n + 300)))))
+    top = hosts.select(F.substring_index("host", ".", -2).alias("host")).distinct()
+    return own.unionByName(top.select(F.inline(F.array(entry(host, "/de/", "add", day(F.lit(60))), entry(host, "/de/", "remove", day(F.lit(400)))))))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 79193, F.lit(63072000))))
+    found = filter_urls(captures, dated_entries(pages))
+    return found.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -79,6 +99,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_source_mixing": op9_source_mixing,
     "op6_quality": op6_quality,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -137,6 +158,37 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(l) - len(k), 0) AS BIGINT) AS n_dropped
         FROM met
     """,
+    "op10_url_filter": """
+        WITH p AS (
+            SELECT page_id, nullif(rtrim(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.'), '') AS host,
+                   regexp_replace(regexp_replace(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*', ''), '[?#].*$', '') AS path,
+                   TIMESTAMP '2024-01-01 00:00:00' + to_seconds((page_id * 79193) % 63072000) AS fetched_at
+            FROM pages
+        ), h AS (
+            SELECT DISTINCT host, (length(host) * 7 + ascii(host)) % 10 AS k FROM p WHERE host IS NOT NULL
+        ), t AS (
+            SELECT DISTINCT array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS host FROM h
+        ), e AS (
+            SELECT host AS domain, '/' AS prefix, 'add' AS action, k * 31 AS d FROM h WHERE k < 4
+            UNION ALL SELECT host, '/', 'remove', k * 31 + 120 FROM h WHERE k < 4
+            UNION ALL SELECT host, '/', 'add', k * 31 + 300 FROM h WHERE k < 4
+            UNION ALL SELECT host, '/de/', 'add', 60 FROM t
+            UNION ALL SELECT host, '/de/', 'remove', 400 FROM t
+        ), o AS (
+            SELECT domain, prefix, d, max(action) AS action FROM e GROUP BY ALL
+        ), i AS (
+            SELECT domain || prefix AS rule, domain, prefix, action, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(d AS INTEGER)) AS valid_from,
+                   coalesce(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(lead(d) OVER (PARTITION BY domain, prefix ORDER BY d) AS INTEGER)), TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+            FROM o
+        ), m AS (
+            SELECT p.page_id, count(*) AS n, min(rule) AS rule
+            FROM p JOIN i ON i.action = 'add' AND (p.host = i.domain OR ends_with(p.host, '.' || i.domain))
+                         AND starts_with(CASE WHEN p.path = '' THEN '/' ELSE p.path END, i.prefix) AND i.valid_from <= p.fetched_at AND p.fetched_at < i.valid_to
+            GROUP BY p.page_id
+        )
+        SELECT p.page_id, p.host, strftime(p.fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, m.n IS NOT NULL AS blocked, CAST(coalesce(m.n, 0) AS BIGINT) AS n_rules, m.rule AS first_rule
+        FROM p LEFT JOIN m USING (page_id)
+    """,
 }
 
 
