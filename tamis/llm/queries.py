@@ -16,6 +16,7 @@ from tamis.llm.byte_bpe import encode_documents
 from tamis.llm.mixing import mix_sources
 from tamis.llm.quality import score_quality
 from tamis.llm.url_filter import filter_urls, host_of
+from tamis.llm.jaccard_join import jaccard_components
 from tamis.shipping import ship
 
 
@@ -90,6 +91,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fetched_at", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), percent=80, width=5)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -100,6 +105,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op6_quality": op6_quality,
     "op10_url_filter": op10_url_filter,
+    "op5_jaccard_join": op5_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
