@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamis.llm.common import join_small, stash
+
 DIMENSIONS = 8192
 #: Bound of the labelled sample that a model is fitted on, over all languages, and the least per language.
 SAMPLE_ROWS = 3000
@@ -117,10 +119,12 @@ class LanguageModel:
 def labelled_sample(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """At most `rows` documents with a non-null lang and crc32(doc_id) mod 3 not 1: the first of each language by a hash of the id, as doc_id, lang, text."""
     own = documents.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 3 <> 1")
-    langs = max(1, own.select("lang").distinct().count())
-    each = max(LEAST_PER_LANGUAGE, rows // langs)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = own.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("doc_id", "lang").distinct()
+    found = stash(own.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
+    each = max(LEAST_PER_LANGUAGE, rows // max(1, found.count()))
+    # a hash below twice the share that is wanted, so that the ranking meets few rows of any language
+    near = join_small(own.select("doc_id", "lang").withColumn("_u", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)), found, ["lang"], F.col("doc_id")).where(F.col("_u") * F.col("_n") < 2 * each)
+    first = Window.partitionBy("lang").orderBy("_u", "doc_id")
+    ids = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("doc_id", "lang").distinct()
     # ids are bounded by `each` per language
     return own.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
 
