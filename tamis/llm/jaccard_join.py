@@ -229,8 +229,15 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
 
 
 def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """The documents that have the smallest doc_id of their component, one row of each id; all columns stay. Rows with a null id stay as they are."""
-    found = jaccard_components(documents, percent, width)
-    kept = stash(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    left = documents.join(kept, "doc_id", "left_anti")
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+    """The documents that have the smallest doc_id of their component; all columns stay.
+
+    Rows that repeat an id and its text are one document. An id with several texts stays only if no row of it is similar to a
+    document with a smaller id. Rows with a null id stay as they are.
+    """
+    found = stash(jaccard_components(documents, percent, width).select("doc_id", "component_id"), "components")
+    copies = stash(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    twice = stash(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    left = join_small(documents, copies, ["doc_id"], F.col("doc_id"), how="left_anti", row_bytes=16)
+    once = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_anti", row_bytes=16)
+    more = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_semi", row_bytes=16).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(more)
