@@ -33,6 +33,8 @@ _ROW = 1 << 14
 #: Sets with more frequent tokens than this in their prefix may occur from LARGE tokens on; they index them singly.
 PAIRED = 64
 SALTS = 16
+#: Documents whose shingles a task holds at a time.
+SLICE = 256
 
 
 def _least(n: np.ndarray | int, percent: int):
@@ -56,18 +58,17 @@ def _survey(width: int):
     """(doc_id, n, node) of every document, and the rows of a sketch of its task's token counts."""
 
     def survey(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-        for pdf in parts:
-            n, node, waiting = [], [], []
-            for tokens in shingle_sets(pdf["text"].tolist(), width):
-                n.append(len(tokens))
-                node.append(node_of(tokens) if len(tokens) else None)
-                waiting.append(tokens >> np.uint64(64 - SKETCH_BITS))
-            if waiting:
-                sketch += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=1 << SKETCH_BITS)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n": np.array(n, np.int64), "node": pd.array(node, dtype="Int64"), "at": None, "counts": None})
+        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        for whole in parts:
+            for at in range(0, len(whole), SLICE):
+                pdf, n, node = whole.iloc[at : at + SLICE], [], []
+                for tokens in shingle_sets(pdf["text"].tolist(), width):
+                    n.append(len(tokens))
+                    node.append(node_of(tokens) if len(tokens) else None)
+                    np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n": np.array(n, np.int64), "node": pd.array(node, dtype="Int64"), "at": None, "counts": None})
         most = sketch.max()
-        small = sketch.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.int64)
+        small = sketch.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.int32)
         rows = [small[k : k + _ROW] for k in range(0, len(small), _ROW)]
         if most:
             yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "at": range(len(rows)), "counts": [r.tobytes() for r in rows]})
@@ -79,7 +80,7 @@ def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[int, np.ndarray] = {}
     for pdf in parts:
         for at, b in zip(pdf["at"], pdf["counts"], strict=True):
-            sums[at] = sums.get(at, 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16}.get(len(b), np.int64)).astype(np.int64)
+            sums[at] = sums.get(at, 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.int32}[len(b)]).astype(np.int64)
     yield pd.DataFrame({"at": list(sums), "counts": [s.tobytes() for s in sums.values()]}).astype({"at": "int32"})
 
 
@@ -109,9 +110,9 @@ def _postings(sketch, frequent: int, width: int, percent: int):
     def postings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = np.frombuffer(sketch.value, np.int32), set()
         for whole in parts:
-            for at in range(0, len(whole), 1024):
+            for at in range(0, len(whole), SLICE):
                 keys, places, nodes, sizes = [], [], [], []
-                for tokens in shingle_sets(whole["text"].iloc[at : at + 1024].tolist(), width):
+                for tokens in shingle_sets(whole["text"].iloc[at : at + SLICE].tolist(), width):
                     # a set of one token is similar to its copies only
                     if len(tokens) > 1 and (node := node_of(tokens)) not in seen:
                         seen.add(node)
@@ -130,8 +131,8 @@ def _postings(sketch, frequent: int, width: int, percent: int):
 def _sets(width: int):
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in parts:
-            for at in range(0, len(whole), 512):
-                found = [t for t in shingle_sets(whole["text"].iloc[at : at + 512].tolist(), width) if len(t)]
+            for at in range(0, len(whole), SLICE):
+                found = [t for t in shingle_sets(whole["text"].iloc[at : at + SLICE].tolist(), width) if len(t)]
                 yield pd.DataFrame({"node": np.array([node_of(t) for t in found], np.int64), "tokens": [t.tobytes() for t in found]})
 
     return sets
