@@ -22,7 +22,7 @@ from tamis.llm.common import drop, join_small, stash
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 FAN = 64
 _ENDS = 1e-9
 
@@ -113,10 +113,11 @@ def mix_sources(documents: DataFrame, keep: list[str] | None = None, source_col:
     keep = [c for c in (documents.columns if keep is None else keep) if c.lower() not in new]
     sized = with_sizes(documents.select(*(F.col(f"`{c}`") for c in documents.columns if c.lower() not in new)), text_col)
     slim = stash(sized.groupBy(source_col).agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "source-sizes")
-    targets = stash(source_targets(slim.select(source_col, "size"), source_col, weights, most), "source-targets")
-    buckets = max(1, math.ceil((slim.agg(F.sum("rows")).first()[0] or 0) / BUCKET_ROWS))
-    rows = sized.withColumn("_key", _key(source_col)).withColumn("_h", F.xxhash64(text_col)).withColumn("_u", _chance(id_col, "_h")).withColumn("_bucket", F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(buckets)).cast("int"))
-    rows = join_small(rows, targets, ["_key"], F.col("_u"))
+    dealt_to = slim.select(_key(source_col).alias("_key"), F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("_buckets"))
+    targets = stash(source_targets(slim.select(source_col, "size"), source_col, weights, most).join(dealt_to, "_key"), "source-targets")
+    buckets = targets.agg(F.max("_buckets")).first()[0] or 1
+    rows = sized.withColumn("_key", _key(source_col)).withColumn("_h", F.xxhash64(text_col)).withColumn("_u", _chance(id_col, "_h"))
+    rows = join_small(rows, targets, ["_key"], F.col("_u")).withColumn("_bucket", F.pmod(F.xxhash64(id_col, F.lit(3)), F.col("_buckets")).cast("int"))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("_base", F.floor(share).cast("int")).withColumn("_p", share - F.floor(share))
     rows = rows.select(*(F.col(f"`{c}`") for c in keep), "size", "source_size", "target", "_key", "_bucket", "_u", "_h", "_base", "_p", F.col(id_col).alias("_id"))
