@@ -59,7 +59,9 @@ def json_flags(x: Column) -> Column:
 
 def json_records(x: Column, schema: str = CHUNKS) -> Column:
     """A JSON list of records; anything else: an empty one. Missing fields are null."""
-    return F.coalesce(F.from_json(strip_fence(x), schema), F.array().cast(schema))
+    clean = strip_fence(x)
+    # a single object would be read as a list of one
+    return F.coalesce(F.when(F.startswith(clean, F.lit("[")), F.from_json(clean, schema)), F.array().cast(schema))
 
 
 def json_verdicts(x: Column) -> Column:

@@ -756,10 +756,10 @@ def _vectors(spark, sf_dir):
     return e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e.select(F.col("vec_id").alias("id"), "embedding", F.concat(F.lit("passage "), F.col("vec_id").cast("string")).alias("passage"), F.concat(F.lit("flag_"), F.col("label").cast("string")).alias("flag"))
 
 
-@query(f"WITH {_PAIRS_SQL} SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(distance, 6) AS distance FROM r WHERE rank <= 3")
+@query(f"WITH {_PAIRS_SQL} SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(distance, 6) + 0.0 AS distance FROM r WHERE rank <= 3")
 def q_vector_topk(spark, sf_dir):
     queries, passages = _vectors(spark, sf_dir)
-    return V.top_k(queries, passages, 3).withColumn("distance", F.round("distance", 6))
+    return V.top_k(queries, passages, 3).withColumn("distance", F.round("distance", 6) + F.lit(0.0))
 
 
 @query(f"WITH {_PAIRS_SQL}, o AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS rank FROM r WHERE rank <= 4 AND id <> query_id) SELECT query_id, CAST(rank AS INTEGER) AS rank, id FROM o WHERE rank <= 3")
