@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.common import tidy
 from tamis.llm.secrets import load_tokenizer
 
 CHUNK = 16384
@@ -138,14 +139,14 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, chunk: int =
 
     rows = documents.selectExpr(f"cast(`{id_col}` as bigint) AS doc_id", f"`{text_col}` AS text")
     long = F.coalesce(F.length("text") > max(spread, chunk), F.lit(False))
-    short = rows.where(~long).mapInPandas(whole, f"doc_id bigint, {out_type}")
+    short = rows.where(~long).mapInPandas(tidy(whole), f"doc_id bigint, {out_type}")
     texts = rows.where(long).groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     starts = F.sequence(F.lit(0).cast("bigint"), F.length("text").cast("bigint") - 1 - overlap, F.lit(chunk).cast("bigint"))
     chunks = texts.select("doc_id", "digest", "text", F.explode(starts).alias("start")).select("doc_id", "digest", "start", F.expr(f"substring(text, cast(start + 1 AS int), {chunk + overlap})").alias("part"), (F.col("start") + chunk + overlap >= F.length("text")).alias("last"))
-    heads = chunks.repartition("doc_id", "digest", "start").mapInPandas(pretokenise, "doc_id bigint, digest string, start bigint, head binary, tail binary")
+    heads = chunks.repartition("doc_id", "digest", "start").mapInPandas(tidy(pretokenise), "doc_id bigint, digest string, start bigint, head binary, tail binary")
     met = texts.join(heads.withColumnRenamed("doc_id", "d").withColumnRenamed("digest", "g"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))).drop("d", "g")
     met = met.withColumn("text", F.when(F.col("start") == 0, F.col("text")))
     pieces = met.groupBy("doc_id", "digest").applyInPandas(lambda pdf: join_up(pdf.sort_values("start")), "doc_id bigint, digest string, copies bigint, no int, piece string")
-    coded = pieces.repartition("doc_id", "digest", "no").mapInPandas(encode_pieces, "doc_id bigint, digest string, copies bigint, no int, ids binary")
+    coded = pieces.repartition("doc_id", "digest", "no").mapInPandas(tidy(encode_pieces), "doc_id bigint, digest string, copies bigint, no int, ids binary")
     parts = coded.groupBy("doc_id", "digest", "copies").agg(F.array_sort(F.collect_list(F.struct("no", "ids"))).alias("parts"))
-    return short.unionByName(parts.select("doc_id", "copies", "parts").mapInPandas(concatenate, f"doc_id bigint, {out_type}"))
+    return short.unionByName(parts.select("doc_id", "copies", "parts").mapInPandas(tidy(concatenate), f"doc_id bigint, {out_type}"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import components, drop, join_small, local_roots, stash
+from tamis.llm.common import components, drop, join_small, local_roots, stash, tidy
 
 CODE_BITS = 256
 EPS = 5.0
@@ -146,7 +146,7 @@ def _match(tables: list[np.ndarray], threshold: float):
         if kept is not None and len(kept):
             yield from of(kept)
 
-    return match
+    return tidy(match)
 
 
 def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import components, drop, join_small, stash
+from tamis.llm.common import components, drop, join_small, stash, tidy
 from tamis.llm.words import mix, shingle_sets
 
 WIDTH = 5
@@ -73,7 +73,7 @@ def _survey(width: int):
         if most:
             yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "at": range(len(rows)), "counts": [r.tobytes() for r in rows]})
 
-    return survey
+    return tidy(survey)
 
 
 def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,7 +125,7 @@ def _postings(sketch, frequent: int, width: int, percent: int):
                     times = [len(k) for k in keys]
                     yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.repeat(np.array(nodes, np.int64), times), "n": np.repeat(np.array(sizes, np.int32), times), "at": np.concatenate(places).astype(np.int32)})
 
-    return postings
+    return tidy(postings)
 
 
 def _sets(width: int):
@@ -135,7 +135,7 @@ def _sets(width: int):
                 found = [t for t in shingle_sets(whole["text"].iloc[at : at + SLICE].tolist(), width) if len(t)]
                 yield pd.DataFrame({"node": np.array([node_of(t) for t in found], np.int64), "tokens": [t.tobytes() for t in found]})
 
-    return sets
+    return tidy(sets)
 
 
 def _compare(percent: int):
@@ -160,7 +160,7 @@ def _compare(percent: int):
                     hit_b.append(r.b)
             yield pd.DataFrame({"a": np.array(hit_a, np.int64), "b": np.array(hit_b, np.int64)})
 
-    return compare
+    return tidy(compare)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tamis.llm.common import tidy
+
 #: The patterns of the base kinds and the least lengths of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -95,4 +97,4 @@ def scan_secrets(documents: DataFrame, tokenizer_path: str, pattern: str, most_r
             yield done
 
     rows = documents.selectExpr(f"cast(`{id_col}` as bigint) AS doc_id", f"`{text_col}` AS text")
-    return rows.mapInPandas(scan, "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint")
+    return rows.mapInPandas(tidy(scan), "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import stash
+from tamis.llm.common import stash, tidy
 
 LEVELS = 24
 #: Fractions of the highest impact at which a walk asks for a proof.
@@ -115,7 +115,7 @@ def _meet(k: int):
                 size = [len(s) for s, _ in found]
                 yield pd.DataFrame({"query_id": np.repeat(own, size), "vec_id": np.concatenate([i for _, i in found] or [[]]).astype(np.int64), "score": np.concatenate([s for s, _ in found] or [[]]).astype(np.int64)})
 
-    return meet
+    return tidy(meet)
 
 
 def topk_search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 256.0, block_rows: int = 8192, query_rows: int = 2048) -> DataFrame:
