@@ -195,6 +195,22 @@ ORACLES: dict[str, str] = {
         SELECT p.page_id, p.host, strftime(p.fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, m.n IS NOT NULL AS blocked, CAST(coalesce(m.n, 0) AS BIGINT) AS n_rules, m.rule AS first_rule
         FROM p LEFT JOIN m USING (page_id)
     """,
+    "op5_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s, len(ws) < 5 AS short FROM w
+        ), t AS (
+            SELECT doc_id, short, len(s) AS n, unnest(s) AS token FROM s
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, min(a.n) AS n, min(b.n) AS m FROM t a JOIN t b ON a.token = b.token AND a.short = b.short AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), link AS (
+            SELECT a, b FROM p WHERE 100 * c >= 80 * (n + m - c) UNION ALL SELECT b, a FROM p WHERE 100 * c >= 80 * (n + m - c)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = s.doc_id) AS component_id FROM s
+    """,
 }
 
 
