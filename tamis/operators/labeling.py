@@ -53,8 +53,8 @@ def after_position(work: DataFrame, done: int, order_col: str = "pos") -> DataFr
 
 def stop_after_flagged(chunks: DataFrame, most: int, order: str = "seq", flagged: str = "flagged") -> DataFrame:
     """Chunks up to the `most`-th flagged one; all, if there are fewer. Only `most` keys are ranked."""
-    cut = chunks.where(F.col(flagged)).select(order).orderBy(order).limit(most).agg(F.max(order).alias("_cut"), F.count("*").alias("_n")).select(F.when(F.col("_n") >= most, F.col("_cut")).alias("_cut"))
-    return chunks.crossJoin(F.broadcast(cut)).where(F.col("_cut").isNull() | (F.col(order) <= F.col("_cut"))).drop("_cut")  # one row
+    cut = chunks.where(F.col(flagged)).select(order).orderBy(order).limit(most).agg(F.max(order), F.count("*")).first()
+    return chunks.where(F.col(order) <= cut[0]) if cut[1] >= max(1, most) else chunks
 
 
 def quota_status(found: DataFrame, targets: DataFrame) -> DataFrame:
