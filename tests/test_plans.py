@@ -35,13 +35,13 @@ def test_without_context_chunks_stay_plain(spark):
     assert built.seeds is None and all(r["messages"][1]["content"].startswith("text ") for r in built.chats["train"].collect())
 
 
-class Echo:
-    def detect(self, prompt):
-        return FLAGS[0] if "one" in prompt else "nothing I know"
-
-
 def test_evaluation(spark):
     chats = spark.createDataFrame([([("system", "s"), ("user", u), ("assistant", a)],) for u, a in (("one", FLAGS[0]), ("two", "no_flag"), ("one", f"{FLAGS[0]}\n{FLAGS[1]}"))], "messages array<struct<role string, content string>>")
+
+    class Echo:  # local, so that it travels with the plan
+        def detect(self, prompt):
+            return FLAGS[0] if "one" in prompt else "nothing I know"
+
     results = E.predict(chats, Echo, Taxonomy()).cache()
     got = E.evaluate(results)
     m = got["micro"].first()
@@ -51,18 +51,15 @@ def test_evaluation(spark):
     assert stats.first()["count"] == 3 and advice.first()["advice"] == "1024"
 
 
-class Labeller:
-    calls = 0
-
-    def detect(self, prompt):
-        if "hold for" in prompt:
-            return '{"flags": ["b"]}'
-        if "fail" in prompt:
-            raise RuntimeError("down")
-        return '```json\n{"flags": ["a", "b", "zz"]}\n```' if "alpha" in prompt else '{"flags": []}'
-
-
 def test_two_passes_and_resume(spark, tmp_path):
+    class Labeller:
+        def detect(self, prompt):
+            if "hold for" in prompt:
+                return '{"flags": ["b"]}'
+            if "fail" in prompt:
+                raise RuntimeError("down")
+            return '```json\n{"flags": ["a", "b", "zz"]}\n```' if "alpha" in prompt else '{"flags": []}'
+
     packages = spark.createDataFrame([("r1", "alpha one\n\nbeta"), ("r2", " \n"), ("r3", "fail here"), ("r4", "alpha four")], "rfp_id string, text string")
     vocabulary = {"a": "first", "b": "second"}
     path = f"file://{tmp_path}/answers"
