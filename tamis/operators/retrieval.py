@@ -40,14 +40,23 @@ def hashed_embedding(x: Column, dimensions: int = 64) -> Column:
 def top_k(queries: DataFrame, passages: DataFrame, k: int = 3, exclude_self: bool = False, block_rows: int = 8192, query_rows: int = 4096) -> DataFrame:
     """(query_id, rank, id, distance): the k passages (id bigint, embedding) with the smallest cosine distance to each query (query_id bigint, embedding), ties by id; fewer if the store is small. exclude_self leaves out the passage whose id is the query's. Vectors of zeros are at distance 1."""
 
+    def as_block(block: int, some: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack([np.asarray(v, np.float64) for v in some["embedding"]])
+        return pd.DataFrame({"block": [block], "n": [len(some)], "ids": [some["id"].to_numpy(np.int64).tobytes()], "x": [x.tobytes()]})
+
     def pack(rows: int):
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            waiting: dict[int, list[pd.DataFrame]] = {}
             for pdf in parts:
                 for block, own in pdf.groupby("block"):
-                    for at in range(0, len(own), rows):
-                        some = own.iloc[at : at + rows]
-                        x = np.stack([np.asarray(v, np.float64) for v in some["embedding"]])
-                        yield pd.DataFrame({"block": [block], "n": [len(some)], "ids": [some["id"].to_numpy(np.int64).tobytes()], "x": [x.tobytes()]})
+                    kept = waiting.setdefault(block, [])
+                    kept.append(own)
+                    if sum(map(len, kept)) >= rows:
+                        whole = pd.concat(waiting.pop(block))
+                        for at in range(0, len(whole), rows):
+                            yield as_block(block, whole.iloc[at : at + rows])
+            for block, kept in waiting.items():
+                yield as_block(block, pd.concat(kept))
 
         return run
 
