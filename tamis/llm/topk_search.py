@@ -33,16 +33,27 @@ def quantise(vectors: DataFrame, id_col: str, vec_col: str, scale: float = 256.0
 
 
 def _pack(rows: int):
+    """Rows (block, vec_id, v) as blocks of up to `rows` rows, gathered over Arrow batches, the last of a block perhaps smaller."""
+
+    def packed(block: int, some: pd.DataFrame) -> pd.DataFrame:
+        d = max(map(len, some["v"]))
+        cells = np.zeros((len(some), d), np.int64)
+        for k, v in enumerate(some["v"]):
+            cells[k, : len(v)] = v
+        return pd.DataFrame({"block": [block], "n": [len(some)], "d": [d], "ids": [some["vec_id"].to_numpy(np.int64).tobytes()], "cells": [cells.tobytes()]})
+
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: dict[int, list[pd.DataFrame]] = {}
         for pdf in parts:
             for block, own in pdf.groupby("block"):
-                for at in range(0, len(own), rows):
-                    some = own.iloc[at : at + rows]
-                    d = max(map(len, some["v"]))
-                    cells = np.zeros((len(some), d), np.int64)
-                    for k, v in enumerate(some["v"]):
-                        cells[k, : len(v)] = v
-                    yield pd.DataFrame({"block": [block], "n": [len(some)], "d": [d], "ids": [some["vec_id"].to_numpy(np.int64).tobytes()], "cells": [cells.tobytes()]})
+                kept = waiting.setdefault(block, [])
+                kept.append(own)
+                if sum(map(len, kept)) >= rows:
+                    whole = pd.concat(waiting.pop(block))
+                    for at in range(0, len(whole), rows):
+                        yield packed(block, whole.iloc[at : at + rows])
+        for block, kept in waiting.items():
+            yield packed(block, pd.concat(kept))
 
     return pack
 
