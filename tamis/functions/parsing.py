@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tamis.functions.text import strip
+from tamis.functions.text import let, strip
 from tamis.schemas import CHUNKS, EMPTY_ANSWERS, NO_FLAG, VERDICT, literals
 
 
@@ -19,18 +19,18 @@ def says_nothing(raw: Column) -> Column:
 
 def parse_flags(raw: Column, vocabulary: Column) -> Column:
     """Names of the vocabulary in an answer split at newlines and commas; order and repetitions stay. Null and blank: none."""
-    names = F.transform(F.split(F.coalesce(raw, F.lit("")), "[\n,]+"), strip)
-    return F.when(says_nothing(raw), literals([])).otherwise(F.filter(names, lambda f: F.array_contains(vocabulary, f)))
+    names = lambda r: F.transform(F.split(r, "[\n,]+"), strip)
+    return let(F.coalesce(raw, F.lit("")), lambda r: F.when(says_nothing(r), literals([])).otherwise(F.filter(names(r), lambda f: F.array_contains(vocabulary, f))))
 
 
 def parse_ok(raw: Column, vocabulary: Column) -> Column:
     """An answer that names a flag or says that there is none."""
-    return (F.size(parse_flags(raw, vocabulary)) > 0) | says_nothing(raw)
+    return let(raw, lambda r: says_nothing(r) | (F.size(parse_flags(r, vocabulary)) > 0))
 
 
 def format_ok(raw: Column, vocabulary: Column) -> Column:
     """Stricter, for evaluation: names a flag, or is exactly `no_flag`."""
-    return (F.size(parse_flags(raw, vocabulary)) > 0) | F.coalesce(strip(raw) == NO_FLAG, F.lit(False))
+    return let(raw, lambda r: F.coalesce(strip(r) == NO_FLAG, F.lit(False)) | (F.size(parse_flags(r, vocabulary)) > 0))
 
 
 def render_label(flags: Column) -> Column:

@@ -15,6 +15,11 @@ SPACE = r"(?U)[\s\x1c-\x1f]+"
 TOKENS_PER_WORD = 1.3
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """body(x) with x evaluated once, however often the body names it: expressions with lambdas share no subexpressions, and the optimiser copies what a projection defines into every use of it."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 

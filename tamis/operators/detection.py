@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions.parsing import parse_flags, parse_ok
 from tamis.functions.prompts import chat_template, context_block
+from tamis.functions.text import let
 from tamis.schemas import NO_FLAG, Taxonomy, literals
 
 
@@ -55,11 +56,15 @@ class ServiceDetector:
         raise AssertionError
 
 
+def lexicon_flags(chunk: Column, lexicon: dict[str, str]) -> Column:
+    """The flags whose term the lower-cased chunk contains; a null chunk has none."""
+    terms = lambda low: F.array(*(F.when(F.contains(low, F.lit(term)), F.lit(flag)) for flag, term in lexicon.items()))
+    return F.filter(let(F.lower(F.coalesce(chunk, F.lit(""))), terms), lambda f: f.isNotNull())
+
+
 def lexicon_answer(chunk: Column, lexicon: dict[str, str]) -> Column:
     """A detector without a model, as an expression: the flags whose term the lower-cased chunk contains, a line each, or no_flag."""
-    low = F.lower(chunk)
-    found = F.filter(F.array(*(F.when(F.contains(low, F.lit(term)), F.lit(flag)) for flag, term in lexicon.items())), lambda f: f.isNotNull())
-    return F.when(F.size(found) > 0, F.array_join(found, "\n")).otherwise(F.lit(NO_FLAG))
+    return let(lexicon_flags(chunk, lexicon), lambda found: F.when(F.size(found) > 0, F.array_join(found, "\n")).otherwise(F.lit(NO_FLAG)))
 
 
 def detect_native(chunks: DataFrame, answer: Column, taxonomy: Taxonomy, keep: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from tamis.operators import curation as C
 from tamis.operators import labeling as L
 from tamis.operators import metrics as M
 from tamis.operators import retrieval as V
-from tamis.operators.detection import detect, lexicon_answer, with_prompts
+from tamis.operators.detection import detect, lexicon_answer, lexicon_flags, with_prompts
 from tamis.plans import screening as S
 from tamis.schemas import RUNTIME_TIERS, Screening, Taxonomy, literals
 from tamis.shipping import ship
@@ -119,7 +119,7 @@ RECORDS_SQL = f"""
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as labelled records: pos, rfp_id, chunk_text, flags, confidence, adversarial, validation."""
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("toxic").alias("toxic"))
-    found = P.parse_flags(lexicon_answer(F.col("text"), LEXICON), literals(VOCABULARY))
+    found = lexicon_flags(F.col("text"), LEXICON)
     confidence = F.when(F.col("n_chars") % 3 == 0, "high").when(F.col("n_chars") % 3 == 1, "medium").otherwise("synthetic")
     validation = F.when(F.col("quality") == 0, "dropped").when(F.col("quality") == 1, "keep")
     return documents(spark, sf_dir).join(labels, "doc_id", "left").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("rfp_id"), F.col("text").alias("chunk_text"), found.alias("flags"), confidence.alias("confidence"), F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("adversarial"), validation.alias("validation"))
@@ -204,9 +204,8 @@ RAW_SQL = f"""
 
 
 def _raws(spark, sf_dir):
-    flags = P.parse_flags(lexicon_answer(F.col("text"), LEXICON), literals(VOCABULARY))
     k = F.col("turn") % 5
-    raw = F.when(k == 0, F.array_join(flags, "\n")).when(k == 1, F.concat(F.lit("  "), F.array_join(flags, " , "), F.lit(" ,other"))).when(k == 2, F.lit(" No_Flag ")).when(k == 3, F.lit("None, no_flag")).otherwise(F.col("text"))
+    raw = F.when(k == 0, F.array_join(lexicon_flags(F.col("text"), LEXICON), "\n")).when(k == 1, F.concat(F.lit("  "), F.array_join(lexicon_flags(F.col("text"), LEXICON), " , "), F.lit(" ,other"))).when(k == 2, F.lit(" No_Flag ")).when(k == 3, F.lit("None, no_flag")).otherwise(F.col("text"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", raw.alias("raw"))
 
 
@@ -479,8 +478,8 @@ _RESULTS_SQL = f"""results AS (SELECT doc_id, {lexicon_sql("text", LEXICON)} AS
 def results(spark, sf_dir, weak=True):
     vocabulary = literals(VOCABULARY)
     own = documents(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    raw = lexicon_answer(F.col("text"), WEAK_LEXICON if weak else LEXICON)
-    return own.select("doc_id", P.parse_flags(raw, vocabulary).alias("predicted"), P.parse_flags(lexicon_answer(F.col("text"), LEXICON), vocabulary).alias("ground_truth"), P.format_ok(raw, vocabulary).alias("format_ok"))
+    raw = own.select("doc_id", lexicon_answer(F.col("text"), WEAK_LEXICON if weak else LEXICON).alias("raw"), lexicon_flags(F.col("text"), LEXICON).alias("ground_truth"))
+    return raw.select("doc_id", P.parse_flags(F.col("raw"), vocabulary).alias("predicted"), "ground_truth", P.format_ok(F.col("raw"), vocabulary).alias("format_ok"))
 
 
 @query(f"""
