@@ -178,12 +178,43 @@ def q_chunk_tokens(spark, sf_dir):
     return _digested(documents(spark, sf_dir).select("doc_id", F.posexplode(X.chunk_tokens(CharacterTokenizer, 2000, 200)(F.col("text"))).alias("chunk_index", "chunk_text")))
 
 
-@query()
+# the chunks of paragraph folds: a step per paragraph, all documents at once
+_PARAGRAPHS_SQL = r"""
+        p AS (SELECT doc_id, text, list_transform(string_split(text, chr(10)), lambda x: {'p': x, 'w': list_filter(string_split_regex(x, '\s+'), lambda w: w <> '')}) AS ps FROM documents)"""
+
+
+@query(f"""
+        WITH RECURSIVE {_PARAGRAPHS_SQL}, q AS (SELECT doc_id, list_filter(ps, lambda x: len(x.w) > 0) AS ps FROM p), start AS (
+            SELECT doc_id, 1 AS i, ps, CAST([] AS VARCHAR[]) AS chunks, list_slice(ps, 1, 0) AS cur FROM q
+        ), r AS (
+            SELECT * FROM start
+            UNION ALL
+            SELECT doc_id, i + 1, ps, CASE WHEN over THEN list_append(chunks, array_to_string(list_transform(cur, lambda x: x.p), chr(10))) ELSE chunks END,
+                   list_append(CASE WHEN over THEN list_slice(cur, len(cur) - k + 1, len(cur)) ELSE cur END, ps[i])
+            FROM (SELECT *, len(cur) > 0 AND list_sum(list_transform(cur, lambda x: len(x.w))) + len(ps[i].w) > 400 AS over,
+                         list_max(list_filter(range(0, len(cur) + 1), lambda k: coalesce(list_sum(list_transform(list_slice(cur, len(cur) - k + 1, len(cur)), lambda x: len(x.w))), 0) <= 50)) AS k
+                  FROM r WHERE i <= len(ps))
+        ), done AS (SELECT doc_id, CASE WHEN len(cur) > 0 THEN list_append(chunks, array_to_string(list_transform(cur, lambda x: x.p), chr(10))) ELSE chunks END AS c FROM r WHERE i = len(ps) + 1),
+        chunks AS (SELECT doc_id, CAST(unnest(range(0, len(c))) AS INTEGER) AS chunk_index, unnest(c) AS chunk_text FROM done)
+        """ + _DIGEST_SQL)
 def q_pack_paragraphs(spark, sf_dir):
     return _digested(documents(spark, sf_dir).select("doc_id", F.posexplode(X.pack_paragraphs(F.col("text"), 400, 50, "\n")).alias("chunk_index", "chunk_text")))
 
 
-@query()
+@query(f"""
+        WITH RECURSIVE {_PARAGRAPHS_SQL}, start AS (
+            SELECT doc_id, 1 AS i, ps, CAST([] AS VARCHAR[]) AS chunks, list_slice(ps, 1, 0) AS cur FROM p WHERE list_sum(list_transform(ps, lambda x: len(x.w))) > 300
+        ), r AS (
+            SELECT * FROM start
+            UNION ALL
+            SELECT doc_id, i + 1, ps, list_concat(CASE WHEN flush THEN list_append(chunks, array_to_string(list_transform(cur, lambda x: x.p), chr(10))) ELSE chunks END, CASE WHEN hard THEN list_transform(range(0, len(ps[i].w), 300), lambda j: array_to_string(list_slice(ps[i].w, j + 1, j + 300), ' ')) ELSE [] END),
+                   CASE WHEN hard THEN list_slice(cur, 1, 0) WHEN flush THEN [ps[i]] ELSE list_append(cur, ps[i]) END
+            FROM (SELECT *, len(ps[i].w) > 300 AS hard, len(cur) > 0 AND coalesce(list_sum(list_transform(cur, lambda x: len(x.w))), 0) + len(ps[i].w) > 300 AS flush FROM r WHERE i <= len(ps))
+        ), done AS (
+            SELECT doc_id, CASE WHEN len(cur) > 0 THEN list_append(chunks, array_to_string(list_transform(cur, lambda x: x.p), chr(10))) ELSE chunks END AS c FROM r WHERE i = len(ps) + 1
+            UNION ALL SELECT doc_id, [text] FROM p WHERE list_sum(list_transform(ps, lambda x: len(x.w))) <= 300
+        ), chunks AS (SELECT doc_id, CAST(unnest(range(0, len(c))) AS INTEGER) AS chunk_index, unnest(c) AS chunk_text FROM done)
+        """ + _DIGEST_SQL)
 def q_split_sections(spark, sf_dir):
     return _digested(documents(spark, sf_dir).select("doc_id", F.posexplode(X.split_sections(F.col("text"), 300, "\n")).alias("chunk_index", "chunk_text")))
 
@@ -602,7 +633,7 @@ def q_resume_position(spark, sf_dir):
     return L.after_position(documents(spark, sf_dir), 400, "doc_id").select("doc_id")
 
 
-@query()
+@query("SELECT event_type AS flag, count(*) AS n FROM events GROUP BY event_type")
 def q_stream_quota(spark, sf_dir):
     return event_quotas(spark, sf_dir)
 
@@ -614,13 +645,24 @@ def _ordered_vocabulary():
     return VOCABULARY
 
 
-@query()
+_SEEDS_SQL = f"""
+        WITH RECURSIVE {RECORDS_SQL}, x AS (
+            SELECT pos, CASE confidence WHEN 'high' THEN 0 WHEN 'synthetic' THEN 2 ELSE 1 END AS rank, unnest(flags) AS flag, unnest(range(0, len(flags))) AS place FROM records WHERE NOT adversarial
+        ), c AS (SELECT flag, list(pos ORDER BY rank, pos) AS cands, min(pos * 100 + place) AS first_seen FROM x GROUP BY flag),
+        o AS (SELECT *, row_number() OVER (ORDER BY first_seen) AS k FROM c), g AS (
+            SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken, CAST(NULL AS VARCHAR) AS flag, CAST([] AS BIGINT[]) AS picked
+            UNION ALL
+            SELECT k, list_concat(taken, picked), flag, picked FROM (SELECT o.k, g.taken, o.flag, list_slice(list_filter(o.cands, lambda p: NOT list_contains(g.taken, p)), 1, 2) AS picked FROM g JOIN o ON o.k = g.k + 1)
+        ), seeds AS (SELECT flag, unnest(picked) AS pos FROM g)"""
+
+
+@query(f"{_SEEDS_SQL} SELECT flag, pos FROM seeds")
 def q_seed_select(spark, sf_dir):
     seeds, _ = C.select_seeds(records(spark, sf_dir), 2, _ordered_vocabulary())
     return seeds.select("flag", "pos")
 
 
-@query()
+@query(f"{_SEEDS_SQL} SELECT pos FROM records WHERE pos NOT IN (SELECT pos FROM seeds)")
 def q_remaining(spark, sf_dir):
     _, left = C.select_seeds(records(spark, sf_dir), 2, _ordered_vocabulary())
     return left.select("pos")
@@ -647,7 +689,24 @@ def q_cap_flags(spark, sf_dir):
     return C.cap_flags(records(spark, sf_dir), _CAPS).select("pos")
 
 
-@query()
+@query(f"""
+        WITH RECURSIVE {RECORDS_SQL}, total AS (
+            SELECT list(coalesce(n, 0) ORDER BY i) AS tot FROM (SELECT unnest({VOCABULARY_SQL}) AS flag, unnest(range(0, {len(VOCABULARY)})) AS i) v LEFT JOIN (SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM records) GROUP BY flag) c USING (flag)
+        ),
+        t AS (SELECT count(*) AS n, CAST(floor(count(*) * 10 / CAST(100 AS DOUBLE)) AS BIGINT) AS e FROM records),
+        o AS (
+            SELECT pos, f, tot, n, [n - 2 * e, e, e] AS targets, row_number() OVER (ORDER BY coalesce(list_min(list_transform(f, lambda i: tot[i])), 999999), pos) AS k
+            FROM (SELECT pos, list_transform(flags, lambda x: list_position({VOCABULARY_SQL}, x)) AS f FROM records), total, t
+        ), g AS (
+            SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS pos, 0 AS best, CAST([0, 0, 0] AS BIGINT[]) AS sizes, list_transform(range(0, 21), lambda i: CAST(0 AS BIGINT)) AS counts
+            UNION ALL
+            SELECT k, pos, best, list_transform([1, 2, 3], lambda s: sizes[s] + CASE WHEN s = best THEN 1 ELSE 0 END), list_transform(range(0, 21), lambda i: counts[i + 1] + CASE WHEN i // 7 + 1 = best AND list_contains(f, i % 7 + 1) THEN 1 ELSE 0 END)
+            FROM (SELECT *, CAST(CASE WHEN list_max(scores) IS NULL THEN list_position(room, list_max(room)) ELSE list_position(scores, list_min(scores)) END AS INTEGER) AS best FROM (
+                SELECT o.k, o.pos, o.f, g.sizes, g.counts, list_transform([1, 2, 3], lambda s: o.targets[s] - g.sizes[s]) AS room,
+                       list_transform([1, 2, 3], lambda s: CASE WHEN len(o.f) > 0 AND g.sizes[s] < o.targets[s] THEN list_max(list_transform(o.f, lambda i: g.counts[(s - 1) * 7 + i] / greatest(CAST(o.tot[i] * o.targets[s] AS DOUBLE) / o.n, 1))) END) AS scores
+                FROM g JOIN o ON o.k = g.k + 1))
+        ) SELECT pos, ['train', 'eval', 'test'][best] AS split FROM g WHERE k > 0
+    """)
 def q_stratified_split(spark, sf_dir):
     return C.split_exact(records(spark, sf_dir), "80/10/10")
 
