@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import functools
 import gc
@@ -46,10 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_stashed: dict[str, SparkSession] = {}
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: a cut in the lineage that survives lost executors."""
+    """Write df as Parquet into the shared folder and read it back: a cut in the lineage that survives lost executors. Tables that no drop() has deleted go when the program ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _stashed[path] = spark
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tamis_path = path
@@ -60,10 +65,22 @@ def drop(*tables: DataFrame) -> None:
     """Delete stashed tables that nothing reads any more."""
     for df in tables:
         path = getattr(df, "_tamis_path", None)
-        if path:
-            jvm = df.sparkSession._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+        if path and _stashed.pop(path, None):
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _sweep() -> None:
+    for path, spark in _stashed.items():
+        try:
+            _delete(spark, path)
+        except Exception:  # the session has ended before
+            return
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], salt_by: Column, how: str = "left", row_bytes: int = 64, salts: int = 32) -> DataFrame:
