@@ -14,7 +14,7 @@ _sent: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Add a zip of the package to the session's Python files, once for each application. Arrow batches hold whole texts here, so a session that has Spark's default of 10000 rows a batch gets fewer."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     app = spark.sparkContext.applicationId
     if app in _sent:
         return
