@@ -81,7 +81,16 @@ def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in parts:
         for at, b in zip(pdf["at"], pdf["counts"], strict=True):
             sums[at] = sums.get(at, 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.int32}[len(b)]).astype(np.int64)
-    yield pd.DataFrame({"at": list(sums), "counts": [s.tobytes() for s in sums.values()]}).astype({"at": "int32"})
+    yield pd.DataFrame({"at": list(sums), "counts": [np.minimum(s, 2**31 - 1).astype(np.int32).tobytes() for s in sums.values()]}).astype({"at": "int32"})
+
+
+def _sketch(found: DataFrame) -> tuple[bytes, int]:
+    """The whole count sketch, which has a fixed number of counters whatever the input, and the count above which a token is frequent."""
+    counts = np.zeros(1 << SKETCH_BITS, np.int32)
+    for r in found.where("at IS NOT NULL").select("at", "counts").repartition("at").mapInPandas(_sum_rows, "at int, counts binary").collect():
+        counts[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["counts"], np.int32)
+    mean = counts.mean(dtype=np.float64)
+    return counts.tobytes(), int(mean + 12 * mean**0.5 + 8)
 
 
 def _postings(sketch, frequent: int, width: int, percent: int):
@@ -190,14 +199,9 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     found = stash(rows.mapInPandas(_survey(width), "doc_id bigint, n bigint, node bigint, at int, counts binary"), "survey")
     docs = found.where("at IS NULL").select("doc_id", "n", "node")
-    # the sketch has a fixed number of counters, whatever the input
-    sums = found.where("at IS NOT NULL").select("at", "counts").repartition("at").mapInPandas(_sum_rows, "at int, counts binary").collect()
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in sums:
-        counts[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["counts"], np.int64)
-    mean = counts.mean()
-    frequent = int(mean + 12 * mean**0.5 + 8)
-    sketch = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32).tobytes())
+    counts, frequent = _sketch(found)
+    sketch = spark.sparkContext.broadcast(counts)
+    del counts
     lists = rows.mapInPandas(_postings(sketch, frequent, width, percent), "key bigint, node bigint, n int, at int")
     by = Window.partitionBy("key")
     own = F.struct("node", "n", "at")
