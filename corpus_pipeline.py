@@ -21,12 +21,12 @@ from tamis.llm.queries import tokenizer
 from tamis.shipping import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Documents whose language is less certain than this are rejected; clean documents of the learned languages score above 0.3.
+#: Documents with a lower score are rejected: held-out rows of the learned languages score above 0.3, random letters and unlearned scripts below 0.01.
 LEAST_LANGUAGE_SCORE = 0.1
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters (`und`) or whose language is not told with LEAST_LANGUAGE_SCORE; lang stays as it was."""
+    """Rejects documents without letters (`und`), and those unlike the languages learned or not told with LEAST_LANGUAGE_SCORE; lang stays as it was."""
     ship(spark)
     found = identify_languages(docs.select(*COLUMNS))
     return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)

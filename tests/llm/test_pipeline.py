@@ -1,6 +1,8 @@
 """The pipeline stage by stage against brute force on whole small tables."""
 
 import hashlib
+import random
+import string
 from collections import Counter
 
 import numpy as np
@@ -98,3 +100,20 @@ def test_token_stage(stages):
 def test_run_gives_the_rows_of_the_last_stage(spark):
     n = P.run(spark, SF).count()
     assert n > 100
+
+
+def test_language_stage_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*P.COLUMNS)
+    rng = random.Random(7)
+    letters = lambda n, of: " ".join("".join(rng.choice(of) for _ in range(rng.randint(3, 9))) for _ in range(n))
+    alien = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "人人生而自由,在尊严和权利上一律平等。",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        *(letters(n, string.ascii_lowercase) for n in (10, 50, 300)),
+        *(letters(n, string.ascii_letters) for n in (10, 50, 300)),
+    ]
+    rows = spark.createDataFrame([(8000 + i, t, None, "src1", len(t)) for i, t in enumerate(alien)], docs.schema)
+    got = {r["doc_id"] for r in P.language_id(spark, docs.unionByName(rows), SF).collect()}
+    assert got == {r["doc_id"] for r in docs.collect()}
