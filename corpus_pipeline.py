@@ -33,8 +33,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that are boilerplate of their source; a document of which nothing else remains goes with them. n_chars follows the text."""
-    clean = drop_boilerplate(docs.select(*COLUMNS))
+    """Drops lines that are boilerplate of their source, whose copies of one text count as one page; a document of which nothing else remains goes with them. n_chars follows the text."""
+    clean = drop_boilerplate(docs.select(*COLUMNS), copies_once=True)
     return clean.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")).withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -17,32 +17,36 @@ LEAST_PAGES = 3
 
 
 def _line_key(line: Column) -> Column:
-    """128 bits that stand for a line."""
+    """128 bits that stand for a line, or a text."""
     return F.struct(F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(7), line).alias("h2"))
 
 
-def boilerplate_lines(pages: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, drop array<struct<h1, h2>>): the lines of each host that more than ratio of its pages, and at least least_pages, carry. Empty lines never count."""
+def boilerplate_lines(pages: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
+    """(host, drop array<struct<h1, h2>>): the lines of each host that more than ratio of its pages, and at least least_pages, carry. Empty lines never count. With copies_once, pages of one host with the same text are one page."""
     host = F.col(host_col).alias("host")
-    totals = pages.groupBy(host).agg(F.count("*").alias("pages"))
+    page = [_line_key(F.col(text_col)).alias("page")] if copies_once else []
+    own = pages.select(host, *page)
+    totals = (own.distinct() if copies_once else own).groupBy("host").agg(F.count("*").alias("pages"))
     lines = F.filter(F.array_distinct(F.split(text_col, "\n", -1)), lambda x: x != "")
-    seen = pages.select(host, F.explode(lines).alias("line")).select("host", _line_key(F.col("line")).alias("key"))
+    seen = pages.select(host, *page, F.explode(lines).alias("line")).select("host", _line_key(F.col("line")).alias("key"), *(["page"] if copies_once else []))
+    seen = seen.distinct() if copies_once else seen
     often = seen.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     # null hosts are one host
     common = often.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where(F.col("n") > F.lit(ratio) * F.col("pages"))
     return common.groupBy("host").agg(F.collect_list("key").alias("drop"))
 
 
-def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """The pages with text_col cleared of boilerplate lines, plus n_lines and n_dropped (bigint).
 
     Every row stays, repeated rows included, with all its other columns. A line goes where the pages of the same host that
     carry it are more than `ratio` of the host's pages and at least `least_pages`; a page counts once however often it repeats
-    the line. Lines are split at \\n and rejoined with it; empty lines stay. Null text stays null with 0 lines; null hosts
+    the line, and with copies_once so do all pages of the host with the same text, so that copies alone make no line
+    boilerplate. Lines are split at \\n and rejoined with it; empty lines stay. Null text stays null with 0 lines; null hosts
     form one host; a page of which all lines go has the empty text. An empty table gives no rows. Columns named n_lines or
     n_dropped are replaced.
     """
-    common = stash(boilerplate_lines(pages, host_col, text_col, ratio, least_pages).select(F.coalesce("host", F.lit("")).alias("_host"), F.col("host").isNull().alias("_none"), F.col("drop").alias("_drop")), "boilerplate")
+    common = stash(boilerplate_lines(pages, host_col, text_col, ratio, least_pages, copies_once).select(F.coalesce("host", F.lit("")).alias("_host"), F.col("host").isNull().alias("_none"), F.col("drop").alias("_drop")), "boilerplate")
     names = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
     keyed = pages.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"), F.col(host_col).isNull().alias("_none"))
     met = join_small(keyed, common, ["_host", "_none"], F.xxhash64(text_col), row_bytes=4096)

@@ -117,3 +117,14 @@ def test_language_stage_rejects_what_was_not_learned(spark):
     rows = spark.createDataFrame([(8000 + i, t, None, "src1", len(t)) for i, t in enumerate(alien)], docs.schema)
     got = {r["doc_id"] for r in P.language_id(spark, docs.unionByName(rows), SF).collect()}
     assert got == {r["doc_id"] for r in docs.collect()}
+
+
+def test_a_large_group_of_copies_leaves_one_document(spark):
+    own = [(i, f"line {i} of its own\nthe boiler line\n" + " ".join(f"w{i}x{k}" for k in range(30)), "en", "a", 0) for i in range(20)]
+    copies = [(100 + i, "a clean text that many rows copy\nand its second line of words", "en", "a", 0) for i in range(10)]
+    few = [(200 + i, "three copies in a small source\nthat has no other lines", "en", "b", 0) for i in range(3)]
+    docs = spark.createDataFrame([*own, *copies, *few], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r["doc_id"]: r["text"] for r in P.jaccard_join(spark, P.stash(P.line_dedup(spark, docs, SF), "lines"), SF).collect()}
+    assert sorted(kept) == [*range(20), 100, 200]
+    assert kept[100] == copies[0][1] and kept[200] == few[0][1]
+    assert not any("boiler" in kept[i] for i in range(20))
