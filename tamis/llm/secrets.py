@@ -2,7 +2,8 @@
 
 Text that a public byte-level BPE vocabulary knows packs several characters into a token; keys and passwords do not. A run of
 key characters with few characters per token is reported as `random`, unless it is a digest of a known length, a UUID, a
-number, a date or another plain identifier. What the fixed patterns find is reported in any case.
+number or a date; names, also with a number at the end, are measured by their letters against a stricter limit. What the fixed
+patterns find is reported in any case.
 """
 
 from __future__ import annotations
@@ -30,12 +31,17 @@ RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.IGNORECASE)
 IDENTIFIER = re.compile(
     r"(?:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}"  # UUID
-    r"|[0-9+/_-]+"  # numbers, dates, phone and card numbers, rules
-    r"|[A-Za-z+/_-]+"  # words, paths and names without a digit
+    r"|[0-9+/_-]+)\Z",  # numbers, dates, phone and card numbers, rules
+    re.IGNORECASE,
+)
+#: Names: left out only if their letters read as words, that is at STRICT times the ratio or more.
+NAME = re.compile(
+    r"(?:[A-Za-z+/_-]+"  # words, paths and names without a digit
     r"|[A-Za-z]+[_-]?[0-9]{1,6}|[0-9]{1,6}[A-Za-z]+"  # name and number
     r"|(?:[A-Za-z]+[_/-])+[0-9]{1,6})\Z",  # names joined by marks, and a number
-    re.IGNORECASE,
 )
+STRICT = 0.95
+LETTERS = re.compile(r"[A-Za-z]+")
 
 
 def load_tokenizer(path: str, pattern: str):
@@ -57,14 +63,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
+def is_random(run: str, count_tokens, most_ratio: float) -> bool:
+    """Whether a run of 16 characters and more stays below most_ratio characters per token and is no digest or identifier."""
+    if len(run) < 16 or DIGEST.match(run) or IDENTIFIER.match(run):
+        return False
+    if NAME.match(run):
+        words = LETTERS.findall(run)
+        return sum(map(len, words)) < STRICT * most_ratio * sum(map(count_tokens, words))
+    return len(run) < most_ratio * count_tokens(run)
+
+
 def random_spans(text: str, count_tokens, most_ratio: float) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of runs with a letter and a digit whose characters per token stay below most_ratio."""
+    """(start, kind, end) of runs that are random."""
     if max(map(len, text.split()), default=0) < 16:
         return []
     out = []
     for m in RUN.finditer(text):
         run = m.group().strip("=-_/+")
-        if len(run) >= 16 and not DIGEST.match(run) and not IDENTIFIER.match(run) and len(run) < most_ratio * count_tokens(run):
+        if is_random(run, count_tokens, most_ratio):
             out.append((m.start(), 3, m.end()))
     return out
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -188,3 +189,17 @@ def test_documents_round_trip(spark, spread):
     digests = encode_documents(df, *tokenizer(), chunk=64, overlap=16, spread=spread, digests=True)
     assert sorted((r["ids_sha256"], r["decoded_sha256"]) for r in digests.collect()) == sorted((hashlib.sha256(i).hexdigest(), hashlib.sha256(t).hexdigest()) for _, _, i, t in want)
     assert encode_documents(df.limit(0), *tokenizer()).count() == 0
+
+
+# --- secrets without a digit, and within paths -------------------------------------------------------------------------
+
+
+def test_random_letters_are_found_and_names_are_not():
+    enc, rng = load_tokenizer(*tokenizer()), random.Random(11)
+    found = lambda t: [t[a:b] for a, _, b in random_spans(t, lambda s: len(enc.encode_ordinary(s)), 2.0)]
+    key = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    for of, least in ((string.ascii_letters, 98), (string.ascii_lowercase, 80), (string.ascii_letters + string.digits, 98)):
+        for n in (16, 24, 40):
+            assert sum(found(f"a {k} z") == [k] for k in (key(of, n) for _ in range(100))) >= least
+    for none in ["Kraftfahrzeughaftpflichtversicherung", "anticonstitutionnellement", "getElementsByTagNameFromDocument", "max-line-length-of-a-text", "to/the_training-data/of_all_runs", "release-candidate_20260101", "configuration123456"]:
+        assert found(none) == []
