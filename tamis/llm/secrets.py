@@ -34,6 +34,8 @@ IDENTIFIER = re.compile(
     r"|[0-9+/_-]+)\Z",  # numbers, dates, phone and card numbers, rules
     re.IGNORECASE,
 )
+#: What windows pass over within a run.
+KNOWN = re.compile(r"(?<![0-9a-f])(?:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}|[0-9a-f]{32,128})(?![0-9a-f])", re.IGNORECASE)
 #: Names: left out only if their letters read as words, that is at STRICT times the ratio or more.
 NAME = re.compile(
     r"(?:[A-Za-z+/_-]+"  # words, paths and names without a digit
@@ -41,7 +43,9 @@ NAME = re.compile(
     r"|(?:[A-Za-z]+[_/-])+[0-9]{1,6})\Z",  # names joined by marks, and a number
 )
 STRICT = 0.95
-LETTERS = re.compile(r"[A-Za-z]+")
+#: Windows that find keys glued to words, or with marks of their own in a path: both halves stay below WINDOW_SHARE times the ratio.
+WINDOW, WINDOW_SHARE = 20, 0.9
+LETTERS, PART = re.compile(r"[A-Za-z]+"), re.compile(r"[A-Za-z0-9+]+")
 
 
 def load_tokenizer(path: str, pattern: str):
@@ -73,8 +77,30 @@ def is_random(run: str, count_tokens, most_ratio: float) -> bool:
     return len(run) < most_ratio * count_tokens(run)
 
 
+def random_windows(run: str, count_tokens, most_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of a run that random windows cover: windows with a digit, and letters for half of their characters at least. Digests and UUIDs within the run are passed over."""
+    half, out, ratio = WINDOW // 2, [], {}
+
+    def low(at: int) -> bool:
+        if at not in ratio:
+            parts = PART.findall(run[at : at + half])
+            ratio[at] = sum(map(len, parts)) < WINDOW_SHARE * most_ratio * sum(map(count_tokens, parts))
+        return ratio[at]
+
+    known = [m.span() for m in KNOWN.finditer(run)]
+    for at in range(len(run) - WINDOW + 1):
+        w = run[at : at + WINDOW]
+        letters = sum(c.isalpha() for c in w)
+        if letters * 2 >= WINDOW and any(c.isdigit() for c in w) and low(at) and low(at + half) and not any(a < at + WINDOW and at < b for a, b in known):
+            if out and at <= out[-1][1]:
+                out[-1] = (out[-1][0], at + WINDOW)
+            else:
+                out.append((at, at + WINDOW))
+    return out
+
+
 def random_spans(text: str, count_tokens, most_ratio: float) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of runs that are random."""
+    """(start, kind, end) of runs that are random; where a run as a whole is not, of its parts between `/`, `-` and `_` that are, else of its windows."""
     if max(map(len, text.split()), default=0) < 16:
         return []
     out = []
@@ -82,6 +108,9 @@ def random_spans(text: str, count_tokens, most_ratio: float) -> list[tuple[int,
         run = m.group().strip("=-_/+")
         if is_random(run, count_tokens, most_ratio):
             out.append((m.start(), 3, m.end()))
+        elif not IDENTIFIER.match(run) and not DIGEST.match(run):
+            parts = [p.span() for p in PART.finditer(m.group()) if is_random(p.group().strip("+"), count_tokens, most_ratio)]
+            out += [(m.start() + a, 3, m.start() + b) for a, b in parts or random_windows(m.group(), count_tokens, most_ratio)]
     return out
 
 

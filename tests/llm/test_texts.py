@@ -203,3 +203,16 @@ def test_random_letters_are_found_and_names_are_not():
             assert sum(found(f"a {k} z") == [k] for k in (key(of, n) for _ in range(100))) >= least
     for none in ["Kraftfahrzeughaftpflichtversicherung", "anticonstitutionnellement", "getElementsByTagNameFromDocument", "max-line-length-of-a-text", "to/the_training-data/of_all_runs", "release-candidate_20260101", "configuration123456"]:
         assert found(none) == []
+
+
+def test_keys_in_paths_are_found():
+    enc, rng = load_tokenizer(*tokenizer()), random.Random(12)
+    found = lambda t: [t[a:b] for a, _, b in random_spans(t, lambda s: len(enc.encode_ordinary(s)), 2.0)]
+    of = string.ascii_letters + string.digits
+    for before in ("config/production/settings/", "projects/internal-service/credentials/"):
+        keys = ["".join(rng.choice(of) for _ in range(24)) for _ in range(100)]
+        assert sum(any(k in f for f in found(f"see {before}{k} there")) for k in keys) >= 97
+        marked = ["".join(rng.choice(of + "-_") for _ in range(32)) for _ in range(100)]
+        assert sum(bool(found(f"see {before}{k} there")) for k in marked) >= 90
+    for none in ["projects/internal-service/123e4567-e89b-12d3-a456-426614174000", "archive/2024-01-15/report-number-12", "objects/of/the/repository/of/all/projects/and/their/histories/" + hashlib.sha1(b"x").hexdigest()]:
+        assert found(none) == []
