@@ -8,13 +8,14 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 256
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add a zip of the package to the session's Python files, once for each application. Arrow batches hold whole texts here, so a session that has Spark's default of 10000 rows a batch gets fewer."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    """Add a zip of the package to the session's Python files, once for each application. Arrow batches hold whole texts here and their size can be set for a session only, so a session that has not set BATCH gets BATCH_ROWS rows a batch."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _sent:
         return

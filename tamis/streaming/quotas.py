@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.operators.labeling import not_done
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else f"file://{tempfile.mkdtemp(prefix='tamis-stream-')}"
+from tamis.workspace import shared_dir
 
 
 def count_quotas(stream: DataFrame, path: str, checkpoint: str, flag_col: str = "flag") -> None:
@@ -45,7 +39,7 @@ def label_until(stream: DataFrame, label, path: str, checkpoint: str, key: list[
 
 def event_quotas(spark: SparkSession, folder: str, name: str = "events.parquet", flag_col: str = "event_type") -> DataFrame:
     """(flag, n) of an events table, read as a stream of files."""
-    base = f"{shared_folder(spark)}/quotas-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/quotas-{uuid.uuid4().hex}"
     at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
     schema = spark.read.parquet(f"{folder}/{name}").schema
