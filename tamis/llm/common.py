@@ -3,48 +3,32 @@
 from __future__ import annotations
 
 import atexit
-import ctypes
-import functools
-import gc
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
-#: A side is broadcast only after its rows were counted and their estimated size is below this.
-BROADCAST_BYTES = 32 << 20
-
+from tamis.workspace import shared_dir
 
-def tidy(f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """f, giving memory back to the system when its task ends: Python workers are used again and would keep it."""
+#: A side is broadcast only if its measured size is below this.
+BROADCAST_BYTES = 32 << 20
 
-    @functools.wraps(f)
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        try:
-            yield from f(parts)
-        finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # another C library
-                pass
 
-    return run
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to clash with none that is taken."""
+    low, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in low:
+            name = "_" + name
+        low.add(name.lower())
+        out.append(name)
+    return out
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local runs)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='tamis-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+def cols(names: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
 
 
 _stashed: dict[str, SparkSession] = {}
@@ -83,20 +67,36 @@ def _sweep() -> None:
             return
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], salt_by: Column, how: str = "left", row_bytes: int = 64, salts: int = 32) -> DataFrame:
-    """Join a table with a stashed one that is usually small: broadcast if its counted rows fit BROADCAST_BYTES, else a shuffle join whose keys are salted, so that a hot key is spread over `salts` tasks."""
-    if small.count() * row_bytes <= BROADCAST_BYTES:
+def bytes_of(df: DataFrame) -> int:
+    """What the rows of a written table take in memory: 16 bytes a row, 8 a column, and the contents of strings, binaries and arrays."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for field in df.schema:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType | BinaryType):
+            size += F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(field.dataType, ArrayType):
+            inner = field.dataType.elementType
+            if isinstance(inner, StringType | BinaryType):
+                raise ValueError("arrays of strings are not measured")
+            size += F.greatest(F.size(c), F.lit(0)) * (16 + 8 * len(inner) if isinstance(inner, StructType) else 8)
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def join_small(big: DataFrame, small: DataFrame, on: list[str], salt_by: Column, how: str = "left", salts: int = 32) -> DataFrame:
+    """Join a table with a stashed one that is usually small: broadcast if its measured size is within BROADCAST_BYTES, else a shuffle join whose keys are salted, so that a hot key is spread over `salts` tasks."""
+    if bytes_of(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    (salt,) = unused([*big.columns, *small.columns], "_salt")
+    left = big.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*on, salt], how).drop(salt)
 
 
-def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): one row (node, component_id) for every node that has a link to another; component_id is the smallest node. Alternating large and small stars; hubs are met by grouped minima and joins, never gathered in a task."""
     e = stash(edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u > v").distinct(), "edges")
     before = None
-    for _ in range(most_rounds):
+    while True:  # each round shortens paths, so it ends after about log2 of the longest
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
@@ -110,9 +110,9 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         if sign == before:
             break
         before = sign
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component_id")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component_id"))).distinct()
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component_id")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component_id"))).distinct()
+    out._tamis_path = e._tamis_path
+    return out
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

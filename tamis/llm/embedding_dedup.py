@@ -1,152 +1,267 @@
 """Near-duplicate vectors by randomised-rotation binary codes with stored correction factors.
 
-A vector is normalised, rotated into CODE_BITS dimensions by a seeded random orthonormal map, and kept as the signs of the
-result (o) with its correction factor f = <o / sqrt(D), rotated>. For another rotated vector q, <o, q> / (sqrt(D) * f) is an
-unbiased estimate of the inner product, with an error below EPS * sqrt((1 - f^2) / f^2 / (D - 1)) at the confidence that EPS
-sets; only pairs whose upper bound reaches the threshold are computed again exactly.
-
-Pairs meet in tables keyed by some bits of the code; bits and tables follow from the row count and the miss probability that
-is asked for. A bucket above CELL_ROWS rows is dealt over cells (i, j) of row groups, so no task holds an unbounded bucket,
+A vector is normalised, rotated into CODE_BITS dimensions by a seeded random orthonormal map, and kept as the signs o of the
+result, packed, with its correction factor f = <o / sqrt(D), rotated>. The rotated vector is also kept in QUERY_BITS bits a
+dimension, rounded at random, as bit planes. For a code o and another vector's planes q, <o, q> / (sqrt(D) * f) is an unbiased
+estimate of the inner product: a few population counts of packed words. Its error stays below EPS deviations of the code,
+sqrt((1 - f^2) / f^2 / (D - 1)), and of the rounding, step / 2 / f; only pairs whose upper bound reaches the threshold are
+computed again from the vectors.
+
+Pairs meet in buckets within their label, keyed by signs of further random directions. A label of up to BUCKET_ROWS vectors is
+one bucket; larger ones get log2(rows / BUCKET_ROWS) bits and as many tables as MISS takes, each with directions of its own, so
+that tables are independent at any size. Buckets hold codes only; the vectors of rows that have a candidate are fetched for
+the second step. A bucket above CELL_ROWS rows is dealt over cells (i, j) of row groups, so no task holds an unbounded bucket,
 and no pairs leave a task: only each row's count of links and the smallest row of its part of the cell.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import components, drop, join_small, local_roots, stash, tidy
+from tamis.llm.common import components, drop, join_small, local_roots, stash
 
 CODE_BITS = 256
+QUERY_BITS = 4
 EPS = 5.0
 #: Probability that a pair exactly at the threshold shares no table.
 MISS = 1e-5
-CELL_ROWS = 2048
+BUCKET_ROWS = 2048
+CELL_ROWS = 8192
 SEED = 20260101
+#: Rows of a block of pairs, whose counts stay within a processor's cache.
+_BLOCK = 64
 
 
-def rotation(d: int) -> np.ndarray:
-    """The seeded random map from d dimensions to max(CODE_BITS, d), with orthonormal columns."""
-    rng = np.random.default_rng(SEED + d)
+@cache
+def rotation(d: int, part: int = 0) -> np.ndarray:
+    """A seeded random map from d dimensions to max(CODE_BITS, d), with orthonormal columns; each part has its own."""
+    rng = np.random.default_rng([SEED, d, part])
     return np.linalg.qr(rng.standard_normal((max(CODE_BITS, d), d)))[0]
 
 
-def tables_for(rows: int, threshold: float) -> list[np.ndarray]:
-    """The code bits of each table: about log2(rows) - 6 bits, and as many tables as MISS takes."""
-    bits = int(min(30, max(8, math.log2(max(rows, 2)) - 6)))
-    agree = 1 - math.acos(threshold) / math.pi
-    n = math.ceil(math.log(MISS) / math.log1p(-(agree**bits)))
-    rng = np.random.default_rng(SEED)
-    drawn = np.concatenate([rng.permutation(CODE_BITS) for _ in range(-(-n * bits // CODE_BITS))])
-    return [drawn[k * bits : (k + 1) * bits] for k in range(n)]
+@cache
+def directions(d: int, n: int) -> np.ndarray:
+    """n random directions in d dimensions, orthogonal within each run of d."""
+    rng = np.random.default_rng([SEED, d, 1 << 20])
+    blocks = [np.linalg.qr(rng.standard_normal((d, d)))[0].T for _ in range(-(-n // d))]
+    return np.concatenate(blocks)[:n] if blocks else np.zeros((0, d))
+
+
+@cache
+def layout(rows: int, threshold: float) -> tuple[int, int]:
+    """(bits, tables) of a label with so many vectors."""
+    bits = max(0, math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS)))
+    agree = (1 - math.acos(threshold) / math.pi) ** bits
+    return bits, 1 if agree == 1 else math.ceil(math.log(MISS) / math.log1p(-agree))
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; by a power of two first, so that huge or tiny components neither overflow nor vanish."""
+    unit = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Rows of 0 and 1 packed into 64-bit words."""
+    short = -bits.shape[-1] % 64
+    packed = np.packbits(np.pad(bits.astype(np.uint8), [(0, 0)] * (bits.ndim - 1) + [(0, short)]), axis=-1)
+    return np.ascontiguousarray(packed).view(np.uint64)
+
 
+class Codes:
+    """Packed codes of some unit vectors, or those read from rows of a table."""
 
-def _keys(signs: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
-    return np.stack([signs[:, t] @ (1 << np.arange(len(t), dtype=np.int64)) for t in tables], axis=1)
+    def __init__(self, unit: np.ndarray, rng: np.random.Generator, part: int = 0):
+        turned = unit @ rotation(unit.shape[1], part).T
+        self.dim = turned.shape[1]
+        self.factor = np.abs(turned).sum(axis=1) / math.sqrt(self.dim)
+        self.code = _words(turned > 0)
+        self.low = turned.min(axis=1)
+        self.step = np.maximum((turned.max(axis=1) - self.low) / ((1 << QUERY_BITS) - 1), 1e-12)
+        level = np.floor((turned - self.low[:, None]) / self.step[:, None] + rng.random(turned.shape))
+        level = np.clip(level, 0, (1 << QUERY_BITS) - 1).astype(np.uint8)
+        self.planes = np.stack([_words(level >> j & 1) for j in range(QUERY_BITS)], axis=1)
 
+    @classmethod
+    def read(cls, rows: pd.DataFrame, dim: int) -> Codes:
+        self, n = cls.__new__(cls), len(rows)
+        self.dim = max(CODE_BITS, dim)
+        self.code = np.frombuffer(b"".join(rows["code"]), np.uint64).reshape(n, -1)
+        self.planes = np.frombuffer(b"".join(rows["planes"]), np.uint64).reshape(n, QUERY_BITS, -1)
+        self.factor, self.low, self.step = (rows[c].to_numpy(np.float64) for c in ("factor", "low", "step"))
+        return self
+
+    def bounds(self, a: slice, b: slice) -> np.ndarray:
+        """Upper bounds of the inner products of rows a, by their planes, with rows b, by their codes."""
+        code, planes = self.code[b], self.planes[a]
+        ones = np.zeros((len(planes), len(code)), np.float32)
+        for j in range(QUERY_BITS):
+            count = np.zeros(ones.shape, np.uint16)
+            for w in range(code.shape[1]):
+                count += np.bitwise_count(planes[:, j, w, None] & code[None, :, w])
+            ones += count * np.float32(1 << j)
+        set_, total = np.bitwise_count(code).sum(axis=1), (np.bitwise_count(planes).sum(axis=2) * (1 << np.arange(QUERY_BITS))).sum(axis=1)
+        low, step, f = self.low[a, None], self.step[a, None], self.factor[None, b]
+        inner = 2 * (low * set_ + step * ones) - (low * self.dim + step * total[:, None])
+        slack = EPS * np.sqrt(np.maximum(0, 1 - f**2) / (self.dim - 1) + step**2 / 4)
+        return (inner / math.sqrt(self.dim) + slack) / f
+
+
+def estimates(codes: Codes) -> np.ndarray:
+    """The unbiased estimates of all inner products, without their slack."""
+    n = len(codes.code)
+    f, step = codes.factor[None, :], codes.step[:, None]
+    return codes.bounds(slice(0, n), slice(0, n)) - EPS * np.sqrt(np.maximum(0, 1 - f**2) / (codes.dim - 1) + step**2 / 4) / f
+
+
+_CODED = "cid bigint, label string, dim int, n bigint, code binary, planes binary, factor float, low float, step float, sign binary"
+
+
+def _encode(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Codes, and the packed signs that the tables' keys are made of."""
 
-def _encode(tables: list[np.ndarray]):
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        maps: dict[int, np.ndarray] = {}
         for whole in parts:
-            for at in range(0, len(whole), 512):
-                pdf = whole.iloc[at : at + 512]
-                for d, own in pdf.groupby(pdf["x"].map(len)):
-                    x = np.stack(own["x"].to_numpy()).astype(np.float64)
-                    # a power of two first, so that huge or tiny components neither overflow nor vanish
-                    unit = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
-                    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                    turned = unit @ maps.setdefault(d, rotation(d)).T
-                    signs = turned > 0
-                    factor = np.abs(turned).sum(axis=1) / math.sqrt(turned.shape[1])
-                    keys = _keys(signs[:, :CODE_BITS].astype(np.int64), tables)
-                    code = [s.tobytes() for s in np.packbits(signs, axis=1)]
-                    blob = [u.tobytes() for u in unit]
-                    n = len(own)
-                    for t in range(len(tables)):
-                        yield pd.DataFrame({"rep": own["rep"], "label": own["label"], "copies": own["copies"], "t": np.full(n, t, np.int32), "key": keys[:, t], "dim": np.full(n, d, np.int32), "factor": factor, "code": code, "unit": blob})
+            for d, own in whole.groupby(whole["x"].map(len)):
+                unit = unit_rows(np.stack(own["x"].to_numpy()).astype(np.float64))
+                codes = Codes(unit, np.random.default_rng([SEED, int(own["cid"].iloc[0])]))
+                bits = [b * t for b, t in (layout(n, threshold) for n in own["n"].tolist())]
+                sign = unit @ directions(d, max(bits)).T > 0
+                yield own[["cid", "label", "n"]].assign(
+                    dim=np.int32(d), code=[c.tobytes() for c in codes.code], planes=[p.tobytes() for p in codes.planes],
+                    factor=codes.factor.astype(np.float32), low=codes.low.astype(np.float32), step=codes.step.astype(np.float32),
+                    sign=[np.packbits(s[:b]).tobytes() for s, b in zip(sign, bits, strict=True)],
+                )
 
     return encode
 
 
-def _links(own: pd.DataFrame, tables: list[np.ndarray], threshold: float, t: int, cross: bool) -> pd.DataFrame | None:
-    """Links within one cell; cross: only between its two row groups."""
-    n, d = len(own), int(own["dim"].iloc[0])
-    unit = np.frombuffer(b"".join(own["unit"]), np.float64).reshape(n, d)
-    signs = np.unpackbits(np.frombuffer(b"".join(own["code"]), np.uint8).reshape(n, -1), axis=1)[:, : max(CODE_BITS, d)]
-    turned = unit @ rotation_of(d).T
-    f = own["factor"].to_numpy()
-    keys, group, copies = _keys(signs[:, :CODE_BITS].astype(np.int64), tables), own["s"].to_numpy(), own["copies"].to_numpy()
-    slack = EPS * np.sqrt(np.maximum(0, 1 - f**2)) / f / math.sqrt(turned.shape[1] - 1)
-    links, a_all, b_all = np.zeros(n, np.int64), [], []
-    pm = signs.astype(np.float64) * 2 - 1
-    for at in range(0, n, 512):
-        rows = np.arange(at, min(n, at + 512))
-        bound = (pm[rows] @ turned.T) / (math.sqrt(turned.shape[1]) * f[rows, None]) + slack[rows, None]
-        a, b = np.nonzero(bound >= threshold)
-        a = rows[a]
-        fit = (a < b) & ((group[a] != group[b]) if cross else True)
-        a, b = a[fit], b[fit]
-        for c in range(0, len(a), 65536):
-            i, j = a[c : c + 65536], b[c : c + 65536]
-            hit = np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold
-            i, j = i[hit], j[hit]
-            first = (keys[i] == keys[j]).argmax(axis=1) == t  # counted in the first table that holds the pair
-            np.add.at(links, i[first], copies[j[first]])
-            np.add.at(links, j[first], copies[i[first]])
-            a_all.append(i)
-            b_all.append(j)
-    if not a_all or not sum(map(len, a_all)):
-        return None
-    root = local_roots(n, np.concatenate(a_all), np.concatenate(b_all))
-    rep = own["rep"].to_numpy()
-    low = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(low, root, rep)
-    out = pd.DataFrame({"rep": rep, "links": links, "root": low[root]})
-    return out[(out["links"] > 0) | (out["rep"] != out["root"])]
-
-
-_maps: dict[int, np.ndarray] = {}
-
-
-def rotation_of(d: int) -> np.ndarray:
-    if d not in _maps:
-        _maps[d] = rotation(d)
-    return _maps[d]
-
-
-def _match(tables: list[np.ndarray], threshold: float):
-    by = ["label", "dim", "t", "key", "i", "j"]
-
-    def of(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        change = (pdf[by] != pdf[by].shift()).any(axis=1).to_numpy()
-        start = np.flatnonzero(change)
-        size = np.diff(np.append(start, len(pdf)))
-        found = []
-        for a, n in zip(start[size > 1], size[size > 1], strict=True):
-            own = pdf.iloc[a : a + n]
-            if (out := _links(own, tables, threshold, int(own["t"].iloc[0]), bool(own["i"].iloc[0] != own["j"].iloc[0]))) is not None:
-                found.append(out)
-        yield pd.concat(found) if found else pd.DataFrame({"rep": [], "links": [], "root": []}, dtype=np.int64)
-
-    def match(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: pd.DataFrame | None = None
+def _keys(signs: list[bytes], bits: int, tables: int) -> np.ndarray:
+    """The key of each row in each table."""
+    if not bits:
+        return np.zeros((len(signs), 1), np.int64)
+    s = np.unpackbits(np.frombuffer(b"".join(signs), np.uint8).reshape(len(signs), -1), axis=1)[:, : bits * tables]
+    return s.reshape(len(signs), tables, bits).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+
+
+def _tabled(threshold: float, whole: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A row for each table of each vector: its bucket, with its codes if whole."""
+
+    def tabled(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            last = (pdf[by] == pdf[by].iloc[-1]).all(axis=1).to_numpy()
-            cut = len(pdf) - (np.argmin(last[::-1]) if not last.all() else len(pdf))
-            kept = pdf.iloc[cut:].reset_index(drop=True)
-            if cut:
-                yield from of(pdf.iloc[:cut].reset_index(drop=True))
-        if kept is not None and len(kept):
-            yield from of(kept)
+            for (bits, tables), own in pdf.groupby(pdf["n"].map(lambda n: layout(n, threshold))):
+                keys = _keys(own["sign"].tolist(), bits, tables)
+                for t in range(tables):
+                    out = own if whole else own[["label", "dim"]]
+                    yield out.assign(t=np.int32(t), key=keys[:, t])
+
+    return tabled
+
+
+_BUCKET = ["label", "dim", "t", "key"]
+_CELL = [*_BUCKET, "i", "j"]
+
+
+def _together(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """One frame, without strings in several Arrow chunks, which Spark does not take."""
+    out = pd.concat(frames, ignore_index=True)
+    return out.assign(label=out["label"].astype(object)) if "label" in out else out
+
 
-    return tidy(match)
+def _by_cell(of: Callable[[pd.DataFrame], pd.DataFrame | None]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Calls of() with each cell of two rows or more; rows come sorted by cell."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: list[pd.DataFrame] = []
+
+        def cells(pdf: pd.DataFrame, last: bool) -> Iterator[pd.DataFrame]:
+            change = np.zeros(len(pdf), bool)
+            change[0] = True
+            for c in _CELL:
+                v = pdf[c].to_numpy()
+                change[1:] |= v[1:] != v[:-1]
+            start = np.append(np.flatnonzero(change), len(pdf))
+            for a, b in zip(start[:-1], start[1:], strict=True):
+                if b == len(pdf) and not last:
+                    kept.append(pdf.iloc[a:])
+                elif b - a > 1:
+                    yield pdf.iloc[a:b]
+
+        for pdf in parts:
+            # nothing is complete while a batch goes on with the cell that is open
+            if kept and len(pdf) and all(pdf[c].iloc[-1] == kept[0][c].iloc[0] for c in _CELL):
+                kept.append(pdf)
+                continue
+            joined, kept[:] = _together([*kept, pdf]) if kept else pdf, []
+            found = [out for cell in cells(joined, False) if (out := of(cell)) is not None] if len(joined) else []
+            if found:
+                yield _together(found)
+        if kept:
+            found = [out for cell in cells(_together(kept), True) if (out := of(cell)) is not None]
+            if found:
+                yield _together(found)
+
+    return run
+
+
+def _candidates(own: pd.DataFrame, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a < b) of rows of a cell whose upper bound reaches the threshold and that no earlier table holds; between the two row groups only, if the cell has two."""
+    codes, n, t = Codes.read(own, int(own["dim"].iloc[0])), len(own), int(own["t"].iloc[0])
+    bits, tables = layout(int(own["n"].iloc[0]), threshold)
+    keys = _keys(own["sign"].tolist(), bits, tables)[:, :t]
+    group = own["s"].to_numpy() if own["i"].iloc[0] != own["j"].iloc[0] else None
+    for at in range(0, n, _BLOCK):
+        for to in range(at, n, 1024):
+            rows, others = slice(at, min(n, at + _BLOCK)), slice(to, min(n, to + 1024))
+            a, b = np.nonzero(codes.bounds(rows, others) >= threshold)
+            a, b = a + at, b + to
+            fit = a < b
+            if group is not None:
+                fit &= group[a] != group[b]
+            if t:
+                fit &= ~(keys[a] == keys[b]).any(axis=1)
+            if fit.any():
+                yield a[fit], b[fit]
+
+
+def _flag(threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame | None]:
+    """The rows of a cell that have a candidate."""
+
+    def flag(own: pd.DataFrame) -> pd.DataFrame | None:
+        met = np.zeros(len(own), bool)
+        for a, b in _candidates(own, threshold):
+            met[a] = met[b] = True
+        return own[met] if met.any() else None
+
+    return flag
+
+
+def _link(threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame | None]:
+    """The links of a cell, from the vectors: each row's number of them and the smallest row it reaches."""
+
+    def link(own: pd.DataFrame) -> pd.DataFrame | None:
+        n, copies, cid = len(own), own["copies"].to_numpy(), own["cid"].to_numpy()
+        unit = unit_rows(np.stack(own["x"].to_numpy()).astype(np.float64))
+        links, root = np.zeros(n, np.int64), np.arange(n)
+        for a, b in _candidates(own, threshold):
+            hit = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
+            a, b = a[hit], b[hit]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            root = root[local_roots(n, root[a], root[b])[root]] if len(a) else root
+        low = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(low, root, cid)
+        out = pd.DataFrame({"cid": cid, "links": links, "root": low[root]})
+        return out[out["links"] > 0]
+
+    return link
 
 
 def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -154,37 +269,35 @@ def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_co
 
     n_links counts the other rows linked directly; component_id is the smallest id reachable by links, itself included; kept
     says that the row has that id. Null labels, null, empty or zero vectors and vectors with null or non-finite components
-    link with nothing. Equal vectors are linked as copies without being compared; repeated ids are rows of their own. Vectors
-    of different lengths are not linked. An empty table gives no rows; other columns are ignored. No pair below the threshold
-    is linked; a pair above it is missed with a probability below MISS.
+    link with nothing, nor do rows with a null id. Equal vectors of a label are linked as copies without being compared;
+    repeated ids are rows of their own, whose labels and vectors may differ. Vectors of different lengths are not linked. An
+    empty table gives no rows; other columns are ignored. No pair below the threshold is linked; a pair above it is missed
+    with a probability below MISS in labels of more than BUCKET_ROWS vectors, and by the estimate's EPS deviations.
     """
     x = F.col(vec_col)
     ok = F.col(label_col).isNotNull() & F.forall(x, lambda c: F.coalesce((F.abs(c) < float("inf")) & ~F.isnan(c), F.lit(False))) & F.exists(x, lambda c: c != 0)
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(ok, x).alias("x"))
-    valid = rows.where("x IS NOT NULL AND vec_id IS NOT NULL")
-    reps = stash(valid.groupBy("label", "x").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    tables = tables_for(reps.count(), threshold)
-    coded = reps.mapInPandas(_encode(tables), "rep bigint, label string, copies bigint, t int, key bigint, dim int, factor double, code binary, unit binary")
-    by = ["label", "dim", "t", "key"]
-    light = reps.mapInPandas(_light(tables), "label string, dim int, t int, key bigint")
-    hot = stash(light.groupBy(*by).count().where(F.col("count") > CELL_ROWS).select(*by, F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("g")), "hot-buckets")
-    dealt = join_small(coded, hot, by, F.col("rep")).withColumn("g", F.coalesce("g", F.lit(1))).withColumn("s", F.pmod(F.xxhash64("rep"), F.col("g")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).withColumn("i", F.least("s", "other")).withColumn("j", F.greatest("s", "other")).drop("g", "other")
-    cell = [*by, "i", "j"]
-    found = stash(dealt.repartition(*cell).sortWithinPartitions(*cell).mapInPandas(_match(tables, threshold), "rep bigint, links bigint, root bigint"), "vector-links")
-    linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    comp = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = reps.join(linked, "rep", "left").join(comp, reps["rep"] == comp["node"], "left").select("label", "x", F.coalesce("component_id", "rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = valid.join(classes, ["label", "x"]).select("vec_id", "n_links", "component_id").unionByName(rows.where("x IS NULL OR vec_id IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
-    drop(hot)
+    valid = rows.where("x IS NOT NULL AND vec_id IS NOT NULL").withColumns({"h1": F.xxhash64("label", "x"), "h2": F.xxhash64(F.lit(7), "label", "x")})
+    # classes of equal vectors, told by 128 bits; a class has a number of its own
+    classes = valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("label").alias("label"), F.any_value("x").alias("x"))
+    classes = stash(classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
+    sizes = stash(classes.groupBy("label").agg(F.count("*").alias("n")), "label-sizes")
+    coded = stash(join_small(classes.select("cid", "label", "x"), sizes, ["label"], F.col("cid")).mapInPandas(_encode(threshold), _CODED), "vector-codes")
+    counted = coded.mapInPandas(_tabled(threshold, False), "label string, dim int, t int, key bigint").groupBy(*_BUCKET).count()
+    hot = stash(counted.where(F.col("count") > CELL_ROWS).select(*_BUCKET, F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("g")), "hot-buckets")
+    tabled = join_small(coded.mapInPandas(_tabled(threshold, True), f"{_CODED}, t int, key bigint"), hot, _BUCKET, F.col("cid")).withColumn("g", F.coalesce("g", F.lit(1)))
+    dealt = tabled.withColumn("s", F.pmod(F.xxhash64("cid"), F.col("g")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    dealt = dealt.withColumns({"i": F.least("s", "other"), "j": F.greatest("s", "other")}).drop("g", "other")
+    in_cells = lambda df: df.repartition(*_CELL).sortWithinPartitions(*_CELL)
+    near = stash(in_cells(dealt).mapInPandas(_by_cell(_flag(threshold)), dealt.schema), "candidates")
+    exact = near.join(classes.select("cid", "copies", "x"), "cid")
+    found = stash(in_cells(exact).mapInPandas(_by_cell(_link(threshold)), "cid bigint, links bigint, root bigint"), "vector-links")
+    linked = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    comp = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    named = classes.select("h1", "h2", "cid", "rep", "copies").join(linked, "cid", "left").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
+    named = stash(named.select("h1", "h2", "rep", F.coalesce("component_id", "cid").alias("comp"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "vector-components")
+    smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    out = valid.select("vec_id", "h1", "h2").join(named.join(smallest, "comp").drop("comp", "rep"), ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    out = out.unionByName(rows.where("x IS NULL OR vec_id IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
+    drop(classes, sizes, coded, hot, near, found, comp)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-
-
-def _light(tables: list[np.ndarray]):
-    encode = _encode(tables)
-
-    def light(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in encode(parts):
-            yield pdf[["label", "dim", "t", "key"]]
-
-    return light

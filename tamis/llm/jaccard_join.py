@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import components, drop, join_small, stash, tidy
+from tamis.llm.common import components, drop, join_small, stash
 from tamis.llm.words import mix, shingle_sets
 
 WIDTH = 5
@@ -73,7 +73,7 @@ def _survey(width: int):
         if most:
             yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "at": range(len(rows)), "counts": [r.tobytes() for r in rows]})
 
-    return tidy(survey)
+    return survey
 
 
 def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,7 +134,7 @@ def _postings(sketch, frequent: int, width: int, percent: int):
                     times = [len(k) for k in keys]
                     yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.repeat(np.array(nodes, np.int64), times), "n": np.repeat(np.array(sizes, np.int32), times), "at": np.concatenate(places).astype(np.int32)})
 
-    return tidy(postings)
+    return postings
 
 
 def _sets(width: int):
@@ -144,7 +144,7 @@ def _sets(width: int):
                 found = [t for t in shingle_sets(whole["text"].iloc[at : at + SLICE].tolist(), width) if len(t)]
                 yield pd.DataFrame({"node": np.array([node_of(t) for t in found], np.int64), "tokens": [t.tobytes() for t in found]})
 
-    return tidy(sets)
+    return sets
 
 
 def _compare(percent: int):
@@ -169,7 +169,7 @@ def _compare(percent: int):
                     hit_b.append(r.b)
             yield pd.DataFrame({"a": np.array(hit_a, np.int64), "b": np.array(hit_b, np.int64)})
 
-    return tidy(compare)
+    return compare
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -213,10 +213,10 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     # sets of all nodes that meet another in the index
     reps = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     needed = stash(reps.join(index.select("x.node").distinct(), "node", "left_semi").select("doc_id").distinct(), "needed")
-    sets = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="inner", row_bytes=16).mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
+    sets = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="inner").mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
     links = stash(_verify(first, sets, percent), "star-links")
     comp = stash(components(links), "star-components")
-    named = join_small(index.select("key", "x.node", "x.n", "x.at"), comp, ["node"], F.col("node"), row_bytes=32).withColumn("comp", F.coalesce("component_id", "node")).select("key", "node", "n", "at", "comp")
+    named = join_small(index.select("key", "x.node", "x.n", "x.at"), comp, ["node"], F.col("node")).withColumn("comp", F.coalesce("component_id", "node")).select("key", "node", "n", "at", "comp")
     open_ = stash(named.withColumn("lo", F.min("comp").over(by)).withColumn("hi", F.max("comp").over(by)).where("lo < hi").select("key", "node", "n", "at", "comp").distinct(), "open-lists")
     x, y = open_.alias("x"), open_.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _can_be_similar("x", "y", percent))
@@ -228,7 +228,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     named = reps.join(final, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     nodes = stash(named.join(smallest, "comp").select("node", "component_id"), "node-smallest")
-    out = join_small(docs.where("node IS NOT NULL"), nodes, ["node"], F.col("doc_id"), how="inner", row_bytes=32)
+    out = join_small(docs.where("node IS NOT NULL"), nodes, ["node"], F.col("doc_id"), how="inner")
     drop(index, first, sets, links, comp, open_, second, more)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(docs.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
@@ -242,7 +242,7 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH
     found = stash(jaccard_components(documents, percent, width).select("doc_id", "component_id"), "components")
     copies = stash(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
     twice = stash(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    left = join_small(documents, copies, ["doc_id"], F.col("doc_id"), how="left_anti", row_bytes=16)
-    once = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_anti", row_bytes=16)
-    more = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_semi", row_bytes=16).dropDuplicates(["doc_id", "text"])
+    left = join_small(documents, copies, ["doc_id"], F.col("doc_id"), how="left_anti")
+    once = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_anti")
+    more = join_small(left, twice, ["doc_id"], F.col("doc_id"), how="left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)

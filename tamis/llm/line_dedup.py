@@ -49,7 +49,7 @@ def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str =
     common = stash(boilerplate_lines(pages, host_col, text_col, ratio, least_pages, copies_once).select(F.coalesce("host", F.lit("")).alias("_host"), F.col("host").isNull().alias("_none"), F.col("drop").alias("_drop")), "boilerplate")
     names = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
     keyed = pages.select(*(F.col(f"`{c}`") for c in names), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"), F.col(host_col).isNull().alias("_none"))
-    met = join_small(keyed, common, ["_host", "_none"], F.xxhash64(text_col), row_bytes=4096)
+    met = join_small(keyed, common, ["_host", "_none"], F.xxhash64(text_col))
     lines = F.split(text_col, "\n", -1)
     kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x: ~F.coalesce(F.array_contains("_drop", _line_key(x)), F.lit(False))))
     met = met.withColumn("_lines", lines).withColumn("_kept", kept)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import drop, join_small, stash, tidy
+from tamis.llm.common import drop, join_small, stash
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -95,7 +95,7 @@ def _round_groups(by: list[str]):
         if kept is not None and len(kept):
             yield done(kept)
 
-    return tidy(rounded)
+    return rounded
 
 
 def _chance(*cols: str):

@@ -1,10 +1,14 @@
 """Exact top-k search by an impact-ordered, score-at-a-time index.
 
 Each block of candidates holds, for every dimension, its postings sorted by descending quantised impact |v| in segments of
-equal level. A query walks all segments by descending |q|*level and adds q*v to accumulators. After each threshold T a
-candidate with `seen` processed dimensions can still gain at most min((d - seen) * T, sum of |q|*level of the next segments);
-the walk ends only when that proves that few candidates can be among the k best, and exactly these are rescored.
-Blocks of queries meet blocks of candidates by an equi-join on the candidate block; nothing is broadcast.
+equal level. A query merges the segments of all dimensions by descending |q| * level: at each threshold, which falls by FALL,
+it reads every segment whose impact exceeds it and adds q * v, v^2 and q^2 to its candidates' accumulators. What a candidate
+can still gain is at most the norm of the query's unseen dimensions times that of its own unseen components (Cauchy-Schwarz);
+one whose bound is below the k-th best of some exact scores is proven out and scored no further. The walk ends only when few
+are left, and exactly these are rescored in integers. Bounds are kept above rounding errors, so scores of any size that fits
+a long take the same way.
+
+Each task meets one block of candidates with one block of queries; both come by an equi-join on the task's number.
 """
 
 from __future__ import annotations
@@ -14,14 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import stash, tidy
+from tamis.llm.common import join_small, stash
 
 LEVELS = 24
-#: Fractions of the highest impact at which a walk asks for a proof.
-THRESHOLDS = (0.05, 0.03, 0.015, 0.0)
+#: How the impact threshold falls from step to step, and the share of the highest impact below which all that is left is read.
+FALL, LAST = 0.6, 0.002
+#: A walk ends when at most this share of a block's candidates, or four times k, may still be among the k best.
+FEW = 0.05
 _BLOCK = "block int, n int, d int, ids binary, cells binary"
 
 
@@ -59,77 +65,98 @@ def _pack(rows: int):
 
 
 class ImpactIndex:
-    """Postings of one block of candidates: ids (n), cells (n x d, integers)."""
+    """Postings of one block of candidates: ids (n), cells (n x d, integers). read and scored count the postings that searches met and those that they added up."""
 
     def __init__(self, ids: np.ndarray, cells: np.ndarray):
-        self.ids, self.cells = ids, cells
+        self.ids, self.cells, self.read, self.scored = ids, cells, 0, 0
         self.n, self.d = cells.shape
-        size = np.abs(cells)
-        self.step = max(1, math.ceil((int(size.max(initial=0)) + 1) / LEVELS))
-        level = size // self.step
-        self.order = np.argsort(-level, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(cells.T, self.order, axis=1).astype(np.float64)
-        self.most, self.float_cells = int(size.max(initial=0)), cells.astype(np.float64)
+        self.floats = cells.astype(np.float64)
+        self.norm2 = np.einsum("ij,ij->i", self.floats, self.floats)
+        most = int(np.abs(cells).max(initial=0))
+        self.step = max(1, math.ceil((most + 1) / LEVELS))
+        level = (np.abs(cells) // self.step).astype(np.int8)
+        self.order = np.argsort(-level, axis=0, kind="stable").T.astype(np.int32)
+        self.values = np.take_along_axis(self.floats.T, self.order, axis=1)
         # ends[j, l]: postings of dimension j with a level above l, that is, the end of its segments above l
         self.ends = np.stack([np.searchsorted(-level[o, j], -np.arange(LEVELS + 1), side="left") for j, o in enumerate(self.order)]) if self.d else np.zeros((0, LEVELS + 1), int)
 
+    def exact(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return self.cells[rows] @ q
+
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best (scores, ids) by score, then smaller id, without the id `own`; all, if fewer."""
         q = np.concatenate([q, np.zeros(max(0, self.d - len(q)), np.int64)])[: self.d]
-        weight = np.abs(q).astype(np.float64)
+        qf = q.astype(np.float64)
+        weight, q2 = np.abs(qf), qf**2
+        alive = self.ids != own
         best = weight.max(initial=0) * LEVELS * self.step
-        others = maybe = self.ids != own
-        # one accumulator holds the partial score and, in units above any score, the number of dimensions seen
-        unit = 2.0 ** math.ceil(math.log2(2 * self.d * weight.max(initial=0) * self.most + 2)) if self.d else 1.0
-        exact = unit * max(1, self.d) < 2.0**52
-        scored = (lambda rows: (self.float_cells[rows] @ q.astype(np.float64)).astype(np.int64)) if exact else (lambda rows: self.cells[rows] @ q)
-        acc, at = np.zeros(self.n), np.zeros(self.d, int)
-        for part in THRESHOLDS if best and exact else ():
-            t = part * best
+        t, floor = best, None
+        # partial score, and the squared norms that are still unseen
+        acc, rest_v, rest_q = np.zeros(self.n), self.norm2.copy(), np.full(self.n, q2.sum())
+        # what rounding may cost a bound
+        margin = (self.d + 8) * 2.0**-50 * np.sqrt(self.norm2 * q2.sum())
+        at = np.zeros(self.d, int)
+        while t > best * LAST and np.count_nonzero(alive) > max(4 * k, FEW * self.n):
+            t *= FALL
             # a segment of level l has values up to (l + 1) * step - 1 and is due once its impact exceeds t
-            due = np.clip(np.floor(t / np.maximum(weight, 1e-9) / self.step), 0, LEVELS).astype(np.int64) if t else np.full(self.d, -1)
+            due = np.clip(np.floor(t / np.maximum(weight, 1e-9) / self.step), 0, LEVELS).astype(np.int64) if t > best * LAST else np.full(self.d, -1)
             for j in np.flatnonzero(weight):
                 to = self.ends[j, due[j]] if due[j] >= 0 else self.n
                 if to > at[j]:
-                    acc[self.order[j, at[j] : to]] += self.values[j, at[j] : to] * q[j] + unit
+                    rows, v = self.order[j, at[j] : to], self.values[j, at[j] : to]
+                    if floor is not None:
+                        left = alive[rows]
+                        rows, v = rows[left], v[left]
+                    acc[rows] += v * qf[j]
+                    rest_v[rows] -= v * v
+                    rest_q[rows] -= q2[j]
+                    self.read += to - at[j]
+                    self.scored += len(rows)
                     at[j] = to
-            seen = np.rint(acc / unit)
-            bound = acc - seen * unit
-            rest = weight * (due + 1) * self.step
-            rest[at >= self.n] = 0
-            bound += np.minimum((np.count_nonzero(weight) - seen) * rest.max(initial=0), rest.sum())
-            # the k-th best of some exact scores is a bound that the k-th best of all reaches
-            some = np.flatnonzero(others)
+            some = np.flatnonzero(alive)
             if len(some) > 4 * k:
-                some = some[np.argpartition(-bound[some], 4 * k)[: 4 * k]]
+                some = some[np.argpartition(-acc[some], 4 * k)[: 4 * k]]
             if len(some) < k:
                 break
-            maybe = others & (bound >= np.sort(scored(some))[-k])
-            if np.count_nonzero(maybe) <= max(8 * k, self.n // 16):
-                break
-        rows = np.flatnonzero(maybe)
-        scores, ids = scored(rows), self.ids[rows]
+            # the k-th best of some exact scores is a bound that the k-th best of all reaches
+            kth = np.sort(self.exact(some, q))[-k]
+            self.scored += len(some) * self.d
+            floor = kth if floor is None else max(floor, kth)
+            bound = acc + margin + np.sqrt(np.maximum(rest_v + margin, 0) * np.maximum(rest_q + margin, 0))
+            alive &= bound >= float(floor) - abs(float(floor)) * 2.0**-50
+        rows = np.flatnonzero(alive)
+        scores, ids = self.exact(rows, q), self.ids[rows]
+        self.scored += len(rows) * self.d
         top = np.lexsort((ids, -scores))[:k]
         return scores[top], ids[top]
 
 
 def _meet(k: int):
+    """Rows sorted by (part, role): the block of candidates (role 0), then its block of queries."""
+
     def meet(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, index = None, None
+        indexes: dict[int, list[ImpactIndex]] = {}
         for pdf in parts:
             for r in pdf.itertuples(index=False):
-                if last != (key := (r.block, r.part)):
-                    index = ImpactIndex(np.frombuffer(r.ids, np.int64), np.frombuffer(r.cells, np.int64).reshape(r.n, r.d))
-                    last = key
-                own, cells = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.q_cells, np.int64).reshape(r.q_n, r.q_d)
-                found = [index.search(a, q, k) for a, q in zip(own, cells, strict=True)]
-                size = [len(s) for s, _ in found]
-                yield pd.DataFrame({"query_id": np.repeat(own, size), "vec_id": np.concatenate([i for _, i in found] or [[]]).astype(np.int64), "score": np.concatenate([s for s, _ in found] or [[]]).astype(np.int64)})
+                ids, cells = np.frombuffer(r.ids, np.int64), np.frombuffer(r.cells, np.int64).reshape(r.n, r.d)
+                if r.role == 0:
+                    indexes = {r.part: [*indexes.get(r.part, []), ImpactIndex(ids, cells)]}
+                    continue
+                for index in indexes.get(r.part, []):
+                    found = [index.search(a, q, k) for a, q in zip(ids, cells, strict=True)]
+                    size = [len(s) for s, _ in found]
+                    yield pd.DataFrame({"query_id": np.repeat(ids, size), "vec_id": np.concatenate([i for _, i in found] or [[]]).astype(np.int64), "score": np.concatenate([s for s, _ in found] or [[]]).astype(np.int64)})
 
-    return tidy(meet)
+    return meet
 
 
-def topk_search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 256.0, block_rows: int = 8192, query_rows: int = 2048) -> DataFrame:
+def task_keys(spark: SparkSession, n: int) -> DataFrame:
+    """(part, key) for part in 0 to n - 1: keys that repartition(n, key) sends to the partition of that number, so that no two tasks' rows meet in one."""
+    tried = spark.range(max(64, 24 * n)).select(F.col("id").alias("key"), F.pmod(F.hash("id"), F.lit(n)).alias("part"))
+    return tried.groupBy("part").agg(F.min("key").alias("key"))
+
+
+def topk_search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 256.0, block_rows: int = 8192, query_rows: int = 512) -> DataFrame:
     """The k candidates of `vectors` with the highest integer inner product for every row of `queries`: query_id, rank (from 1), vec_id, score.
 
     Ties go to the smaller id. Rows bearing the query's id are its own and are no candidates; a query id that occurs more than
@@ -137,14 +164,20 @@ def topk_search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str
     shorter vectors are read as if padded with zeros. Repeated candidate rows each count. Fewer candidates than k: all of
     them; empty tables: no rows. Other columns of the inputs are ignored. Scores are exact as long as they fit a long.
     """
+    spark = vectors.sparkSession
     cand, ask = quantise(vectors, id_col, vec_col, scale), quantise(queries, id_col, vec_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(cand.count() / block_rows))
-    deal = lambda df, n: df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")).repartition(n, "block")
     q_blocks = max(1, math.ceil(ask.count() / query_rows))
+    deal = lambda df, n: df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")).repartition(n, "block")
     index = stash(deal(cand, blocks).mapInPandas(_pack(2 * block_rows), _BLOCK), "impact-blocks")
-    asked = stash(deal(ask, q_blocks).mapInPandas(_pack(query_rows), _BLOCK), "impact-queries").select(*(F.col(c).alias(f"q_{c}") for c in ("n", "d", "ids", "cells")))
-    index = index.withColumn("part", F.xxhash64("ids")).repartition(blocks, "block")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(blocks, "block")
-    met = index.hint("shuffle_hash").join(asked, "block").mapInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
+    asked = stash(deal(ask, q_blocks).mapInPandas(_pack(query_rows), _BLOCK), "impact-queries")
+    # task `part` has block part // q_blocks of the candidates and block part % q_blocks of the queries
+    rows = ("n", "d", "ids", "cells")
+    first = index.select(F.explode(F.sequence(F.col("block") * q_blocks, F.col("block") * q_blocks + (q_blocks - 1))).alias("part"), F.lit(0).alias("role"), *rows)
+    then = asked.select(F.explode(F.sequence(F.col("block"), F.lit((blocks - 1) * q_blocks) + F.col("block"), F.lit(q_blocks))).alias("part"), F.lit(1).alias("role"), *rows)
+    keys = stash(task_keys(spark, blocks * q_blocks), "task-keys")
+    met = join_small(first.unionByName(then), keys, ["part"], F.col("part")).withColumn("key", F.coalesce("key", F.col("part")))
+    met = met.repartition(blocks * q_blocks, "key").sortWithinPartitions("part", "role").select("part", "role", *rows)
+    found = met.mapInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

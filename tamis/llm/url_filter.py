@@ -69,7 +69,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     spans = stash(spans.withColumnRenamed("domain", "_domain"), "intervals")
     asked = stash(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_period", _period(F.col("fetched_at"))), "captures")
     keys = asked.where("host IS NOT NULL AND fetched_at IS NOT NULL").select("_row", "_path", "fetched_at", "_period", F.explode(domains_of(F.col("host"))).alias("_domain"))
-    met = join_small(keys, spans, ["_domain", "_period"], F.col("_row"), how="inner", row_bytes=512)
+    met = join_small(keys, spans, ["_domain", "_period"], F.col("_row"), how="inner")
     hit = met.where((F.col("valid_from") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("valid_to")) & F.startswith(F.col("_path"), F.col("prefix")))
     found = hit.groupBy("_row").agg(F.count("*").alias("n_rules"), F.min("rule").alias("first_rule"))
     out = asked.join(found, "_row", "left")

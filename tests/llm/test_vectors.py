@@ -124,3 +124,54 @@ def test_the_salted_join_equals_the_broadcast_one(spark, monkeypatch):
         monkeypatch.setattr(C, "BROADCAST_BYTES", -1)
         assert a == sorted(map(str, join_small(big, small, ["k"], F.col("i"), how).select(*join_small(big, small, ["k"], F.col("i"), how).columns).collect()))
         monkeypatch.undo()
+
+
+def test_repeated_ids_with_other_vectors_and_labels(spark):
+    rows = [(3, [1.0, 0.01], 1), (5, [1.0, 0.0], 1), (5, [0.0, 1.0], 2), (8, [0.0, 1.0], 2)]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_near_duplicates(vectors(spark, rows)).collect())
+    assert got == [(3, 1, 3), (5, 1, 3), (5, 1, 5), (8, 1, 5)]
+
+
+@pytest.mark.parametrize("bucket", [8, 32])
+def test_tables_of_large_labels_find_the_links_of_brute_force(spark, bucket, monkeypatch):
+    import tamis.llm.embedding_dedup as E
+
+    monkeypatch.setattr(E, "BUCKET_ROWS", bucket)
+    E.layout.cache_clear()
+    rows = cloud(400, 16, 2, 5)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_near_duplicates(vectors(spark, rows).repartition(3)).collect()}
+    assert E.layout(200, 0.98)[0] >= 2 and got == brute_links(rows)
+    E.layout.cache_clear()
+
+
+def test_estimates_are_unbiased_and_bounds_hold():
+    from tamis.llm.embedding_dedup import Codes, estimates, unit_rows
+
+    rng = np.random.default_rng(4)
+    unit = unit_rows(rng.normal(size=(400, 64)) + 0.6 * rng.normal(size=64))
+    off, whole = ~np.eye(400, dtype=bool), unit @ unit.T
+    gaps = [(estimates(Codes(unit, rng, part)) - whole)[off] for part in range(24)]
+    assert max(g.std() for g in gaps) < 0.08 and abs(np.mean(gaps)) < 2e-3
+    assert abs(np.mean(gaps, axis=0)).max() < 6 * 0.08 / 24**0.5  # pair by pair, over the rotations
+    assert (Codes(unit, rng).bounds(slice(0, 400), slice(0, 400)) >= whole).mean() > 0.9999
+
+
+def test_the_walk_proves_and_stops(spark):
+    rng = np.random.default_rng(8)
+    cells = np.floor(256 * rng.normal(size=(8192, 64)) / 8).astype(np.int64)
+    index = ImpactIndex(np.arange(8192), cells)
+    for own in range(0, 400, 50):
+        scores, ids = index.search(own, cells[own], 5)
+        all_ = cells @ cells[own]
+        all_[own] = np.iinfo(np.int64).min
+        want = np.lexsort((np.arange(8192), -all_))[:5]
+        assert ids.tolist() == want.tolist() and scores.tolist() == all_[want].tolist()
+    assert index.scored < 0.5 * 8 * cells.size and index.read < 0.75 * 8 * cells.size
+
+
+def test_task_keys_reach_their_partitions(spark):
+    from tamis.llm.topk_search import task_keys
+
+    keys = task_keys(spark, 21)
+    got = keys.repartition(21, "key").selectExpr("part", "spark_partition_id() AS p").collect()
+    assert len(got) == 21 and all(r["part"] == r["p"] for r in got)
