@@ -2,11 +2,11 @@
 
 Each block of candidates holds, for every dimension, its postings sorted by descending quantised impact |v| in segments of
 equal level. A query merges the segments of all dimensions by descending |q| * level: at each threshold, which falls by FALL,
-it reads every segment whose impact exceeds it and adds q * v, v^2 and q^2 to its candidates' accumulators. What a candidate
-can still gain is at most the norm of the query's unseen dimensions times that of its own unseen components (Cauchy-Schwarz);
-one whose bound is below the k-th best of some exact scores is proven out and scored no further. The walk ends only when few
-are left, and exactly these are rescored in integers. Bounds are kept above rounding errors, so scores of any size that fits
-a long take the same way.
+it reads every segment whose impact exceeds it. Of unit vectors v' and q', the inner product is 1 - |v' - q'|^2 / 2, so each
+posting adds (v' - q')^2 to its candidate's accumulator, and |v| * |q| * (1 - accumulator / 2) is at any time an upper bound of
+the score that falls as postings are read. A candidate whose bound is below the k-th best of some exact scores is proven out.
+The walk ends only when few are left, and exactly these are rescored in integers. Bounds are kept above rounding errors, so
+scores of any size that fits a long take the same way.
 
 Each task meets one block of candidates with one block of queries; both come by an equi-join on the task's number.
 """
@@ -25,9 +25,11 @@ from tamis.llm.common import join_small, stash
 
 LEVELS = 24
 #: How the impact threshold falls from step to step, and the share of the highest impact below which all that is left is read.
-FALL, LAST = 0.6, 0.002
+FALL, LAST = 0.5, 0.002
+#: Share of the postings before which no proof is tried.
+FIRST = 0.25
 #: A walk ends when at most this share of a block's candidates, or four times k, may still be among the k best.
-FEW = 0.05
+FEW = 0.1
 _BLOCK = "block int, n int, d int, ids binary, cells binary"
 
 
@@ -65,37 +67,33 @@ def _pack(rows: int):
 
 
 class ImpactIndex:
-    """Postings of one block of candidates: ids (n), cells (n x d, integers). read and scored count the postings that searches met and those that they added up."""
+    """Postings of one block of candidates: ids (n), cells (n x d, integers). read counts the postings that searches added up, rescored the components of rows that were scored exactly."""
 
     def __init__(self, ids: np.ndarray, cells: np.ndarray):
-        self.ids, self.cells, self.read, self.scored = ids, cells, 0, 0
+        self.ids, self.cells, self.read, self.rescored = ids, cells, 0, 0
         self.n, self.d = cells.shape
-        self.floats = cells.astype(np.float64)
-        self.norm2 = np.einsum("ij,ij->i", self.floats, self.floats)
-        most = int(np.abs(cells).max(initial=0))
-        self.step = max(1, math.ceil((most + 1) / LEVELS))
+        floats = cells.astype(np.float64)
+        self.norm = np.sqrt(np.einsum("ij,ij->i", floats, floats))
+        self.step = max(1, math.ceil((int(np.abs(cells).max(initial=0)) + 1) / LEVELS))
         level = (np.abs(cells) // self.step).astype(np.int8)
-        self.order = np.argsort(-level, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.take_along_axis(self.floats.T, self.order, axis=1)
+        self.order = np.argsort(-level, axis=0, kind="stable").T.copy()
+        self.values = np.take_along_axis(floats.T / np.maximum(self.norm, 1e-300), self.order, axis=1)
         # ends[j, l]: postings of dimension j with a level above l, that is, the end of its segments above l
         self.ends = np.stack([np.searchsorted(-level[o, j], -np.arange(LEVELS + 1), side="left") for j, o in enumerate(self.order)]) if self.d else np.zeros((0, LEVELS + 1), int)
 
     def exact(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        self.rescored += len(rows) * self.d
         return self.cells[rows] @ q
 
     def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best (scores, ids) by score, then smaller id, without the id `own`; all, if fewer."""
         q = np.concatenate([q, np.zeros(max(0, self.d - len(q)), np.int64)])[: self.d]
         qf = q.astype(np.float64)
-        weight, q2 = np.abs(qf), qf**2
+        weight, length = np.abs(qf), float(np.linalg.norm(qf))
+        unit = qf / max(length, 1e-300)
         alive = self.ids != own
-        best = weight.max(initial=0) * LEVELS * self.step
-        t, floor = best, None
-        # partial score, and the squared norms that are still unseen
-        acc, rest_v, rest_q = np.zeros(self.n), self.norm2.copy(), np.full(self.n, q2.sum())
-        # what rounding may cost a bound
-        margin = (self.d + 8) * 2.0**-50 * np.sqrt(self.norm2 * q2.sum())
-        at = np.zeros(self.d, int)
+        t = best = weight.max(initial=0) * LEVELS * self.step
+        acc, at, floor = np.zeros(self.n), np.zeros(self.d, int), -math.inf
         while t > best * LAST and np.count_nonzero(alive) > max(4 * k, FEW * self.n):
             t *= FALL
             # a segment of level l has values up to (l + 1) * step - 1 and is due once its impact exceeds t
@@ -103,30 +101,23 @@ class ImpactIndex:
             for j in np.flatnonzero(weight):
                 to = self.ends[j, due[j]] if due[j] >= 0 else self.n
                 if to > at[j]:
-                    rows, v = self.order[j, at[j] : to], self.values[j, at[j] : to]
-                    if floor is not None:
-                        left = alive[rows]
-                        rows, v = rows[left], v[left]
-                    acc[rows] += v * qf[j]
-                    rest_v[rows] -= v * v
-                    rest_q[rows] -= q2[j]
-                    self.read += to - at[j]
-                    self.scored += len(rows)
+                    gap = self.values[j, at[j] : to] - unit[j]
+                    np.add.at(acc, self.order[j, at[j] : to], gap * gap)
+                    self.read += int(to - at[j])
                     at[j] = to
+            if at.sum() < FIRST * self.n * self.d and t > best * LAST:
+                continue
             some = np.flatnonzero(alive)
-            if len(some) > 4 * k:
-                some = some[np.argpartition(-acc[some], 4 * k)[: 4 * k]]
             if len(some) < k:
                 break
+            bound = self.norm * length * (1 - acc / 2 + (self.d + 8) * 2.0**-50)
+            if len(some) > 4 * k:
+                some = some[np.argpartition(-bound[some], 4 * k)[: 4 * k]]
             # the k-th best of some exact scores is a bound that the k-th best of all reaches
-            kth = np.sort(self.exact(some, q))[-k]
-            self.scored += len(some) * self.d
-            floor = kth if floor is None else max(floor, kth)
-            bound = acc + margin + np.sqrt(np.maximum(rest_v + margin, 0) * np.maximum(rest_q + margin, 0))
-            alive &= bound >= float(floor) - abs(float(floor)) * 2.0**-50
+            floor = max(floor, float(np.sort(self.exact(some, q))[-k]))
+            alive &= bound >= floor - abs(floor) * 2.0**-50
         rows = np.flatnonzero(alive)
         scores, ids = self.exact(rows, q), self.ids[rows]
-        self.scored += len(rows) * self.d
         top = np.lexsort((ids, -scores))[:k]
         return scores[top], ids[top]
 
