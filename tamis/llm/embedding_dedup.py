@@ -7,9 +7,9 @@ estimate of the inner product: a few population counts of packed words. Its erro
 sqrt((1 - f^2) / f^2 / (D - 1)), and of the rounding, step / 2 / f; only pairs whose upper bound reaches the threshold are
 computed again from the vectors.
 
-Pairs meet in buckets within their label, keyed by signs of further random directions. A label of up to BUCKET_ROWS vectors is
-one bucket; larger ones get log2(rows / BUCKET_ROWS) bits and as many tables as MISS takes, each with directions of its own, so
-that tables are independent at any size. Buckets hold codes only; the vectors of rows that have a candidate are fetched for
+Pairs meet in buckets within their label, keyed by signs of further random directions, in as many tables as MISS takes. The
+number of bits is the one that costs least by the label's size: none, that is one bucket, up to some ten thousand vectors. Each
+table has directions of its own, so that tables are independent at any size. Buckets hold codes only; the vectors of rows that have a candidate are fetched for
 the second step. A bucket above CELL_ROWS rows is dealt over cells (i, j) of row groups, so no task holds an unbounded bucket,
 and no pairs leave a task: only each row's count of links and the smallest row of its part of the cell.
 """
@@ -27,16 +27,17 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import components, drop, join_small, local_roots, stash
 
-CODE_BITS = 256
+CODE_BITS = 128
 QUERY_BITS = 4
 EPS = 5.0
 #: Probability that a pair exactly at the threshold shares no table.
 MISS = 1e-5
-BUCKET_ROWS = 2048
-CELL_ROWS = 8192
+#: Moving a row into a table costs as much as comparing it with so many others.
+ROW_COST = 2048
+CELL_ROWS = 16384
 SEED = 20260101
 #: Rows of a block of pairs, whose counts stay within a processor's cache.
-_BLOCK = 64
+_BLOCK, _WIDTH = 32, 4096
 
 
 @cache
@@ -57,9 +58,10 @@ def directions(d: int, n: int) -> np.ndarray:
 @cache
 def layout(rows: int, threshold: float) -> tuple[int, int]:
     """(bits, tables) of a label with so many vectors."""
-    bits = max(0, math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS)))
-    agree = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, 1 if agree == 1 else math.ceil(math.log(MISS) / math.log1p(-agree))
+    agree = 1 - math.acos(threshold) / math.pi
+    tables = [1, *(math.ceil(math.log(MISS) / math.log1p(-(agree**b))) for b in range(1, 48))]
+    bits = min(range(48), key=lambda b: tables[b] * (rows / 2**b + ROW_COST))
+    return bits, tables[bits]
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -100,25 +102,31 @@ class Codes:
 
     def bounds(self, a: slice, b: slice) -> np.ndarray:
         """Upper bounds of the inner products of rows a, by their planes, with rows b, by their codes."""
-        code, planes = self.code[b], self.planes[a]
-        ones = np.zeros((len(planes), len(code)), np.float32)
+        code, planes, narrow = self.code[b], self.planes[a], np.float32
+        wide = np.uint16 if self.dim << QUERY_BITS < 1 << 16 else np.uint32
+        ones = np.zeros((len(planes), len(code)), wide)
         for j in range(QUERY_BITS):
-            count = np.zeros(ones.shape, np.uint16)
             for w in range(code.shape[1]):
-                count += np.bitwise_count(planes[:, j, w, None] & code[None, :, w])
-            ones += count * np.float32(1 << j)
+                count = np.bitwise_count(planes[:, j, w, None] & code[None, :, w])
+                ones += np.left_shift(count, j, dtype=wide)
         set_, total = np.bitwise_count(code).sum(axis=1), (np.bitwise_count(planes).sum(axis=2) * (1 << np.arange(QUERY_BITS))).sum(axis=1)
-        low, step, f = self.low[a, None], self.step[a, None], self.factor[None, b]
-        inner = 2 * (low * set_ + step * ones) - (low * self.dim + step * total[:, None])
-        slack = EPS * np.sqrt(np.maximum(0, 1 - f**2) / (self.dim - 1) + step**2 / 4)
-        return (inner / math.sqrt(self.dim) + slack) / f
+        root, low, step, f = math.sqrt(self.dim), self.low[a], self.step[a], self.factor[b]
+        out = ones * (2 * step / root).astype(narrow)[:, None]
+        out += (low / root).astype(narrow)[:, None] * (2.0 * set_ - self.dim).astype(narrow)
+        out -= (step * total / root).astype(narrow)[:, None]
+        out += self._slack(a, b).astype(narrow)
+        out /= f.astype(narrow)
+        return out
+
+    def _slack(self, a: slice, b: slice) -> np.ndarray:
+        """EPS deviations of the codes b, and of the coarsest rounding among a."""
+        return EPS * np.sqrt(np.maximum(0, 1 - self.factor[b] ** 2) / (self.dim - 1) + self.step[a].max(initial=0) ** 2 / 4) + 1e-5
 
 
 def estimates(codes: Codes) -> np.ndarray:
     """The unbiased estimates of all inner products, without their slack."""
-    n = len(codes.code)
-    f, step = codes.factor[None, :], codes.step[:, None]
-    return codes.bounds(slice(0, n), slice(0, n)) - EPS * np.sqrt(np.maximum(0, 1 - f**2) / (codes.dim - 1) + step**2 / 4) / f
+    all_ = slice(0, len(codes.code))
+    return codes.bounds(all_, all_) - codes._slack(all_, all_) / codes.factor
 
 
 _CODED = "cid bigint, label string, dim int, n bigint, code binary, planes binary, factor float, low float, step float, sign binary"
@@ -218,8 +226,8 @@ def _candidates(own: pd.DataFrame, threshold: float) -> Iterator[tuple[np.ndarra
     keys = _keys(own["sign"].tolist(), bits, tables)[:, :t]
     group = own["s"].to_numpy() if own["i"].iloc[0] != own["j"].iloc[0] else None
     for at in range(0, n, _BLOCK):
-        for to in range(at, n, 1024):
-            rows, others = slice(at, min(n, at + _BLOCK)), slice(to, min(n, to + 1024))
+        for to in range(at, n, _WIDTH):
+            rows, others = slice(at, min(n, at + _BLOCK)), slice(to, min(n, to + _WIDTH))
             a, b = np.nonzero(codes.bounds(rows, others) >= threshold)
             a, b = a + at, b + to
             fit = a < b
@@ -272,7 +280,7 @@ def embedding_near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_co
     link with nothing, nor do rows with a null id. Equal vectors of a label are linked as copies without being compared;
     repeated ids are rows of their own, whose labels and vectors may differ. Vectors of different lengths are not linked. An
     empty table gives no rows; other columns are ignored. No pair below the threshold is linked; a pair above it is missed
-    with a probability below MISS in labels of more than BUCKET_ROWS vectors, and by the estimate's EPS deviations.
+    with a probability below MISS where its label has several tables, and beyond EPS deviations of the estimate.
     """
     x = F.col(vec_col)
     ok = F.col(label_col).isNotNull() & F.forall(x, lambda c: F.coalesce((F.abs(c) < float("inf")) & ~F.isnan(c), F.lit(False))) & F.exists(x, lambda c: c != 0)

@@ -10,7 +10,6 @@ by a steep function of the share of the text's trigrams that are usual in the la
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import join_small, stash
+from tamis.llm.common import cols, join_small, stash, unused
 
 DIMENSIONS = 8192
 #: Bound of the labelled sample that a model is fitted on, over all languages, and the least per language.
@@ -41,7 +40,6 @@ FAMILIES = {
     "semitic": "ar he mt",
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: Every other ASCII byte becomes a space.
 _SPACED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -116,8 +114,8 @@ class LanguageModel:
         return float(seen[self.usual[lang]].sum() / (seen.sum() or 1.0))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score from 0 to 1); `und` and 0 for null, for a text without letters, or when nothing was learned. The score nears 0 for texts unlike what was learned."""
-        if not self.langs or not text or not _LETTER.search(text):
+        """(language, score from 0 to 1); `und` and 0 for null, for a text without letters, or when nothing was learned. A letter is what Unicode has in category L: digits, fractions and Roman or circled numbers are none. The score nears 0 for texts unlike what was learned."""
+        if not self.langs or not text or not any(map(str.isalpha, text)):
             return "und", 0.0
         seen = counts(text)
         lang, score = self._nearest(scaled(seen))
@@ -146,16 +144,16 @@ class LanguageModel:
 
 
 def labelled_sample(documents: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most `rows` documents with a non-null lang and crc32(doc_id) mod 3 not 1: the first of each language by a hash of the id, as doc_id, lang, text."""
-    own = documents.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 3 <> 1")
-    found = stash(own.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
-    each = max(LEAST_PER_LANGUAGE, rows // max(1, found.count()))
+    """At most `rows` documents with a non-null lang and crc32(doc_id) mod 3 not 1, as doc_id, lang, text: of the most frequent languages, up to rows / LEAST_PER_LANGUAGE of them, the first of each by a hash of the id. An id with several texts of a language has the smallest."""
+    own = documents.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 3 <> 1").select("doc_id", "lang", "text")
+    found = stash(own.groupBy("lang").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "lang").limit(max(1, rows // LEAST_PER_LANGUAGE)), "languages")
+    each = rows // max(1, found.count())
     # a hash below twice the share that is wanted, so that the ranking meets few rows of any language
-    near = join_small(own.select("doc_id", "lang").withColumn("_u", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)), found, ["lang"], F.col("doc_id")).where(F.col("_u") * F.col("_n") < 2 * each)
-    first = Window.partitionBy("lang").orderBy("_u", "doc_id")
-    ids = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("doc_id", "lang").distinct()
-    # ids are bounded by `each` per language
-    return own.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    near = join_small(own.select("doc_id", "lang").withColumn("u", u), found, ["lang"], F.col("doc_id"), how="inner").where(F.col("u") * F.col("count") < 2 * each + 64)
+    first = Window.partitionBy("lang").orderBy("u", "doc_id")
+    ids = stash(near.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("doc_id", "lang"), "language-sample")
+    return join_small(own, ids, ["doc_id", "lang"], F.col("doc_id"), how="inner").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def _sparse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,4 +185,5 @@ def identify_languages(documents: DataFrame, model: LanguageModel | None = None)
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "lang_score"])
 
     names = [c for c in documents.columns if c.lower() not in ("lang_pred", "lang_score")]
-    return documents.select(*(F.col(f"`{c}`") for c in names), predict("text").alias("_p")).select(*(F.col(f"`{c}`") for c in names), "_p.lang_pred", "_p.lang_score")
+    (found,) = unused(names, "_found")
+    return documents.select(*cols(names), predict("text").alias(found)).select(*cols(names), f"{found}.lang_pred", f"{found}.lang_score")

@@ -4,8 +4,9 @@ Every document of a source has the same expected copies, target / source size. T
 parts are rounded in pairs: mass moves at random between two documents, word for word, until one of them is at 0 or 1, so the
 words taken stay as they were. Documents are dealt by a hash of their id into buckets of bounded size; each bucket leaves at
 most one fractional document per source, and these residuals are paired again up a tree of fan-in FAN until one per source
-remains, which goes to its nearer end. Large documents are paired first, so that what remains is small. Order and chance come
-from sizes and hashes, so reruns agree however the rows are partitioned.
+remains, which a last draw settles. Large documents are paired first, so that what remains is small. Order and chance come
+from sizes and hashes of id and text, so reruns agree however the rows are partitioned. Rows that repeat an id, its source and its text
+are interchangeable; where there are more of them than a bucket holds, they are numbered, so that each number has a place of its own.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import drop, join_small, stash
+from tamis.llm.common import BROADCAST_BYTES, bytes_of, cols, drop, join_small, stash, unused
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -74,16 +75,16 @@ def pivotal(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> np.ndarray:
     return out
 
 
-def _round_groups(by: list[str]):
+def _round_groups(by: list[str], p: str, size: str, u: str):
     """Rows sorted by group; the share of each row is rounded within its group."""
 
     def rounded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: pd.DataFrame | None = None
 
         def done(pdf: pd.DataFrame) -> pd.DataFrame:
-            p, size, u = (pdf[c].to_numpy() for c in ("_p", "size", "_u"))
+            share, words, chance = (pdf[c].to_numpy() for c in (p, size, u))
             start = np.flatnonzero((pdf[by] != pdf[by].shift()).any(axis=1).to_numpy())
-            return pdf.assign(_p=np.concatenate([pivotal(p[a:b], size[a:b], u[a:b]) for a, b in zip(start, [*start[1:], len(pdf)], strict=True)]))
+            return pdf.assign(**{p: np.concatenate([pivotal(share[a:b], words[a:b], chance[a:b]) for a, b in zip(start, [*start[1:], len(pdf)], strict=True)])})
 
         for pdf in parts:
             pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
@@ -98,6 +99,35 @@ def _round_groups(by: list[str]):
     return rounded
 
 
+def _chance(*by: Column):
+    return (F.pmod(F.xxhash64(F.lit(17), *by), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+
+
+def number_repeats(rows: DataFrame, key: list[str], name: str, above: int) -> DataFrame:
+    """rows with `name`: 0, or, for keys of more than `above` rows, the number of the row among those of its key, from 0. Counted per partition of a written table and then shifted, so that no key's rows meet in a task."""
+    often = stash(rows.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > above), "often-repeated")
+    if not often.take(1):
+        drop(often)
+        return rows.withColumn(name, F.lit(0).cast("bigint"))
+    part, no, before = unused([*rows.columns, name], "_part", "_no", "_before")
+    written = stash(rows.withColumn(part, F.spark_partition_id()), "to-number")
+    same = F.lit(True)
+    for c in key:
+        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    few = often.select(*key)
+    marked = written.alias("l").join(F.broadcast(few).alias("r") if bytes_of(few) <= BROADCAST_BYTES else few.alias("r"), same, "left_semi").select("l.*")
+    others = written.alias("l").join(F.broadcast(few).alias("r") if bytes_of(few) <= BROADCAST_BYTES else few.alias("r"), same, "left_anti").select("l.*")
+    counts = marked.groupBy(*key, part).agg(F.count("*").alias(no))
+    shift = counts.withColumn(before, F.sum(no).over(Window.partitionBy(*key).orderBy(part)) - F.col(no)).drop(no)
+    own = marked.withColumn(no, F.row_number().over(Window.partitionBy(*key, part).orderBy(F.lit(0))))
+    same = F.col(f"l.{part}") == F.col(f"r.{part}")
+    for c in key:
+        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    met = own.alias("l").join(shift.alias("r"), same).select("l.*", F.col(f"r.{before}"))
+    numbered = met.withColumn(name, F.col(before) + F.col(no) - 1).drop(before, no, part)
+    return numbered.unionByName(others.withColumn(name, F.lit(0).cast("bigint")).drop(part))
+
+
 def _chance(*cols: str):
     return (F.pmod(F.xxhash64(F.lit(17), *cols), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
@@ -105,46 +135,60 @@ def _chance(*cols: str):
 def mix_sources(documents: DataFrame, keep: list[str] | None = None, source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Copies of each document such that each source's words come to its target: the columns `keep` (all, if None), size, source_size, target, copies, taken.
 
-    taken = copies * size; copies are 0 to `most`. Every input row gives one row, repeated ids included; null sources are one
-    source; null texts have size 0 and take nothing; a source without words has target 0. Columns of the new names are
-    replaced; an empty table gives no rows. A source's taken words differ from its target by less than one document's size.
+    taken = copies * size; copies are 0 to `most`, and target / source size on average. Every input row gives one row, repeated
+    and null ids included; null sources are one source; null texts have size 0 and take nothing; a source without words has
+    target 0. Columns of the new names are replaced, all other names are the caller's; an empty table gives no rows. A source's
+    taken words differ from its target by less than one document's size.
     """
     new = ("size", "source_size", "target", "copies", "taken")
-    keep = [c for c in (documents.columns if keep is None else keep) if c.lower() not in new]
-    sized = with_sizes(documents.select(*(F.col(f"`{c}`") for c in documents.columns if c.lower() not in new)), text_col)
-    slim = stash(sized.groupBy(source_col).agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "source-sizes")
-    dealt_to = slim.select(_key(source_col).alias("_key"), F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("_buckets"))
-    targets = stash(source_targets(slim.select(source_col, "size"), source_col, weights, most).join(dealt_to, "_key"), "source-targets")
-    buckets = targets.agg(F.max("_buckets")).first()[0] or 1
-    rows = sized.withColumn("_key", _key(source_col)).withColumn("_h", F.xxhash64(text_col)).withColumn("_u", _chance(id_col, "_h"))
-    rows = join_small(rows, targets, ["_key"], F.col("_u")).withColumn("_bucket", F.pmod(F.xxhash64(id_col, F.lit(3)), F.col("_buckets")).cast("int"))
-    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = rows.withColumn("_base", F.floor(share).cast("int")).withColumn("_p", share - F.floor(share))
-    rows = rows.select(*(F.col(f"`{c}`") for c in keep), "size", "source_size", "target", "_key", "_bucket", "_u", "_h", "_base", "_p", F.col(id_col).alias("_id"))
-    by = ["_key", "_bucket"]
-    dealt = stash(rows.repartition(*by).sortWithinPartitions(*by, F.desc("size"), "_u", "_id", "_h").mapInPandas(_round_groups(by), rows.schema), "rounded")
+    names = [c for c in documents.columns if c.lower() not in new]
+    keep = [c for c in (names if keep is None else keep) if c.lower() not in new]
+    ident, key, text_hash, no, chance, base, share, bucket, node, up = unused(names, *("_id", "_key", "_hash", "_no", "_chance", "_base", "_share", "_bucket", "_node", "_up"))
+    extra = [F.col(f"`{id_col}`").alias(ident), F.col(f"`{source_col}`").cast("string").alias(key), F.xxhash64(F.col(f"`{text_col}`")).alias(text_hash)]
+    rows = with_sizes(documents.select(*cols(names)), text_col).select(*cols(keep), "size", *extra)
+    # texts are read, and words counted, once, unless texts are to be kept: written, those would cost more than the counting
+    slim = text_col.lower() not in {c.lower() for c in keep}
+    rows = stash(rows, "sizes") if slim else rows
+    sums = stash(rows.groupBy(F.col(key).alias("source")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "source-sizes")
+    dealt_to = sums.select(_key("source").alias("_key"), F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("buckets"))
+    targets = source_targets(sums.select("source", "size"), "source", weights, most).join(dealt_to, "_key")
+    targets = stash(targets.select(F.col("_key").alias(key), "source_size", "target", F.col("buckets").alias(bucket)), "source-targets")
+    buckets = targets.agg(F.max(bucket)).first()[0] or 1
+    rows = number_repeats(rows, [ident, text_hash, key], no, BUCKET_ROWS).withColumn(key, _key(key))
+    rows = join_small(rows.withColumn(chance, _chance(*map(F.col, (ident, text_hash, no)))), targets, [key], F.col(chance))
+    # numbered rows go in runs of a bucket's size, which are dealt like single rows
+    rows = rows.withColumn(bucket, F.pmod(F.xxhash64(ident, text_hash, F.floor(F.col(no) / BUCKET_ROWS), F.lit(3)), F.col(bucket)).cast("int"))
+    part = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rows = rows.withColumn(base, F.floor(part).cast("int")).withColumn(share, part - F.floor(part))
+    by = [key, bucket]
+    rows = rows.select(*cols(keep), "size", "source_size", "target", *by, chance, base, share, ident, text_hash, no)
+    sorted_ = rows.repartition(*by).sortWithinPartitions(*by, F.desc("size"), chance, ident, text_hash, no)
+    dealt = stash(sorted_.mapInPandas(_round_groups(by, share, "size", chance), rows.schema), "rounded")
     # up the tree: one residual per source and bucket at first
-    level = dealt.where("_p > 0 AND _p < 1").select("_key", "_bucket", F.col("_bucket").alias("_node"), "size", F.xxhash64("_u", F.lit(5)).alias("_v"), "_p")
+    level = dealt.where((F.col(share) > 0) & (F.col(share) < 1)).select(*by, F.col(bucket).alias(node), "size", F.xxhash64(chance, F.lit(5)).alias("draw"), share)
     settled, nodes, old = [], buckets, []
     while nodes > 1:
         nodes = math.ceil(nodes / FAN)
-        level = level.withColumn("_node", F.floor(F.col("_node") / FAN).cast("int")).withColumn("_u", _chance("_v", "_node"))
-        node = stash(level.repartition("_key", "_node").sortWithinPartitions("_key", "_node", F.desc("size"), "_u", "_bucket").mapInPandas(_round_groups(["_key", "_node"]), level.schema), "residuals")
-        settled.append(node.where("_p = 0 OR _p = 1").select("_key", "_bucket", F.col("_p").alias("_up")))
-        level = node.where("_p > 0 AND _p < 1")
-        old.append(node)
-    settled.append(level.select("_key", "_bucket", (F.col("_p") >= 0.5).cast("double").alias("_up")))
+        level = level.withColumn(node, F.floor(F.col(node) / FAN).cast("int")).withColumn(chance, _chance(F.col("draw"), F.col(node)))
+        in_order = level.repartition(key, node).sortWithinPartitions(key, node, F.desc("size"), chance, bucket)
+        at = stash(in_order.mapInPandas(_round_groups([key, node], share, "size", chance), level.schema), "residuals")
+        settled.append(at.where((F.col(share) == 0) | (F.col(share) == 1)).select(*by, F.col(share).alias(up)))
+        level = at.where((F.col(share) > 0) & (F.col(share) < 1))
+        old.append(at)
+    # the last one of a source is drawn too, so that its mean is its share
+    settled.append(level.select(*by, (_chance(F.col("draw"), F.lit(9)) < F.col(share)).cast("double").alias(up)))
     ups = settled[0]
     for more in settled[1:]:
         ups = ups.unionByName(more)
     ups = stash(ups, "settled")
-    drop(slim, *old)
-    open_ = F.col("_p").between(_ENDS / 2, 1 - _ENDS / 2)
-    out = dealt.where(~open_).withColumn("_up", F.col("_p")).unionByName(join_small(dealt.where(open_), ups, by, F.col("_u")).select(*dealt.columns, "_up"))
-    copies = (F.col("_base") + F.coalesce("_up", F.lit(0.0)).cast("int")).cast("int")
-    return out.select(*(F.col(f"`{c}`") for c in keep), "size", "source_size", "target", copies.alias("copies"), (copies.cast("bigint") * F.col("size")).alias("taken"))
+    drop(sums, targets, *old)
+    open_ = F.col(share).between(_ENDS / 2, 1 - _ENDS / 2)
+    out = dealt.where(~open_).withColumn(up, F.col(share)).unionByName(join_small(dealt.where(open_), ups, by, F.col(chance)).select(*cols(dealt.columns), up))
+    copies = (F.col(base) + F.coalesce(up, F.lit(0.0)).cast("int")).cast("int")
+    return out.select(*cols(keep), "size", "source_size", "target", copies.alias("copies"), (copies.cast("bigint") * F.col("size")).alias("taken"))
 
 
 def take_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each row as many times as its copies say."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*(F.col(f"`{c}`") for c in columns))
+    (copy,) = unused(mixed.columns, "_copy")
+    return mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*cols(columns))

@@ -100,12 +100,12 @@ class FactorisationMachine:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
-    """At most `sample` labelled documents with crc32(doc_id) mod 3 not 1, the first by a hash of the id: doc_id, y, text, n_chars. An id with several labels has the smallest."""
+    """At most `sample` labelled documents with crc32(doc_id) mod 3 not 1, the first by a hash of the id: doc_id, y, text, n_chars. An id with several labels, or texts, has the smallest."""
     own = stash(labels.where("quality IS NOT NULL AND doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 3 <> 1").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("y")), "quality-labels")
     u = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
     n = own.count()
     ids = stash(own.withColumn("u", u).where(F.col("u") * n < 2 * sample).orderBy("u", "doc_id").limit(sample).drop("u"), "quality-sample")
-    return join_small(documents.select(F.col("doc_id").cast("bigint"), "text", F.col("n_chars").cast("double")), ids, ["doc_id"], F.col("doc_id"), how="inner").dropDuplicates(["doc_id"])
+    return join_small(documents.select(F.col("doc_id").cast("bigint"), "text", F.col("n_chars").cast("double")), ids, ["doc_id"], F.col("doc_id"), how="inner").groupBy("doc_id", "y").agg(F.min(F.struct("text", "n_chars")).alias("own")).select("doc_id", "y", "own.*")
 
 
 def _sparse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -17,8 +17,8 @@ from tamis.llm.common import join_small, stash
 PERIOD_DAYS = 90
 #: The end of intervals that nothing closes.
 OPEN_END = "9999-12-31 00:00:00"
-#: Schemes and labels that a host is read without.
-_AUTHORITY = r"^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
+#: The host of a URL, after scheme and user and before the port; an IPv6 address keeps its brackets.
+_AUTHORITY = r"^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 
 
 def host_of(url: Column) -> Column:
@@ -35,9 +35,9 @@ def path_of(url: Column) -> Column:
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parent domains, down to the last label."""
+    """The host and its parent domains, down to the last label; an IP address has no parents."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(host.rlike(r"^(\[.*\]|[0-9]+(\.[0-9]+){3})$"), F.array(host)).otherwise(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -61,11 +61,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     blocked. One row per input row, repeated ids included; other columns are ignored; an empty list blocks nothing.
     """
     at = F.col(time_col).cast("timestamp")
-    rows = captures.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("_path"), at.alias("fetched_at"))
+    rows = captures.select(F.col(f"`{id_col}`").alias("_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("_path"), at.alias("fetched_at"))
     valid = validity_intervals(entries)
-    # no capture is later than the last one, so an open interval is listed up to there
-    last = captures.agg(_period(F.max(at))).first()[0]
-    spans = valid.withColumn("_period", F.explode(F.sequence(_period(F.col("valid_from")), F.greatest(_period(F.col("valid_from")), F.least(_period(F.col("valid_to")), F.lit(last or 0))))))
+    # an interval is listed in the periods that have captures, however long before or after it runs
+    first, last = captures.agg(_period(F.min(at)), _period(F.max(at))).first()
+    start, end = F.greatest(_period(F.col("valid_from")), F.lit(first or 0)), F.least(_period(F.col("valid_to")), F.lit(last or 0))
+    spans = valid.withColumn("_period", F.explode(F.when(start <= end, F.sequence(start, end))))
     spans = stash(spans.withColumnRenamed("domain", "_domain"), "intervals")
     asked = stash(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_period", _period(F.col("fetched_at"))), "captures")
     keys = asked.where("host IS NOT NULL AND fetched_at IS NOT NULL").select("_row", "_path", "fetched_at", "_period", F.explode(domains_of(F.col("host"))).alias("_domain"))
@@ -73,4 +74,4 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     hit = met.where((F.col("valid_from") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("valid_to")) & F.startswith(F.col("_path"), F.col("prefix")))
     found = hit.groupBy("_row").agg(F.count("*").alias("n_rules"), F.min("rule").alias("first_rule"))
     out = asked.join(found, "_row", "left")
-    return out.select(F.col(id_col), "host", "fetched_at", F.col("n_rules").isNotNull().alias("blocked"), F.coalesce("n_rules", F.lit(0)).cast("bigint").alias("n_rules"), "first_rule")
+    return out.select(F.col("_id").alias(id_col), "host", "fetched_at", F.col("n_rules").isNotNull().alias("blocked"), F.coalesce("n_rules", F.lit(0)).cast("bigint").alias("n_rules"), "first_rule")

@@ -163,6 +163,22 @@ def test_mix_meets_its_targets_and_repeats(spark, bucket, monkeypatch):
     assert taken.count() == sum(r["copies"] for r in out)
 
 
+def test_mix_numbers_many_repeated_rows(spark, monkeypatch):
+    import tamis.llm.mixing as X
+
+    monkeypatch.setattr(X, "BUCKET_ROWS", 16)
+    rows = [(None, f"w {i}", "a") for i in range(100)] + [(None, "w w", "b")] * 300 + [(i, "w " * (i % 7), "c") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    key = lambda rs: sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["size"], r["target"], r["taken"]) for r in rs)
+    slim, whole = mix_sources(df.repartition(5), keep=["doc_id"]).collect(), mix_sources(df.repartition(3)).collect()
+    assert len(slim) == len(rows) and key(slim) == key(whole)
+    for s in "abc":
+        own = [r for r in whole if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 7
+    numbered = X.number_repeats(df.select("text", "source"), ["text", "source"], "no", 16).collect()
+    assert sorted(r["no"] for r in numbered if r["source"] == "b") == list(range(300)) and {r["no"] for r in numbered if r["source"] == "a"} == {0}
+
+
 def test_mix_of_nothing(spark):
     _, df = mixture(spark, 3)
     assert mix_sources(df.limit(0)).count() == 0
@@ -179,6 +195,8 @@ def test_parts_of_urls(spark):
     assert [r[0] for r in df.select(host_of(F.col("u"))).collect()] == ["m.example.com", "cdn.example.org", None, None, None, "example.net", None]
     assert [r[0] for r in df.select(path_of(F.col("u"))).collect()][:2] == ["/de/x", "/"]
     assert df.select(domains_of(host_of(F.col("u")))).first()[0] == ["m.example.com", "example.com", "com"]
+    addresses = spark.createDataFrame([("http://[2001:DB8::1]:80/x",), ("http://me@[::1]",), ("http://10.0.0.1:8080/",)], "u string").coalesce(1)
+    assert [(r[0], r[1]) for r in addresses.select(host_of(F.col("u")), domains_of(host_of(F.col("u")))).collect()] == [(h, [h]) for h in ("[2001:db8::1]", "[::1]", "10.0.0.1")]
 
 
 ENTRIES = "domain string, prefix string, action string, listed_at string"

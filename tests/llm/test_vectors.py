@@ -132,15 +132,15 @@ def test_repeated_ids_with_other_vectors_and_labels(spark):
     assert got == [(3, 1, 3), (5, 1, 3), (5, 1, 5), (8, 1, 5)]
 
 
-@pytest.mark.parametrize("bucket", [8, 32])
-def test_tables_of_large_labels_find_the_links_of_brute_force(spark, bucket, monkeypatch):
+@pytest.mark.parametrize("cost", [1, 4])
+def test_tables_of_large_labels_find_the_links_of_brute_force(spark, cost, monkeypatch):
     import tamis.llm.embedding_dedup as E
 
-    monkeypatch.setattr(E, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(E, "ROW_COST", cost)
     E.layout.cache_clear()
     rows = cloud(400, 16, 2, 5)
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_near_duplicates(vectors(spark, rows).repartition(3)).collect()}
-    assert E.layout(200, 0.98)[0] >= 2 and got == brute_links(rows)
+    assert E.layout(200, 0.98)[0] >= 3 and got == brute_links(rows)
     E.layout.cache_clear()
 
 
@@ -151,8 +151,8 @@ def test_estimates_are_unbiased_and_bounds_hold():
     unit = unit_rows(rng.normal(size=(400, 64)) + 0.6 * rng.normal(size=64))
     off, whole = ~np.eye(400, dtype=bool), unit @ unit.T
     gaps = [(estimates(Codes(unit, rng, part)) - whole)[off] for part in range(24)]
-    assert max(g.std() for g in gaps) < 0.08 and abs(np.mean(gaps)) < 2e-3
-    assert abs(np.mean(gaps, axis=0)).max() < 6 * 0.08 / 24**0.5  # pair by pair, over the rotations
+    assert max(g.std() for g in gaps) < 0.11 and abs(np.mean(gaps)) < 2e-3
+    assert abs(np.mean(gaps, axis=0)).max() < 6 * 0.11 / 24**0.5  # pair by pair, over the rotations
     assert (Codes(unit, rng).bounds(slice(0, 400), slice(0, 400)) >= whole).mean() > 0.9999
 
 
