@@ -1,24 +1,34 @@
 """N-gram Jaccard join by token-combination prefixes.
 
 A text's tokens are its distinct 5-word shingles, as 64-bit hashes. All texts order their tokens by an estimated frequency
-(from a count sketch of fixed size over all documents), then hash. Two sets with Jaccard >= t share a token within the first
-n - ceil(t n) + 1 tokens of both, and two tokens within one token more. So rare tokens of the prefix are indexed singly, and
-where only frequent tokens are shared, two of the extended prefix are: pairs of frequent tokens are indexed. In large sets
-pairs of frequent tokens would be too many; these index them singly, as does every set that can be similar to a large one.
-
-Copies (equal sets) are one node. Lists of the index are not expanded into pairs: first every node of a list is verified
-against the list's smallest and largest node; what that links is one component. Then only nodes of one list that are still in
-different components are paired and verified, so that no link between components is lost. Verified are the whole sets.
+(from a count sketch over all documents), then hash. Of two sets with Jaccard >= t, the first n - ceil(t n) + 1 tokens of both
+(their prefixes) share the first token that the sets share. If that is a rare one, the sets meet in the list of this token.
+If not, all tokens that they share are frequent, and e more tokens of both hold e more shared ones. Frequent tokens are dealt by
+hash over groups: class 2 over m2 groups, class 3, the most frequent, over m3; with e = m2 + 2 * m3, some group of class 2 has
+two shared tokens or some group of class 3 has three. So rare tokens of the prefix are indexed singly, and of the extended
+prefix of sets that have frequent tokens in their prefix the pairs within each group of class 2 and the triples within each of
+class 3. Groups grow with the set, so that a set has about as many combinations as tokens at any size. Sets of unequal size
+must use the same groups: these follow from the power of two of the larger one, which the smaller one indexes too.
+
+Copies (equal sets) are one node. Lists of the index are not expanded into pairs, and a list whose tokens are expected in more
+than CELL documents is dealt over cells. First every node of a cell is verified against the cell's smallest and largest node,
+then the cells' own ones against those of the list; what that links is one component. Then only nodes of one list that are still
+in different components are paired, cell by cell, and verified, so that no link between components is lost. Verified are the
+whole sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.llm.common import components, drop, join_small, stash
@@ -27,14 +37,18 @@ from tamis.llm.words import mix, shingle_sets
 WIDTH = 5
 #: Similarity as a percentage: linked if 100 * |A and B| >= PERCENT * |A or B|.
 PERCENT = 80
-#: The frequency sketch: counters (fixed) and counters in a row of it.
-SKETCH_BITS = 21
-_ROW = 1 << 14
-#: Sets with more frequent tokens than this in their prefix may occur from LARGE tokens on; they index them singly.
-PAIRED = 64
+#: The frequency sketch has a counter for so many characters, within these powers of two, and is sent in rows of _ROW counters, merged FAN tasks at a time.
+SKETCH_CHARS, SKETCH_BITS = 512, (16, 22)
+_ROW, FAN = 1 << 14, 16
+#: Counters are read as STEPS * log2(1 + count), in a byte.
+STEPS = 8
+#: Tokens of class 3 are so many times as frequent as the rarest of class 2.
+CLASS_3 = 64
+#: Documents that a cell of a list may be expected to hold.
+CELL = 4096
 SALTS = 16
 #: Documents whose shingles a task holds at a time.
-SLICE = 256
+SLICE = 64
 
 
 def _least(n: np.ndarray | int, percent: int):
@@ -42,97 +56,161 @@ def _least(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
-def _large(percent: int) -> int:
-    """The smallest set whose extended prefix holds more than PAIRED tokens."""
-    n = 2
-    while n - _least(n, percent) + 2 <= PAIRED:
-        n += 1
-    return n
+@cache
+def groups(power: int, percent: int) -> tuple[int, int]:
+    """(m2, m3): the groups of class 2 and of class 3, where the larger set has 2^power tokens or more, below twice that. Where similar sets may share too few tokens, m3 is 0, or both are, and frequent tokens are indexed singly."""
+    longest = (2 << power) - 1
+    prefix, shared = longest - _least(longest, percent) + 1, _least(1 << power, percent)
+    m2, m3 = max(1, prefix // 16), prefix // 6
+    if m3 > 1 and shared > m2 + 2 * m3:
+        return m2, m3
+    return (m2 if shared > m2 else 1, 0) if shared > 1 else (0, 0)
+
+
+@cache
+def _choices(n: int, k: int) -> np.ndarray:
+    """All choices of k of n positions, each ascending."""
+    return np.array(list(combinations(range(n), k)), np.int64).reshape(-1, k)
 
 
 def node_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _survey(width: int):
+def _survey(width: int, bits: int):
     """(doc_id, n, node) of every document, and the rows of a sketch of its task's token counts."""
 
     def survey(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        sketch = np.zeros(1 << bits, np.int32)
         for whole in parts:
             for at in range(0, len(whole), SLICE):
                 pdf, n, node = whole.iloc[at : at + SLICE], [], []
                 for tokens in shingle_sets(pdf["text"].tolist(), width):
                     n.append(len(tokens))
                     node.append(node_of(tokens) if len(tokens) else None)
-                    np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n": np.array(n, np.int64), "node": pd.array(node, dtype="Int64"), "at": None, "counts": None})
-        most = sketch.max()
-        small = sketch.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.int32)
-        rows = [small[k : k + _ROW] for k in range(0, len(small), _ROW)]
-        if most:
-            yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "at": range(len(rows)), "counts": [r.tobytes() for r in rows]})
+                    np.add.at(sketch, (tokens >> np.uint64(64 - bits)).astype(np.int64), 1)
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n": np.array(n, np.int64), "node": pd.array(node, dtype="Int64"), "task": None, "at": None, "counts": None})
+        if sketch.any():
+            rows = [small(sketch[k : k + _ROW]) for k in range(0, len(sketch), _ROW)]
+            yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "task": TaskContext.get().partitionId(), "at": range(len(rows)), "counts": rows})
 
     return survey
 
 
+def small(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as they take."""
+    most = int(counts.max())
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
 def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sums: dict[int, np.ndarray] = {}
+    """The sums of sketch rows with the same (task, at), where `task` numbers what is merged so far."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
     for pdf in parts:
-        for at, b in zip(pdf["at"], pdf["counts"], strict=True):
-            sums[at] = sums.get(at, 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.int32}[len(b)]).astype(np.int64)
-    yield pd.DataFrame({"at": list(sums), "counts": [np.minimum(s, 2**31 - 1).astype(np.int32).tobytes() for s in sums.values()]}).astype({"at": "int32"})
+        for task, at, b in zip(pdf["task"], pdf["at"], pdf["counts"], strict=True):
+            sums[task, at] = sums.get((task, at), 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(b)]).astype(np.int64)
+    if sums:
+        yield pd.DataFrame({"task": [t for t, _ in sums], "at": [a for _, a in sums], "counts": [small(np.minimum(s, 2**32 - 1)) for s in sums.values()]}).astype({"task": "int32", "at": "int32"})
+
+
+def _read_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in parts:
+        counts = [np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(b)]).astype(np.int64) for b in pdf["counts"]]
+        yield pd.DataFrame({"at": pdf["at"], "levels": [level_of(c).astype(np.uint8).tobytes() for c in counts], "total": [int(c.sum()) for c in counts]})
+
 
+def level_of(count: np.ndarray | float):
+    return np.floor(STEPS * np.log2(1.0 + count))
 
-def _sketch(found: DataFrame) -> tuple[bytes, int]:
-    """The whole count sketch, which has a fixed number of counters whatever the input, and the count above which a token is frequent."""
-    counts = np.zeros(1 << SKETCH_BITS, np.int32)
-    for r in found.where("at IS NOT NULL").select("at", "counts").repartition("at").mapInPandas(_sum_rows, "at int, counts binary").collect():
-        counts[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["counts"], np.int32)
-    mean = counts.mean(dtype=np.float64)
-    return counts.tobytes(), int(mean + 12 * mean**0.5 + 8)
 
+def _sketch(found: DataFrame, bits: int) -> tuple[bytes, int]:
+    """The sketch as a byte a counter, and the level above which a token is frequent: more than 12 deviations above what other tokens bring to a counter. Rows of the tasks' sketches are merged up a tree of fan-in FAN."""
+    rows = found.where("at IS NOT NULL").select("task", "at", "counts")
+    tasks = (rows.agg(F.max("task")).first()[0] or 0) + 1
+    while tasks > 1:
+        tasks = math.ceil(tasks / FAN)
+        rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).repartition("at", "task").mapInPandas(_sum_rows, "task int, at int, counts binary")
+    levels, total = np.zeros(1 << bits, np.uint8), 0
+    for r in rows.mapInPandas(_read_rows, "at int, levels binary, total bigint").collect():
+        levels[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["levels"], np.uint8)
+        total += r["total"]
+    mean = total / (1 << bits)
+    return levels.tobytes(), int(level_of(mean + 12 * mean**0.5 + 8))
 
-def _postings(sketch, frequent: int, width: int, percent: int):
-    """(key, node, n, at) of the index, once per node and task. at: if the key holds the first tokens that a similar set shares, so many of the node's tokens are not shared."""
-    large = _large(percent)
-    near_large = _least(large, percent)
 
-    def of(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Postings:
+    """The index entries of sets of tokens; levels is the sketch, tokens above `rare` are of class 2, those above `often` of class 3."""
+
+    def __init__(self, levels: np.ndarray, rare: int, often: int, percent: int):
+        self.levels, self.rare, self.often, self.percent = levels, rare, often, percent
+        self.shift = np.uint64(64 - int(math.log2(len(levels))))
+
+    def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, places, levels) of a sorted set. A place says: if two similar sets share no earlier entry, so many of this one's tokens are not shared. A level bounds the documents that have the entry."""
         n = len(tokens)
-        p = n - _least(n, percent) + 1
-        count = counts[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-        order = np.argsort(count, kind="stable")[: p + 1]  # tokens are sorted by hash already
-        first, often = tokens[order], count[order] > frequent
-        at = np.arange(p)
-        keys, places = [first[:p][~often[:p]]], [at[~often[:p]]]
-        heavy, start = first[often], p + 1 - int(often.sum())
-        if len(heavy) and n >= near_large:
-            keys.append(first[:p][often[:p]])
-            places.append(at[often[:p]])
-        if len(heavy) > 1 and n < large:
-            a, b = np.triu_indices(len(heavy), 1)
-            keys.append(mix(heavy[a] * np.uint64(0x9E3779B97F4A7C15) + mix(heavy[b])))
-            places.append(start + b - 1)  # one token is shared before the second
-        return np.concatenate(keys), np.concatenate(places)
+        p = n - _least(n, self.percent) + 1
+        powers = range(n.bit_length() - 1, (n * 100 // self.percent).bit_length())
+        more = {power: m2 + 2 * m3 for power in powers for m2, m3 in (groups(power, self.percent),)}
+        level = self.levels[(tokens >> self.shift).astype(np.int64)]
+        order = np.argsort(level, kind="stable")[: p + max(more.values())]  # tokens are sorted by hash already
+        first, level = tokens[order], level[order]
+        single = int(np.searchsorted(level[:p], self.rare, side="right"))
+        keys, places, levels = [first[:single]], [np.arange(single)], [level[:single]]
+        if single == p:
+            return keys[0], places[0], levels[0]
+        for power, e in more.items():
+            heavy, own = first[single : p + e], level[single : p + e]
+            m2, m3 = groups(power, self.percent)
+            if not m2:
+                keys.append(mix(heavy + np.uint64(power)))
+                places.append(np.arange(single, p))
+                levels.append(own)
+                continue
+            cut = int(np.searchsorted(own, self.often, side="right")) if m3 else len(heavy)
+            for k, a, b, m in ((2, 0, cut, m2), (3, cut, len(heavy), m3)):
+                if b - a < k:
+                    continue
+                part = (heavy[a:b] >> np.uint64(11)).astype(np.int64) % m
+                by = np.argsort(part, kind="stable")
+                edge = np.append(np.flatnonzero(np.diff(part[by], prepend=-1)), b - a)
+                chosen = [by[x + _choices(int(y - x), k)] + a for x, y in zip(edge[:-1], edge[1:], strict=True) if y - x >= k]
+                if chosen:
+                    chosen = np.concatenate(chosen)
+                    key = np.full(len(chosen), power * 4 + k, np.uint64)
+                    for c in range(k):
+                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + heavy[chosen[:, c]])
+                    keys.append(key)
+                    places.append(np.maximum(0, single + chosen[:, -1] - e))
+                    levels.append(own[chosen[:, 0]])  # the rarest token of it comes first
+        return np.concatenate(keys), np.concatenate(places), np.concatenate(levels)
+
+
+def _postings(sketch, rare: int, often: int, width: int, percent: int, most: int):
+    """(cell, list, node, n, at) of the index, once per node and task. cell: the list's key or, of a list that is dealt over cells, the cell's; list: the key of a list that is dealt, else null. A list is dealt if more than `most` documents are expected in it."""
 
     def postings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, seen = np.frombuffer(sketch.value, np.int32), set()
+        index, seen = Postings(np.frombuffer(sketch.value, np.uint8), rare, often, percent), set()
         for whole in parts:
             for at in range(0, len(whole), SLICE):
-                keys, places, nodes, sizes = [], [], [], []
+                keys, places, levels, nodes, sizes = [], [], [], [], []
                 for tokens in shingle_sets(whole["text"].iloc[at : at + SLICE].tolist(), width):
-                    # a set of one token is similar to its copies only
-                    if len(tokens) > 1 and (node := node_of(tokens)) not in seen:
+                    # a set of one token is similar to its copies only, above 50 percent
+                    if (len(tokens) > 1 or percent <= 50) and len(tokens) and (node := node_of(tokens)) not in seen:
                         seen.add(node)
-                        key, place = of(tokens, counts)
-                        keys.append(key)
-                        places.append(place)
+                        for into, new in zip((keys, places, levels), index.of(tokens), strict=True):
+                            into.append(new)
                         nodes.append(node)
                         sizes.append(len(tokens))
                 if keys:
                     times = [len(k) for k in keys]
-                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.repeat(np.array(nodes, np.int64), times), "n": np.repeat(np.array(sizes, np.int32), times), "at": np.concatenate(places).astype(np.int32)})
+                    key, node = np.concatenate(keys), np.repeat(np.array(nodes, np.int64), times)
+                    cells = np.ceil((2.0 ** ((np.concatenate(levels) + 1.0) / STEPS) - 1) / most).astype(np.uint64)
+                    dealt = cells > 1
+                    cell = key.copy()
+                    cell[dealt] = mix(key[dealt] + (mix(node[dealt].view(np.uint64)) % cells[dealt] + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03))
+                    lists = pd.array(key.view(np.int64), dtype="Int64")
+                    lists[~dealt] = pd.NA
+                    yield pd.DataFrame({"cell": cell.view(np.int64), "list": lists, "node": node, "n": np.repeat(np.array(sizes, np.int32), times), "at": np.concatenate(places).astype(np.int32)})
 
     return postings
 
@@ -175,61 +253,93 @@ def _compare(percent: int):
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar; pairs are a stashed table, sets (node, tokens)."""
     rows = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
-    partners = join_small(sets, stash(rows.withColumn("node", F.col("b")), "partners"), ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(1).alias("role"), "b", "tokens")
-    firsts = join_small(sets, stash(rows.select(F.col("a").alias("node"), "a", "salt").distinct(), "firsts"), ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
+    second = stash(rows.withColumn("node", F.col("b")), "partners")
+    center = stash(rows.select(F.col("a").alias("node"), "a", "salt").distinct(), "firsts")
+    partners = join_small(sets, second, ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(1).alias("role"), "b", "tokens")
+    firsts = join_small(sets, center, ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
     met = partners.unionByName(firsts).repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "b")
     return met.mapInPandas(_compare(percent), "a bigint, b bigint")
 
 
-def _can_be_similar(x: str, y: str, percent: int):
-    """Whether two postings of a key, named by prefix, can be those of the first tokens that similar sets share: each set less its tokens before them must hold the overlap that both sizes ask for."""
+def _can_be_similar(x: str, y: str, percent: int) -> Column:
+    """Whether two entries of a list, named by prefix, can be the first that similar sets share: each set less its tokens before them must hold the overlap that both sizes ask for."""
     n, m, i, j = (F.col(f"{p}.{c}") for c in ("n", "at") for p in (x, y))
     return F.least(n - i, m - j) * (100 + percent) >= (n + m) * percent
 
 
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the nodes x with the nodes `near` and `low` of their cell or list."""
+    stars = rows.select("x", F.explode(F.array("near", "low")).alias("to")).where(F.col("x.node") != F.col("to.node")).where(_can_be_similar("x", "to", percent))
+    return stars.select(F.col("to.node").alias("a"), F.col("x.node").alias("b"))
+
+
+def _open_pairs(index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes that stand in one list, can be similar there, and are in different components so far."""
+    named = join_small(index.select(F.coalesce("list", "cell").alias("key"), "x.node", "x.n", "x.at"), comp, ["node"], F.col("node"))
+    named = named.withColumn("comp", F.coalesce("component_id", "node")).drop("component_id")
+    # lists are counted before rows move: a list whose nodes are all in one component goes no further
+    lists = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
+    lists = stash(lists.select("key", F.ceil(F.col("rows") / CELL).cast("int").alias("cells")), "open-keys")
+    rows = stash(join_small(named, lists, ["key"], F.col("node"), how="inner").distinct(), "open-lists")
+    # a list above CELL rows is dealt over cells (i, j) of row groups
+    s = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
+    dealt = rows.withColumn("s", s).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    dealt = dealt.withColumns({"i": F.least("s", "other"), "j": F.greatest("s", "other")}).drop("other", "cells")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & ((F.col("x.s") != F.col("y.s")) | (F.col("x.i") == F.col("x.j")))
+    met = x.join(y, same & apart & _can_be_similar("x", "y", percent))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id reachable by links, itself included.
 
     Words are runs other than space and 0x09-0x0D, A-Z in lower case; a set holds the distinct shingles of `width` words, or
     the whole sequence if it is shorter. Rows are linked if 100 * shared >= percent * union. Null texts and texts without words
     have empty sets and link with nothing. One row per input row; rows of one id share no link by their id alone. Other
-    columns are ignored; an empty table gives no rows.
+    columns are ignored; an empty table gives no rows. Links are a matter of 64-bit hashes of shingles and of sets.
     """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and at most 100")
     spark = documents.sparkSession
-    rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    found = stash(rows.mapInPandas(_survey(width), "doc_id bigint, n bigint, node bigint, at int, counts binary"), "survey")
+    rows = documents.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max(math.ceil(math.log2(chars / SKETCH_CHARS + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
+    found = stash(rows.mapInPandas(_survey(width, bits), "doc_id bigint, n bigint, node bigint, task int, at int, counts binary"), "survey")
     docs = found.where("at IS NULL").select("doc_id", "n", "node")
-    counts, frequent = _sketch(found)
-    sketch = spark.sparkContext.broadcast(counts)
-    del counts
-    lists = rows.mapInPandas(_postings(sketch, frequent, width, percent), "key bigint, node bigint, n int, at int")
-    by = Window.partitionBy("key")
+    levels, rare = _sketch(found, bits)
+    sketch = spark.sparkContext.broadcast(levels)
+    often = rare + int(STEPS * math.log2(CLASS_3))
+    lists = rows.mapInPandas(_postings(sketch, rare, often, width, percent, CELL), "cell bigint, list bigint, node bigint, n int, at int")
+    by = Window.partitionBy("cell")
     own = F.struct("node", "n", "at")
-    # of a list, the node with the fewest tokens of its own stands nearest to all others; another one is its smallest
-    ends = lists.select(F.col("key"), own.alias("x")).withColumn("near", F.min_by("x", F.struct("x.at", "x.node")).over(by)).withColumn("low", F.min("x").over(by)).withColumn("high", F.max("x.node").over(by))
-    index = stash(ends.where("low.node < high"), "lists")
-    stars = index.select("x", F.explode(F.array("near", "low")).alias("to")).where(F.col("x.node") != F.col("to.node")).where(_can_be_similar("x", "to", percent))
-    first = stash(stars.select(F.col("to.node").alias("a"), F.col("x.node").alias("b")).distinct(), "star-pairs")
+    # of a cell, the node with the fewest tokens of its own stands nearest to all others; another one is its smallest
+    near = F.min_by("x", F.struct("x.at", "x.node"))
+    ends = lists.select("cell", "list", own.alias("x")).withColumn("near", near.over(by)).withColumn("low", F.min("x").over(by)).withColumn("high", F.max("x.node").over(by))
+    index = stash(ends.where("low.node < high OR list IS NOT NULL").drop("high"), "lists")
+    # cells of one list meet by their own ends
+    heads = index.where("list IS NOT NULL").select("list", F.explode(F.array("near", "low")).alias("x")).distinct()
+    heads = stash(heads, "cell-ends")
+    tops = heads.groupBy("list").agg(near.alias("near"), F.min("x").alias("low"))
+    first = stash(_stars(index, percent).unionByName(_stars(heads.join(tops, "list"), percent)).distinct(), "star-pairs")
     # sets of all nodes that meet another in the index
     reps = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     needed = stash(reps.join(index.select("x.node").distinct(), "node", "left_semi").select("doc_id").distinct(), "needed")
-    sets = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="inner").mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
+    sets = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="left_semi").mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
     links = stash(_verify(first, sets, percent), "star-links")
-    comp = stash(components(links), "star-components")
-    named = join_small(index.select("key", "x.node", "x.n", "x.at"), comp, ["node"], F.col("node")).withColumn("comp", F.coalesce("component_id", "node")).select("key", "node", "n", "at", "comp")
-    open_ = stash(named.withColumn("lo", F.min("comp").over(by)).withColumn("hi", F.max("comp").over(by)).where("lo < hi").select("key", "node", "n", "at", "comp").distinct(), "open-lists")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _can_be_similar("x", "y", percent))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    comp = components(links)
+    rest = _open_pairs(index, comp, percent)
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = stash(rest.join(done, ["a", "b"], "left_anti"), "open-pairs")
     more = stash(_verify(second, sets, percent), "open-links")
-    final = stash(components(links.unionByName(more)), "node-components")
+    final = components(links.unionByName(more))
     named = reps.join(final, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     nodes = stash(named.join(smallest, "comp").select("node", "component_id"), "node-smallest")
     out = join_small(docs.where("node IS NOT NULL"), nodes, ["node"], F.col("doc_id"), how="inner")
-    drop(index, first, sets, links, comp, open_, second, more)
+    drop(index, heads, first, needed, sets, links, comp, second, more, final)
+    sketch.destroy()
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(docs.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 

@@ -126,15 +126,47 @@ def test_components_equal_brute_force(spark, seed, groups, most, percent, monkey
     assert got == brute_components(texts, percent)
 
 
-def test_pairs_of_frequent_tokens_and_large_sets_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(J, "PAIRED", 12)  # sets of 55 tokens and more count as large
-    # everything but df 1 counts as frequent
-    monkeypatch.setattr(J, "SKETCH_BITS", 20)
+@pytest.mark.parametrize("rare,often,cell", [(0, 1, 1 << 20), (0, 250, 8), (6, 12, 8)])
+def test_combinations_of_frequent_tokens_and_cells_lose_no_link(spark, monkeypatch, rare, often, cell):
+    plain = J._sketch
+    monkeypatch.setattr(J, "_sketch", lambda found, bits: (plain(found, bits)[0], rare))
+    monkeypatch.setattr(J, "CLASS_3", 2 ** ((often - rare) / J.STEPS))
+    monkeypatch.setattr(J, "CELL", cell)
     texts = near_copies(5, 3, 60, 40)
     got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(docs(spark, texts)).collect()}
     assert got == {i: c for i, (_, c) in brute_components(texts).items()}
 
 
+@pytest.mark.parametrize("percent", [30, 50, 60, 80, 95])
+def test_similar_sets_share_an_entry_that_admits_them(percent):
+    rng, met = np.random.default_rng(percent), 0
+    levels = rng.integers(0, 60, 1 << 16).astype(np.uint8)
+    for rare, often in ((-1, 255), (0, 0), (20, 40), (50, 55)):
+        index = J.Postings(levels, rare, often, percent)
+        for n in (1, 2, 3, 5, 7, 12, 31, 64, 100, 127, 128, 250, 400, 1000, 2500):
+            for _ in range(6):
+                a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+                keep = rng.permutation(a)[: max(1, len(a) - int(rng.integers(0, 1 + len(a) * (100 - percent) // 100)))]
+                b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 64, int(rng.integers(0, 2 + n // 20)), dtype=np.uint64)]))
+                shared = len(np.intersect1d(a, b))
+                if 100 * shared < percent * (len(a) + len(b) - shared):
+                    continue
+                met += 1
+                entries = [dict(zip(k.tolist(), p.tolist(), strict=True)) for k, p, _ in (index.of(a), index.of(b))]
+                both = entries[0].keys() & entries[1].keys()
+                assert any(min(len(a) - entries[0][k], len(b) - entries[1][k]) * (100 + percent) >= (len(a) + len(b)) * percent for k in both)
+                assert percent < 80 or len(entries[0]) < 60 + 8 * len(a)
+    assert met > 100
+
+
+def test_one_shingle_in_all_of_many_large_documents(spark):
+    rng = random.Random(6)
+    texts = [" ".join(["one passage that all hold"] + [f"w{rng.randint(0, 10**6)}" for _ in range(400)]) for _ in range(5000)]
+    texts[4000] = texts[17] + " more"
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_components(docs(spark, texts)).collect()}
+    assert [i for i, (_, c) in got.items() if c != i] == [4000] and got[4000][1] == 17
+
+
 def test_one_of_each(spark):
     texts = ["a b c d e f", "A B C D E F", "other words are in this text", None, None, "", "x"]
     df = docs(spark, texts).withColumn("lang", F.lit("en"))
