@@ -68,8 +68,8 @@ def _sweep() -> None:
 
 
 def bytes_of(df: DataFrame) -> int:
-    """What the rows of a written table take in memory: 16 bytes a row, 8 a column, and the contents of strings, binaries and arrays."""
-    size = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    """What the rows of a written table take in a broadcast: 48 bytes a row, 8 a column, and the contents of strings, binaries and arrays."""
+    size = F.lit(48 + 8 * len(df.columns)).cast("bigint")
     for field in df.schema:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, StringType | BinaryType):

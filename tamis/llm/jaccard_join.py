@@ -38,7 +38,7 @@ WIDTH = 5
 #: Similarity as a percentage: linked if 100 * |A and B| >= PERCENT * |A or B|.
 PERCENT = 80
 #: The frequency sketch has a counter for so many characters, within these powers of two, and is sent in rows of _ROW counters, merged FAN tasks at a time.
-SKETCH_CHARS, SKETCH_BITS = 512, (16, 22)
+SKETCH_CHARS, SKETCH_BITS = 128, (16, 22)
 _ROW, FAN = 1 << 14, 16
 #: Counters are read as STEPS * log2(1 + count), in a byte.
 STEPS = 8
@@ -61,7 +61,7 @@ def groups(power: int, percent: int) -> tuple[int, int]:
     """(m2, m3): the groups of class 2 and of class 3, where the larger set has 2^power tokens or more, below twice that. Where similar sets may share too few tokens, m3 is 0, or both are, and frequent tokens are indexed singly."""
     longest = (2 << power) - 1
     prefix, shared = longest - _least(longest, percent) + 1, _least(1 << power, percent)
-    m2, m3 = max(1, prefix // 16), prefix // 6
+    m2, m3 = max(1, prefix // 24), prefix // 8
     if m3 > 1 and shared > m2 + 2 * m3:
         return m2, m3
     return (m2 if shared > m2 else 1, 0) if shared > 1 else (0, 0)
@@ -180,7 +180,8 @@ class Postings:
                     for c in range(k):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + heavy[chosen[:, c]])
                     keys.append(key)
-                    places.append(np.maximum(0, single + chosen[:, -1] - e))
+                    # no rare token is shared then, and of those before the last of it at most e
+                    places.append(single + np.maximum(0, chosen[:, -1] - e))
                     levels.append(own[chosen[:, 0]])  # the rarest token of it comes first
         return np.concatenate(keys), np.concatenate(places), np.concatenate(levels)
 
