@@ -252,13 +252,12 @@ def _compare(percent: int):
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar; pairs are a stashed table, sets (node, tokens)."""
+    """The pairs (a, b) whose whole sets are similar; pairs are a stashed table, sets (node, tokens). Sets are shuffled once to what asks for them and once to their pairs, whatever the size; a node asks at most once for each salt of a center."""
     rows = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
-    second = stash(rows.withColumn("node", F.col("b")), "partners")
-    center = stash(rows.select(F.col("a").alias("node"), "a", "salt").distinct(), "firsts")
-    partners = join_small(sets, second, ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(1).alias("role"), "b", "tokens")
-    firsts = join_small(sets, center, ["node"], F.col("node"), how="inner").select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "tokens")
-    met = partners.unionByName(firsts).repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "b")
+    partners = rows.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("role"), "b")
+    centers = rows.select(F.col("a").alias("node"), "a", "salt").distinct().select("node", "a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"))
+    met = sets.hint("merge").join(partners.unionByName(centers), "node").select("a", "salt", "role", "b", "tokens")
+    met = met.repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "b")
     return met.mapInPandas(_compare(percent), "a bigint, b bigint")
 
 

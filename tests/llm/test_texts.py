@@ -155,7 +155,7 @@ def test_similar_sets_share_an_entry_that_admits_them(percent):
                 entries = [dict(zip(k.tolist(), p.tolist(), strict=True)) for k, p, _ in (index.of(a), index.of(b))]
                 both = entries[0].keys() & entries[1].keys()
                 assert any(min(len(a) - entries[0][k], len(b) - entries[1][k]) * (100 + percent) >= (len(a) + len(b)) * percent for k in both)
-                assert percent < 80 or len(entries[0]) < 60 + 8 * len(a)
+                assert percent < 80 or len(entries[0]) < 60 + 12 * len(a)
     assert met > 100
 
 
