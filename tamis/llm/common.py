@@ -86,6 +86,8 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], salt_by: Column,
     """Join a table with a stashed one that is usually small: broadcast if its measured size is within BROADCAST_BYTES, else a shuffle join whose keys are salted, so that a hot key is spread over `salts` tasks."""
     if bytes_of(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
+    if salts == 1:  # no key of big is hot
+        return big.join(small, on, how)
     (salt,) = unused([*big.columns, *small.columns], "_salt")
     left = big.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -267,6 +267,11 @@ def _can_be_similar(x: str, y: str, percent: int) -> Column:
     return F.least(n - i, m - j) * (100 + percent) >= (n + m) * percent
 
 
+def _can_have_partner(x: str, near: str, percent: int) -> Column:
+    """Whether an entry x can be similar to any that has at least as many tokens before it as the entry `near` of its list."""
+    return F.col(f"{x}.n") * (100 - percent) >= F.col(f"{x}.at") * 100 + F.col(f"{near}.at") * percent
+
+
 def _stars(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of the nodes x with the nodes `near` and `low` of their cell or list."""
     stars = rows.select("x", F.explode(F.array("near", "low")).alias("to")).where(F.col("x.node") != F.col("to.node")).where(_can_be_similar("x", "to", percent))
@@ -280,7 +285,7 @@ def _open_pairs(index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     # lists are counted before rows move: a list whose nodes are all in one component goes no further
     lists = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
     lists = stash(lists.select("key", F.ceil(F.col("rows") / CELL).cast("int").alias("cells")), "open-keys")
-    rows = stash(join_small(named, lists, ["key"], F.col("node"), how="inner").distinct(), "open-lists")
+    rows = stash(join_small(named, lists, ["key"], F.col("node"), how="inner"), "open-lists")
     # a list above CELL rows is dealt over cells (i, j) of row groups
     s = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
     dealt = rows.withColumn("s", s).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
@@ -317,28 +322,38 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     # of a cell, the node with the fewest tokens of its own stands nearest to all others; another one is its smallest
     near = F.min_by("x", F.struct("x.at", "x.node"))
     ends = lists.select("cell", "list", own.alias("x")).withColumn("near", near.over(by)).withColumn("low", F.min("x").over(by)).withColumn("high", F.max("x.node").over(by))
-    index = stash(ends.where("low.node < high OR list IS NOT NULL").drop("high"), "lists")
+    ends = ends.withColumn("rows", F.count("*").over(by)).where("low.node < high OR list IS NOT NULL").where(_can_have_partner("x", "near", percent) | F.col("list").isNotNull())
+    index = stash(ends.drop("high"), "lists")
     # cells of one list meet by their own ends
     heads = index.where("list IS NOT NULL").select("list", F.explode(F.array("near", "low")).alias("x")).distinct()
     heads = stash(heads, "cell-ends")
     tops = heads.groupBy("list").agg(near.alias("near"), F.min("x").alias("low"))
     first = stash(_stars(index, percent).unionByName(_stars(heads.join(tops, "list"), percent)).distinct(), "star-pairs")
-    # sets of all nodes that meet another in the index
     reps = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    needed = stash(reps.join(index.select("x.node").distinct(), "node", "left_semi").select("doc_id").distinct(), "needed")
-    sets = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="left_semi").mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets (node, tokens) of the nodes in pairs, from one document each."""
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = stash(reps.join(nodes, "node", "left_semi").select("doc_id").distinct(), "needed")
+        out = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="left_semi", salts=1).mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
+        drop(needed)
+        return out
+
+    sets = sets_of(first)
     links = stash(_verify(first, sets, percent), "star-links")
     comp = components(links)
-    rest = _open_pairs(index, comp, percent)
+    # in a list of two the one star was the only pair
+    rest = _open_pairs(index.where("rows > 2 OR list IS NOT NULL"), comp, percent)
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = stash(rest.join(done, ["a", "b"], "left_anti"), "open-pairs")
-    more = stash(_verify(second, sets, percent), "open-links")
+    others = sets_of(second)
+    more = stash(_verify(second, others, percent), "open-links")
     final = components(links.unionByName(more))
     named = reps.join(final, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     nodes = stash(named.join(smallest, "comp").select("node", "component_id"), "node-smallest")
     out = join_small(docs.where("node IS NOT NULL"), nodes, ["node"], F.col("doc_id"), how="inner")
-    drop(index, heads, first, needed, sets, links, comp, second, more, final)
+    drop(index, heads, first, sets, others, links, comp, second, more, final)
     sketch.destroy()
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(docs.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
