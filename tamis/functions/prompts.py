@@ -54,10 +54,9 @@ def first_content(messages: Column, role: str) -> Column:
 
 
 def _listed(flags: Column, definitions: Column, mark: Column | None = None) -> Column:
-    """A line per flag that has a definition in the map."""
-    known = F.filter(flags, lambda f: F.map_contains_key(definitions, f))
-    line = lambda f: F.concat(F.lit("- "), F.when(F.array_contains(mark, f), F.lit("BLACK ")).otherwise(F.lit("")) if mark is not None else F.lit(""), f, F.lit(": "), F.element_at(definitions, f))
-    return F.array_join(F.transform(known, line), "\n")
+    """A line per flag with its definition in the map, or its own name where it has none."""
+    line = lambda f: F.concat(F.lit("- "), F.when(F.array_contains(mark, f), F.lit("BLACK ")).otherwise(F.lit("")) if mark is not None else F.lit(""), f, F.lit(": "), F.coalesce(F.try_element_at(definitions, f), f))
+    return F.array_join(F.transform(flags, line), "\n")
 
 
 def extraction_prompt(text: Column, needed: Column, filled: Column, definitions: Column) -> Column:

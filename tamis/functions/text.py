@@ -143,8 +143,8 @@ def has_dollar_amount(x: Column) -> Column:
 
 
 def has_headcount(x: Column) -> Column:
-    """At least ten of a staff noun, the number before or after it."""
-    return F.coalesce(x.rlike(HEADCOUNT), F.lit(False))
+    """At least ten of a staff noun, the number before or after it. Texts without a number of two digits need no search for nouns."""
+    return F.coalesce(x.rlike("[1-9][0-9]") & x.rlike(HEADCOUNT), F.lit(False))
 
 
 def _any_of(x: Column, terms: list[str]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamis.functions.parsing import in_vocabulary
 from tamis.functions.text import has_dollar_amount, has_large_team, has_onsite_term
 from tamis.operators.sampling import shuffled_by, take_first
+from tamis.workspace import written
 
 SPLITS = ("train", "eval", "test")
 
@@ -38,10 +39,11 @@ def seed_candidates(records: DataFrame) -> DataFrame:
 
 
 def dedup_first(records: DataFrame, text_col: str = "chunk_text", order_col: str = "pos") -> DataFrame:
-    """The first record of each text. The choice is a grouped minimum of positions over a digest, so hot texts combine before the shuffle and the texts themselves are not grouped."""
-    keyed = records.withColumn("_d", F.sha2(text_col, 256))
-    first = keyed.groupBy("_d").agg(F.min(order_col).alias("_first")).select("_first")
-    return records.join(first, F.col(order_col) == F.col("_first"), "left_semi")
+    """The first record of each text; records without a text are one. Digests with positions are grouped, and what leaves the records is the positions of later copies: texts are not shuffled for as long as these are few."""
+    keyed = records.select(F.sha2(text_col, 256).alias("d"), F.col(order_col).alias("p"))
+    repeated = keyed.groupBy("d").agg(F.min("p").alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("d", "own")
+    later = keyed.join(repeated, F.col("d").eqNullSafe(F.col("own")) & (F.col("p") > F.col("first"))).select("p")
+    return records.join(later, F.col(order_col) == F.col("p"), "left_anti")
 
 
 def seed_order() -> Column:
@@ -58,7 +60,7 @@ def select_seeds(records: DataFrame, per_flag: int, vocabulary: list[str]) -> tu
     most = per_flag * max(1, len(vocabulary))
     named = seed_candidates(records).select("pos", seed_order().alias("rank"), F.posexplode("flags").alias("at", "flag")).where(F.col("flag").isin(vocabulary))
     # a flag that a record repeats is a candidate once
-    rows = named.groupBy("flag", "pos", "rank").agg(F.min("at").alias("at"))
+    rows = written(named.groupBy("flag", "pos", "rank").agg(F.min("at").alias("at")), "seed-candidates")
     first = {r["flag"]: (r["pos"], r["at"]) for r in rows.groupBy("flag").agg(F.min(F.struct("pos", "at")).alias("f")).select("flag", "f.*").collect()}
     best = rows.withColumn("n", F.row_number().over(Window.partitionBy("flag").orderBy("rank", "pos"))).where(F.col("n") <= most)
     by_flag: dict[str, list[int]] = {}
@@ -132,14 +134,15 @@ def _flag_totals(records: DataFrame) -> dict[str, int]:
 
 def _rarest(totals: dict[str, int]) -> Column:
     counts = F.create_map(*(x for f, n in totals.items() for x in (F.lit(f), F.lit(n)))) if totals else F.create_map().cast("map<string,int>")
-    return F.coalesce(F.array_min(F.transform("flags", lambda f: F.element_at(counts, f))), F.lit(999999))
+    """The count of a record's rarest flag; null without flags."""
+    return F.array_min(F.transform("flags", lambda f: F.element_at(counts, f)))
 
 
 def split_exact(records: DataFrame, split: str = "80/10/10") -> DataFrame:
     """(pos, split) by the sequential rule: records with the rarest flags first, each to the split that lacks its flags most. Every choice depends on all before it, so one task walks positions and flags in order, with a few counters as its only state."""
     totals, n = _flag_totals(records), records.count()
     targets = split_targets(n, split)
-    rows = records.select("pos", "flags", _rarest(totals).alias("rarest")).orderBy("rarest", "pos").coalesce(1)
+    rows = records.select("pos", "flags", _rarest(totals).alias("rarest")).orderBy(F.asc_nulls_last("rarest"), "pos").coalesce(1)
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitter = GreedySplitter(targets, totals)

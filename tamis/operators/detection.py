@@ -74,12 +74,13 @@ def detect_native(chunks: DataFrame, answer: Column, taxonomy: Taxonomy, keep: l
     return rows.select(*keep, "raw", parse_flags(F.col("raw"), vocabulary).alias("flags"), parse_ok(F.col("raw"), vocabulary).alias("parsed"))
 
 
-def detect(chunks: DataFrame, make_detector: Callable[[], Detector], taxonomy: Taxonomy, attempts: int = 2, spread: int | None = None) -> DataFrame:
+def detect(chunks: DataFrame, make_detector: Callable[[], Detector], taxonomy: Taxonomy, attempts: int = 2, spread: int | None = None, read: Callable[[str | None], list[str] | None] | None = None) -> DataFrame:
     """chunks (with column prompt) and raw, flags, attempts, parsed, error.
 
     An answer that does not parse is asked for again, up to `attempts` times, then the chunk is unparsed. An exception is not
     retried and comes back as `error`, so that it fails no job. spread: partitions to deal chunks to, so that a long document
-    does not keep one task busy and calls in flight are bounded. Write the result before it is read twice: calls cost money.
+    does not keep one task busy and calls in flight are bounded. read: what an answer says, None to ask again, in place of the
+    flag lines that a detector writes. Write the result before it is read twice: calls cost money.
     """
     flags = set(taxonomy.flags)
 
@@ -88,6 +89,12 @@ def detect(chunks: DataFrame, make_detector: Callable[[], Detector], taxonomy: T
             return []
         return [f for f in (p.strip() for line in (raw or "").split("\n") for p in line.split(",")) if f in flags]
 
+    def lines(raw: str | None) -> list[str] | None:
+        found = names(raw)
+        return found if found or (raw or "").strip().lower() in (NO_FLAG, "none") else None
+
+    understood = read or lines
+
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         detector = make_detector()
         for s in parts:
@@ -99,8 +106,8 @@ def detect(chunks: DataFrame, make_detector: Callable[[], Detector], taxonomy: T
                     while not ok and n < attempts:
                         n += 1
                         raw = detector.detect(prompt)
-                        found = names(raw)
-                        ok = bool(found) or (raw or "").strip().lower() in (NO_FLAG, "none")
+                        found = understood(raw)
+                        ok = found is not None
                 except Exception as e:
                     error, found, ok = f"{type(e).__name__}: {e}", [], False
                 out.append((raw, found if ok else [], n, ok, error))
@@ -111,6 +118,21 @@ def detect(chunks: DataFrame, make_detector: Callable[[], Detector], taxonomy: T
     return dealt.withColumn("_a", ask("prompt")).select(*chunks.columns, "_a.*")
 
 
+def json_answer(raw: str | None) -> list[str] | None:
+    """The strings of a JSON list, or of the `flags` of a JSON object, in a code fence or not; None if the answer is no JSON."""
+    text = (raw or "").strip()
+    if text.startswith("```"):
+        text = text.partition("\n")[2].rpartition("```")[0] or text.partition("\n")[2]
+    for part in (text, text[text.find("{") : text.rfind("}") + 1]):
+        try:
+            found = json.loads(part)
+        except ValueError:
+            continue
+        found = found.get("flags") if isinstance(found, dict) else found
+        return [f for f in found if isinstance(f, str)] if isinstance(found, list) else []
+    return None
+
+
 def with_prompts(chunks: DataFrame, passages: Column | None = None, text_col: str = "chunk_text", template: bool = False) -> DataFrame:
     """prompt: the chunk, in its context block where passages are given and there are any, in the chat template if asked for."""
     chunk = F.col(text_col)

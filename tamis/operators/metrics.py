@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -91,3 +91,15 @@ def training_steps(rows: int, batch: int, accumulation: int, epochs: int, warmup
     """(all steps, warm-up steps) of a training run."""
     steps = rows // (batch * accumulation) * epochs
     return steps, int(steps * warmup_ratio)
+
+
+def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """df, and what a run of it counts on the way: rows, and the rows that hold each condition; no second pass. The observation's get() waits for the run."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(k) for k, c in counts.items())), seen
+
+
+def throughput(seen: Observation, seconds: float) -> dict[str, float]:
+    """The counts of a finished run, its seconds, and rows per minute."""
+    counts = dict(seen.get)
+    return {**counts, "seconds": seconds, "rows_per_minute": counts["rows"] * 60 / seconds if seconds > 0 else 0.0}

@@ -18,10 +18,18 @@ from pyspark.sql import functions as F
 from tamis.functions.prompts import context_block, extract_chunk, of_roles
 
 
+#: Positions whose passages are ranked together.
+RUN = 1 << 16
+
+
 def passage_ids(passages: DataFrame, order_col: str = "pos", prefix: str = "") -> DataFrame:
-    """passages with id: flag and the ordinal of the passage within its flag in this call, from 0."""
-    n = F.row_number().over(Window.partitionBy("flag").orderBy(order_col)) - 1
-    return passages.withColumn("id", F.concat(F.lit(prefix), "flag", F.lit("_"), n.cast("string")))
+    """passages with id: flag and the ordinal of the passage within its flag in this call, from 0. Positions are whole numbers: passages are counted within runs of RUN positions and shifted by the runs before, so that no flag is ranked in one task."""
+    keyed = passages.withColumn("_run", F.floor(F.col(order_col) / RUN))
+    sizes = keyed.groupBy("flag", "_run").agg(F.count("*").alias("_n"))
+    shift = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy("flag").orderBy("_run")) - F.col("_n")).drop("_n")
+    n = F.row_number().over(Window.partitionBy("flag", "_run").orderBy(order_col)) - 1
+    met = keyed.withColumn("_at", n).join(shift, ["flag", "_run"])
+    return met.withColumn("id", F.concat(F.lit(prefix), "flag", F.lit("_"), (F.col("_before") + F.col("_at")).cast("string"))).select(*passages.columns, "id")
 
 
 def new_passages(passages: DataFrame, stored: DataFrame, order_col: str = "pos", prefix: str = "") -> DataFrame:

@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.functions.parsing import in_vocabulary, json_flags
 from tamis.functions.prompts import fits_prompt, flag_check_prompt, labelling_prompt
 from tamis.functions.text import pack_paragraphs, strip
-from tamis.operators.detection import Detector, detect
+from tamis.operators.detection import Detector, detect, json_answer
 from tamis.operators.labeling import not_done, revalidate, stop_after_flagged
 from tamis.schemas import Taxonomy, literals
 
 KEY = ["rfp_id", "chunk_index"]
+ATTEMPTS = 3
 
 
 def paragraph_chunks(packages: DataFrame, max_words: int = 400, overlap_words: int = 50, separator: str = "\n\n") -> DataFrame:
@@ -27,19 +28,37 @@ def paragraph_chunks(packages: DataFrame, max_words: int = 400, overlap_words: i
 
 
 def _answers(rows: DataFrame, make_detector: Callable[[], Detector], path: str) -> DataFrame:
-    """KEY and raw answers, written to path."""
-    spark = rows.sparkSession
-    detect(rows.select(*KEY, "prompt"), make_detector, Taxonomy({}), attempts=1).select(*KEY, "raw").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """KEY, raw answers, attempts and errors, added to what is written at path. An answer that is no JSON is asked for again, ATTEMPTS times in all, and is then without flags; a call that fails has an error, and its key is open."""
+    asked = detect(rows.select(*KEY, "prompt"), make_detector, Taxonomy({}), attempts=ATTEMPTS, read=json_answer)
+    asked.select(*KEY, "raw", "attempts", "parsed", "error").write.mode("append").parquet(path)
+    return answered(rows.sparkSession, path)
+
+
+def answered(spark: SparkSession, path: str) -> DataFrame:
+    """The answers at path that were given; of several for a key, as after a run that ended midway, one."""
+    return spark.read.parquet(path).where("error IS NULL").dropDuplicates(KEY)
+
+
+def failed(spark: SparkSession, path: str) -> DataFrame:
+    """KEY and error of what has no answer yet."""
+    return spark.read.parquet(path).where("error IS NOT NULL").join(answered(spark, path), KEY, "left_anti").groupBy(*KEY).agg(F.max("error").alias("error"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _open(work: DataFrame, path: str) -> DataFrame:
+    """Work that has no answer at path yet."""
+    spark = work.sparkSession
+    return not_done(work, answered(spark, path), KEY) if exists(spark, path) else work
 
 
 def propose(packages: DataFrame, make_detector: Callable[[], Detector], vocabulary: dict[str, str], path: str, separator: str = "\n\n") -> DataFrame:
-    """First pass: records (rfp_id, chunk_index, chunk_text, flags) of all packages, chunks already answered at path not asked again. vocabulary: flag -> definition. Failures have no flags."""
-    spark = packages.sparkSession
+    """First pass: records (rfp_id, chunk_index, chunk_text, flags) of all packages, chunks already answered at path not asked again. vocabulary: flag -> definition. Failures have no flags and are asked again by the next run."""
     chunks = paragraph_chunks(packages, separator=separator)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-    work = not_done(chunks, spark.read.parquet(path), KEY) if there else chunks
+    work = _open(chunks, path)
     definitions = F.create_map(*(F.lit(x) for pair in vocabulary.items() for x in pair))
     asked = work.where(fits_prompt(F.col("chunk_text"))).withColumn("prompt", labelling_prompt(F.col("chunk_text"), definitions))
     answers = _answers(asked, make_detector, path)
@@ -56,6 +75,6 @@ def first_flagged(records: DataFrame, most: int) -> DataFrame:
 def check(records: DataFrame, make_detector: Callable[[], Detector], vocabulary: dict[str, str], path: str, black: list[str] = ()) -> DataFrame:
     """Second pass: a prompt per flagged record about its own flags; the answers can only take flags away."""
     definitions = F.create_map(*(F.lit(x) for pair in vocabulary.items() for x in pair))
-    asked = records.where(F.size("flags") > 0).withColumn("prompt", flag_check_prompt(F.col("chunk_text"), F.col("flags"), definitions, literals(list(black))))
+    asked = _open(records.where(F.size("flags") > 0), path).withColumn("prompt", flag_check_prompt(F.col("chunk_text"), F.col("flags"), definitions, literals(list(black))))
     answers = _answers(asked, make_detector, path).select(*KEY, json_flags(F.coalesce("raw", F.lit(""))).alias("answered"))
     return revalidate(records, answers, literals(list(vocabulary)), KEY)

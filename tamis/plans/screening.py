@@ -68,6 +68,13 @@ def screen(documents: DataFrame, make_detector: Callable[[], Detector], settings
     return decide(all_docs.select(id_col, F.coalesce("flags", none).alias("flags"), *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("unparsed_chunks", "total_chunks"))), settings)
 
 
+def screen_files(files: DataFrame, answer: Callable[[Column], Column], settings: Screening, id_col: str = "path") -> DataFrame:
+    """From uploads to decisions: one row per file of extract_files(), with id, rejected (why it is not screened: its read error, or `no text`), flags, unparsed_chunks, total_chunks and filter_out."""
+    screened = screen_answers(files.select(id_col, F.coalesce("text", F.lit("")).alias("text")), answer, settings, id_col)
+    why = F.when(F.col("error").isNotNull(), F.col("error")).when(F.trim("text") == "", F.lit("no text"))
+    return files.select(id_col, why.alias("rejected")).join(screened, id_col)
+
+
 def screen_by_tier(screened: DataFrame, taxonomy: Taxonomy, id_col: str = "doc_id") -> DataFrame:
     """id, the sorted flags of each tier, and the chunk counters."""
     return screened.select(id_col, *by_tier(F.col("flags"), taxonomy), "unparsed_chunks", "total_chunks")

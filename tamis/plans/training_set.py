@@ -29,7 +29,8 @@ class TrainingSet:
     caps: dict[str, int] = field(default_factory=dict)
     negative_ratio: float = 1.0
     split: str = "80/10/10"
-    exact_split: bool = True
+    #: Whether to follow the sequential rule, which walks all records in one task, or to deal strata by hash.
+    exact_split: bool = False
     top_k: int = 3
     seed: int = 42
     system_prompt: str = SYSTEM_PROMPT

@@ -503,13 +503,12 @@ def q_verdict_stats(spark, sf_dir):
     return M.verdict_stats(records(spark, sf_dir))
 
 
-_RESULTS_SQL = f"""results AS (SELECT doc_id, {lexicon_sql("text", LEXICON)} AS truth, {lexicon_sql("text", WEAK_LEXICON)} AS pred FROM documents JOIN (SELECT DISTINCT doc_id FROM labels) USING (doc_id))"""
+_RESULTS_SQL = f"""results AS (SELECT doc_id, {lexicon_sql("text", LEXICON)} AS truth, {lexicon_sql("text", WEAK_LEXICON)} AS pred FROM documents)"""
 
 
 def results(spark, sf_dir, weak=True):
     vocabulary = literals(VOCABULARY)
-    own = documents(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    raw = own.select("doc_id", lexicon_answer(F.col("text"), WEAK_LEXICON if weak else LEXICON).alias("raw"), lexicon_flags(F.col("text"), LEXICON).alias("ground_truth"))
+    raw = documents(spark, sf_dir).select("doc_id", lexicon_answer(F.col("text"), WEAK_LEXICON if weak else LEXICON).alias("raw"), lexicon_flags(F.col("text"), LEXICON).alias("ground_truth"))
     return raw.select("doc_id", P.parse_flags(F.col("raw"), vocabulary).alias("predicted"), "ground_truth", P.format_ok(F.col("raw"), vocabulary).alias("format_ok"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -35,12 +36,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def rewrite_jsonl(df: DataFrame, path: str) -> None:
-    """Replace a folder that df may read: written beside it, then renamed."""
-    spark, beside = df.sparkSession, path.rstrip("/") + ".new"
-    df.write.mode("overwrite").json(beside)
+    """Replace a folder that df may read: the new one is written beside it, the old one set aside, the new one renamed, and only then is the old one deleted. If a run ends in between, one of path, path.new and path.old is whole, and the next call starts from it."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").json(path.rstrip("/") + ".new")
     fs, at = _fs(spark, path)
-    fs.delete(at, True)
-    fs.rename(_fs(spark, beside)[1], at)
+    beside, aside = (_fs(spark, path.rstrip("/") + end)[1] for end in (".new", ".old"))
+    fs.delete(aside, True)
+    if fs.exists(at) and not fs.rename(at, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(beside, at):
+        fs.rename(aside, at)
+        raise OSError(f"cannot replace {path}")
+    fs.delete(aside, True)
 
 
 def backup_once(spark: SparkSession, path: str, to: str) -> bool:
@@ -63,21 +70,77 @@ def docx_text(content: bytes) -> str:
 
 
 def pdf_text(content: bytes) -> str:
-    """Text of the pages that have any, a blank line between them; needs a PDF library."""
+    """Text of the pages that have any, a blank line between them: by the package pypdf where it is installed, else what plain_pdf_pages reads."""
     try:
         from pypdf import PdfReader
-    except ImportError as e:
-        raise RuntimeError("reading PDF needs the package pypdf") from e
-    pages = (page.extract_text() for page in PdfReader(io.BytesIO(content)).pages)
+    except ImportError:
+        pages = plain_pdf_pages(content)
+    else:
+        pages = [page.extract_text() for page in PdfReader(io.BytesIO(content)).pages]
     return "\n\n".join(p for p in pages if p)
 
 
+_TOKEN = re.compile(rb"\((?:[^()\\]|\\.)*\)|\[|\]|<[0-9A-Fa-f\s]*>|-?[0-9.]+|[A-Za-z'\"*]+[0-9]*\*?", re.DOTALL)
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
+
+
+def _pdf_string(token: bytes) -> str:
+    if token[:1] == b"<":
+        digits = re.sub(rb"\s", b"", token[1:-1])
+        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode()).decode("latin-1")
+    octal = lambda m: bytes([int(m[1], 8) & 255]) if m[1].isdigit() else b"" if m[1] == b"\n" else _ESCAPES.get(m[1], m[1])
+    return re.sub(rb"\\([0-7]{1,3}|.)", octal, token[1:-1], flags=re.DOTALL).decode("latin-1")
+
+
+def plain_pdf_pages(content: bytes) -> list[str]:
+    """Texts of the pages of a PDF in the order of their objects: strings that the content streams show, plain or deflated, in fonts with a Latin encoding. Encrypted files, object streams and other encodings need pypdf."""
+    if not content.startswith(b"%PDF"):
+        raise ValueError("no PDF")
+    if b"/Encrypt" in content or b"/ObjStm" in content:
+        raise RuntimeError("reading this PDF needs the package pypdf")
+    objects = {int(m[1]): m[2] for m in re.finditer(rb"(?<![0-9])([0-9]+)\s+[0-9]+\s+obj\b(.*?)\bendobj", content, re.DOTALL)}
+    pages = []
+    for body in objects.values():
+        if not re.search(rb"/Type\s*/Page\b", body):
+            continue
+        named = re.search(rb"/Contents\s*(\[[^\]]*\]|[0-9]+\s+[0-9]+\s+R)", body)
+        streams = [objects.get(int(n), b"") for n in re.findall(rb"([0-9]+)\s+[0-9]+\s+R", named[1])] if named else []
+        pages.append("".join(_shown(_stream(s)) for s in streams).strip())
+    return pages
+
+
+def _stream(body: bytes) -> bytes:
+    head, _, rest = body.partition(b"stream")
+    data = rest.rpartition(b"endstream")[0].removeprefix(b"\r").removeprefix(b"\n")
+    return zlib.decompressobj().decompress(data) if b"/FlateDecode" in head else data
+
+
+def _shown(stream: bytes) -> str:
+    """What the text operators of a content stream show; a move to another line is a line break, a wide gap in an array a space."""
+    out, operands = [], []
+    for token in _TOKEN.findall(stream):
+        if token[:1] in b"(<[]" or re.fullmatch(rb"-?[0-9.]+", token):
+            operands.append(token)
+            continue
+        if token in (b"T*", b"'", b'"', b"ET") or (token in (b"Td", b"TD") and operands[-1:] not in ([b"0"], [])):
+            out.append("\n" if out and out[-1] != "\n" else "")
+        if token in (b"Tj", b"'", b'"', b"TJ"):
+            out += [_pdf_string(x) if x[:1] in b"(<" else " " for x in operands if x[:1] in b"(<" or (x[:1] == b"-" and token == b"TJ" and float(x) < -200)]
+        operands = []
+    return "".join(out)
+
+
 READERS = {"pdf": pdf_text, "docx": docx_text}
 
 
 def extract_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """path, folder, name, suffix, text, error of every file below a path; a file that cannot be read has an error and no text."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "content")
+    return extract_contents(spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path))
+
+
+def extract_contents(files: DataFrame) -> DataFrame:
+    """extract_files() of a table (path, content)."""
+    files = files.select("path", "content")
 
     def extract(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -21,3 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _own:
         _own[app] = f"file://{tempfile.mkdtemp(prefix='tamis-')}"
     return _own[app]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: made once, however often it is read, and still there if executors are lost."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF
 from tamis import queries as core
+from tamis import run_queries  # noqa: F401
 
 
 @pytest.fixture(scope="module")

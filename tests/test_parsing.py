@@ -92,7 +92,7 @@ def test_prompts_hold_what_they_are_given(spark):
     d = F.create_map(F.lit("a"), F.lit("first"), F.lit("b"), F.lit("second"))
     df = spark.createDataFrame([("text", ["a", "b", "c"])], "t string, f array<string>")
     p = df.select(R.flag_check_prompt(F.col("t"), F.col("f"), d, literals(["b"])), R.labelling_prompt(F.col("t"), d), R.extraction_prompt(F.col("t"), literals(["a"]), literals(["b"]), d), R.generation_prompt(F.lit("a"), F.lit("first"), literals(["x"]), F.lit(5)), R.chat_template(F.col("t"), "sys")).first()
-    assert "- a: first\n- BLACK b: second" in p[0] and "- c" not in p[0]
+    assert "- a: first\n- BLACK b: second" in p[0] and "- c: c" in p[0]
     assert "- a: first\n- b: second" in p[1] and p[1].endswith("text")
     assert "- a: first" in p[2] and "- b" not in p[2]
     assert "5 passages" in p[3] and p[4].startswith("<|begin_of_text|>") and "sys<|eot_id|>" in p[4]
