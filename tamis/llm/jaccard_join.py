@@ -108,15 +108,23 @@ def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[tuple[int, int], np.ndarray] = {}
     for pdf in parts:
         for task, at, b in zip(pdf["task"], pdf["at"], pdf["counts"], strict=True):
-            sums[task, at] = sums.get((task, at), 0) + np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(b)]).astype(np.int64)
+            sums[task, at] = sums.get((task, at), 0) + _counts(b)
     if sums:
         yield pd.DataFrame({"task": [t for t, _ in sums], "at": [a for _, a in sums], "counts": [small(np.minimum(s, 2**32 - 1)) for s in sums.values()]}).astype({"task": "int32", "at": "int32"})
 
 
-def _read_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _levels(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The last sums, as levels."""
+    sums: dict[int, np.ndarray] = {}
     for pdf in parts:
-        counts = [np.frombuffer(b, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(b)]).astype(np.int64) for b in pdf["counts"]]
-        yield pd.DataFrame({"at": pdf["at"], "levels": [level_of(c).astype(np.uint8).tobytes() for c in counts], "total": [int(c.sum()) for c in counts]})
+        for at, b in zip(pdf["at"], pdf["counts"], strict=True):
+            sums[at] = sums.get(at, 0) + _counts(b)
+    if sums:
+        yield pd.DataFrame({"at": list(sums), "levels": [level_of(s).astype(np.uint8).tobytes() for s in sums.values()], "total": [int(s.sum()) for s in sums.values()]}).astype({"at": "int32"})
+
+
+def _counts(row: bytes) -> np.ndarray:
+    return np.frombuffer(row, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(row)]).astype(np.int64)
 
 
 def level_of(count: np.ndarray | float):
@@ -127,11 +135,11 @@ def _sketch(found: DataFrame, bits: int) -> tuple[bytes, int]:
     """The sketch as a byte a counter, and the level above which a token is frequent: more than 12 deviations above what other tokens bring to a counter. Rows of the tasks' sketches are merged up a tree of fan-in FAN."""
     rows = found.where("at IS NOT NULL").select("task", "at", "counts")
     tasks = (rows.agg(F.max("task")).first()[0] or 0) + 1
-    while tasks > 1:
+    while tasks > FAN:
         tasks = math.ceil(tasks / FAN)
         rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).repartition("at", "task").mapInPandas(_sum_rows, "task int, at int, counts binary")
     levels, total = np.zeros(1 << bits, np.uint8), 0
-    for r in rows.mapInPandas(_read_rows, "at int, levels binary, total bigint").collect():
+    for r in rows.repartition("at").mapInPandas(_levels, "at int, levels binary, total bigint").collect():
         levels[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["levels"], np.uint8)
         total += r["total"]
     mean = total / (1 << bits)

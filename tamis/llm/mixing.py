@@ -103,27 +103,30 @@ def _chance(*by: Column):
     return (F.pmod(F.xxhash64(F.lit(17), *by), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
-def number_repeats(rows: DataFrame, key: list[str], name: str, above: int) -> DataFrame:
-    """rows with `name`: 0, or, for keys of more than `above` rows, the number of the row among those of its key, from 0. Counted per partition of a written table and then shifted, so that no key's rows meet in a task."""
-    often = stash(rows.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > above), "often-repeated")
-    if not often.take(1):
-        drop(often)
+def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
+    """The keys that several rows have, as a written table; None if there are none."""
+    (n,) = unused(key, "_n")
+    often = stash(rows.groupBy(*key).agg(F.count("*").alias(n)).where(F.col(n) > 1).select(*key), "repeated")
+    if often.take(1):
+        return often
+    drop(often)
+    return None
+
+
+def number_repeats(rows: DataFrame, key: list[str], name: str, often: DataFrame | None) -> DataFrame:
+    """rows with `name`: 0, or, for keys in `often`, the number of the row among those of its key, from 0. Counted per partition of a written table and then shifted, so that no key's rows meet in a task."""
+    if often is None:
         return rows.withColumn(name, F.lit(0).cast("bigint"))
     part, no, before = unused([*rows.columns, name], "_part", "_no", "_before")
     written = stash(rows.withColumn(part, F.spark_partition_id()), "to-number")
-    same = F.lit(True)
-    for c in key:
-        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    few = often.select(*key)
-    marked = written.alias("l").join(F.broadcast(few).alias("r") if bytes_of(few) <= BROADCAST_BYTES else few.alias("r"), same, "left_semi").select("l.*")
-    others = written.alias("l").join(F.broadcast(few).alias("r") if bytes_of(few) <= BROADCAST_BYTES else few.alias("r"), same, "left_anti").select("l.*")
+    same = _same_key(key)
+    few = small_side(often).alias("r")
+    marked = written.alias("l").join(few, same, "left_semi").select("l.*")
+    others = written.alias("l").join(few, same, "left_anti").select("l.*")
     counts = marked.groupBy(*key, part).agg(F.count("*").alias(no))
     shift = counts.withColumn(before, F.sum(no).over(Window.partitionBy(*key).orderBy(part)) - F.col(no)).drop(no)
     own = marked.withColumn(no, F.row_number().over(Window.partitionBy(*key, part).orderBy(F.lit(0))))
-    same = F.col(f"l.{part}") == F.col(f"r.{part}")
-    for c in key:
-        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    met = own.alias("l").join(shift.alias("r"), same).select("l.*", F.col(f"r.{before}"))
+    met = own.alias("l").join(shift.alias("r"), same & (F.col(f"l.{part}") == F.col(f"r.{part}"))).select("l.*", F.col(f"r.{before}"))
     numbered = met.withColumn(name, F.col(before) + F.col(no) - 1).drop(before, no, part)
     return numbered.unionByName(others.withColumn(name, F.lit(0).cast("bigint")).drop(part))
 
@@ -132,6 +135,19 @@ def _chance(*cols: str):
     return (F.pmod(F.xxhash64(F.lit(17), *cols), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
+def _same_key(key: list[str]) -> Column:
+    """Whether rows l and r have the same key, nulls included."""
+    same = F.lit(True)
+    for c in key:
+        same &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return same
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its measured size allows it."""
+    return F.broadcast(df) if bytes_of(df) <= BROADCAST_BYTES else df
+
+
 def mix_sources(documents: DataFrame, keep: list[str] | None = None, source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Copies of each document such that each source's words come to its target: the columns `keep` (all, if None), size, source_size, target, copies, taken.
 
@@ -145,23 +161,24 @@ def mix_sources(documents: DataFrame, keep: list[str] | None = None, source_col:
     keep = [c for c in (names if keep is None else keep) if c.lower() not in new]
     ident, key, text_hash, no, chance, base, share, bucket, node, up = unused(names, *("_id", "_key", "_hash", "_no", "_chance", "_base", "_share", "_bucket", "_node", "_up"))
     extra = [F.col(f"`{id_col}`").alias(ident), F.col(f"`{source_col}`").cast("string").alias(key), F.xxhash64(F.col(f"`{text_col}`")).alias(text_hash)]
-    rows = with_sizes(documents.select(*cols(names)), text_col).select(*cols(keep), "size", *extra)
-    # texts are read, and words counted, once, unless texts are to be kept: written, those would cost more than the counting
-    slim = text_col.lower() not in {c.lower() for c in keep}
-    rows = stash(rows, "sizes") if slim else rows
+    # sizes and hashes are written once; a text that is to be kept stays where it is and gets its copies by a join at the end
+    apart = text_col.lower() in {c.lower() for c in keep}
+    carried = [] if apart else keep
+    rows = stash(with_sizes(documents.select(*cols(names)), text_col).select(*cols(carried), "size", *extra), "sizes")
     sums = stash(rows.groupBy(F.col(key).alias("source")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "source-sizes")
     dealt_to = sums.select(_key("source").alias("_key"), F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("buckets"))
     targets = source_targets(sums.select("source", "size"), "source", weights, most).join(dealt_to, "_key")
     targets = stash(targets.select(F.col("_key").alias(key), "source_size", "target", F.col("buckets").alias(bucket)), "source-targets")
     buckets = targets.agg(F.max(bucket)).first()[0] or 1
-    rows = number_repeats(rows, [ident, text_hash, key], no, BUCKET_ROWS).withColumn(key, _key(key))
+    often = repeated_keys(rows, [ident, text_hash, key])
+    rows = number_repeats(rows, [ident, text_hash, key], no, often).withColumn(key, _key(key))
     rows = join_small(rows.withColumn(chance, _chance(*map(F.col, (ident, text_hash, no)))), targets, [key], F.col(chance))
     # numbered rows go in runs of a bucket's size, which are dealt like single rows
     rows = rows.withColumn(bucket, F.pmod(F.xxhash64(ident, text_hash, F.floor(F.col(no) / BUCKET_ROWS), F.lit(3)), F.col(bucket)).cast("int"))
     part = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn(base, F.floor(part).cast("int")).withColumn(share, part - F.floor(part))
     by = [key, bucket]
-    rows = rows.select(*cols(keep), "size", "source_size", "target", *by, chance, base, share, ident, text_hash, no)
+    rows = rows.select(*cols(carried), "size", "source_size", "target", *by, chance, base, share, ident, text_hash, no)
     sorted_ = rows.repartition(*by).sortWithinPartitions(*by, F.desc("size"), chance, ident, text_hash, no)
     dealt = stash(sorted_.mapInPandas(_round_groups(by, share, "size", chance), rows.schema), "rounded")
     # up the tree: one residual per source and bucket at first
@@ -185,7 +202,14 @@ def mix_sources(documents: DataFrame, keep: list[str] | None = None, source_col:
     open_ = F.col(share).between(_ENDS / 2, 1 - _ENDS / 2)
     out = dealt.where(~open_).withColumn(up, F.col(share)).unionByName(join_small(dealt.where(open_), ups, by, F.col(chance)).select(*cols(dealt.columns), up))
     copies = (F.col(base) + F.coalesce(up, F.lit(0.0)).cast("int")).cast("int")
-    return out.select(*cols(keep), "size", "source_size", "target", copies.alias("copies"), (copies.cast("bigint") * F.col("size")).alias("taken"))
+    new_cols = ["size", "source_size", "target", copies.alias("copies"), (copies.cast("bigint") * F.col("size")).alias("taken")]
+    if not apart:
+        return out.select(*cols(keep), *new_cols)
+    found = stash(out.select(ident, text_hash, key, no, *new_cols), "copies")
+    drop(dealt, ups)
+    whole = number_repeats(documents.select(*cols(keep), *extra), [ident, text_hash, key], no, often).withColumn(key, _key(key))
+    met = whole.alias("l").join(small_side(found).alias("r"), _same_key([ident, text_hash, key, no]))
+    return met.select(*(F.col(f"l.`{c}`") for c in keep), *(F.col(f"r.{c}") for c in new))
 
 
 def take_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -49,7 +49,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(h + size.astype(np.uint64)), start, size
 
 
-def texts_in_blocks(texts: list[str | None], block: int = 1 << 19) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+def texts_in_blocks(texts: list[str | None], block: int = 1 << 17) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """(first, last + 1, bytes, text starts) of runs of texts of about `block` bytes, in UTF-8, A-Z in lower case, each followed by a newline."""
     a, size, parts = 0, 0, []
     for k, t in enumerate(texts):

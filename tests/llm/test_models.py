@@ -175,7 +175,8 @@ def test_mix_numbers_many_repeated_rows(spark, monkeypatch):
     for s in "abc":
         own = [r for r in whole if r["source"] == s]
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 7
-    numbered = X.number_repeats(df.select("text", "source"), ["text", "source"], "no", 16).collect()
+    keys = X.repeated_keys(df, ["text", "source"])
+    numbered = X.number_repeats(df.select("text", "source"), ["text", "source"], "no", keys).collect()
     assert sorted(r["no"] for r in numbered if r["source"] == "b") == list(range(300)) and {r["no"] for r in numbered if r["source"] == "a"} == {0}
 
 
