@@ -26,7 +26,9 @@ WORDS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 
 #: Runs that the token-efficiency test looks at, and what it leaves out: digests of usual lengths and identifiers.
-RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs below LONG characters are tested as a whole only, need a digit and a letter, and must stay below SHORT_SHARE times the ratio.
+SHORT, LONG, SHORT_SHARE = 12, 16, 0.85
+RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.IGNORECASE)
 IDENTIFIER = re.compile(
     r"(?:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}"  # UUID
@@ -67,9 +69,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_random(run: str, count_tokens, most_ratio: float) -> bool:
-    """Whether a run of 16 characters and more stays below most_ratio characters per token and is no digest or identifier."""
-    if len(run) < 16 or DIGEST.match(run) or IDENTIFIER.match(run):
+    """Whether a run of SHORT characters and more stays below most_ratio characters per token and is no digest or identifier."""
+    if len(run) < SHORT or DIGEST.match(run) or IDENTIFIER.match(run):
         return False
+    if len(run) < LONG:
+        return not NAME.match(run) and len(run) < SHORT_SHARE * most_ratio * count_tokens(run)
     if NAME.match(run):
         words = LETTERS.findall(run)
         return sum(map(len, words)) < STRICT * most_ratio * sum(map(count_tokens, words))
@@ -100,14 +104,14 @@ def random_windows(run: str, count_tokens, most_ratio: float) -> list[tuple[int,
 
 def random_spans(text: str, count_tokens, most_ratio: float) -> list[tuple[int, int, int]]:
     """(start, kind, end) of runs that are random; where a run as a whole is not, of its parts between `/`, `-` and `_` that are, else of its windows."""
-    if max(map(len, text.split()), default=0) < 16:
+    if max(map(len, text.split()), default=0) < SHORT:
         return []
     out = []
     for m in RUN.finditer(text):
         run = m.group().strip("=-_/+")
         if is_random(run, count_tokens, most_ratio):
             out.append((m.start(), 3, m.end()))
-        elif not IDENTIFIER.match(run) and not DIGEST.match(run):
+        elif len(run) >= LONG and not IDENTIFIER.match(run) and not DIGEST.match(run):
             parts = [p.span() for p in PART.finditer(m.group()) if is_random(p.group().strip("+"), count_tokens, most_ratio)]
             out += [(m.start() + a, 3, m.start() + b) for a, b in parts or random_windows(m.group(), count_tokens, most_ratio)]
     return out
