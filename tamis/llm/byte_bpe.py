@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tamis.llm.secrets import load_tokenizer
 
-CHUNK = 4096
-OVERLAP = 256
+CHUNK = 8192
+OVERLAP = 512
 
 
 class ChunkedBpe:
@@ -80,7 +80,7 @@ class ChunkedBpe:
 _TOKENS = "n_tokens bigint, ids binary, decoded binary"
 
 
-def encode_documents(documents: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = 32768, digests: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(documents: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = 65536, digests: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of every whole text and what they decode to: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded (bytes).
 
     Texts above `spread` characters have their chunks pre-tokenised, and their pieces encoded, in tasks of their own; others
