@@ -337,7 +337,8 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     heads = stash(heads, "cell-ends")
     tops = heads.groupBy("list").agg(near.alias("near"), F.min("x").alias("low"))
     first = stash(_stars(index, percent).unionByName(_stars(heads.join(tops, "list"), percent)).distinct(), "star-pairs")
-    reps = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # written, as a semi-join would else be pushed below the grouping and bring all copies of a text to one task
+    reps = stash(docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         """The sets (node, tokens) of the nodes in pairs, from one document each."""
@@ -361,7 +362,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     nodes = stash(named.join(smallest, "comp").select("node", "component_id"), "node-smallest")
     out = join_small(docs.where("node IS NOT NULL"), nodes, ["node"], F.col("doc_id"), how="inner")
-    drop(index, heads, first, sets, others, links, comp, second, more, final)
+    drop(index, heads, reps, first, sets, others, links, comp, second, more, final)
     sketch.destroy()
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(docs.where("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
