@@ -17,9 +17,15 @@ from tamis.llm.mixing import mix_sources
 from tamis.llm.quality import score_quality
 from tamis.llm.url_filter import filter_urls, host_of
 from tamis.llm.jaccard_join import jaccard_components
+from tamis.llm.sharding import shard_records
+from tamis.llm.clustering import cluster_vectors
+from tamis.llm.merkle import merkle_manifest, siblings
 from tamis.shipping import ship
 
 
+SHARDS, CENTROIDS, ROUNDS = 8, 16, 3
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -95,6 +101,22 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), percent=80, width=5)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_records(table(spark, sf_dir, "documents"), weights=[1.0] * SHARDS)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=CENTROIDS, rounds=ROUNDS)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], group_col="source", order_col="doc_id", changed={"text": text})
+    proof = F.sha2(siblings(F.col("path")), 256).alias("proof_sha256")
+    return made.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -106,8 +128,37 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op10_url_filter": op10_url_filter,
     "op5_jaccard_join": op5_jaccard_join,
+    "op11_sharding": op11_sharding,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+#: The table of the CRC-32 of the reflected polynomial 0xEDB88320, by its rule, and the checksum of a list of bytes.
+_CRC_TABLE = "tab AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_concat([i], range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"
+
+
+def _crc(text: str) -> str:
+    bytes_ = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+def _rounds_sql(k: int, rounds: int) -> str:
+    """CTEs c0, a0, c1, ...: centroids before a round, and key = k * distance + cluster of each vector."""
+    pair = "CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    out = [f"c0 AS (SELECT CAST(n AS BIGINT) AS c, v FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS n FROM x) WHERE n < {k})"]
+    for r in range(rounds + 1):
+        out.append(f"a{r} AS (SELECT x.r, min({k} * {pair} + c.c) AS key FROM x, c{r} c GROUP BY x.r)")
+        if r < rounds:
+            out.append(f"s{r} AS (SELECT key % {k} AS c, j, sum(v[j]) AS s, count(*) AS n FROM a{r} JOIN x USING (r), range(1, 65) t(j) GROUP BY 1, 2)")
+            out.append(f"m{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM s{r} GROUP BY c)")
+            out.append(f"c{r + 1} AS (SELECT c{r}.c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c)")
+    return ", ".join(out)
+
+
+def _leaf_sql(text: str) -> str:
+    frame = lambda x: f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+    return "sha256(" + " || ".join(frame(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": """
         WITH v AS (
@@ -211,6 +262,54 @@ ORACLES: dict[str, str] = {
         )
         SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = s.doc_id) AS component_id FROM s
     """,
+    "op11_sharding": f"""
+        WITH {_CRC_TABLE}, d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '-') AS k, coalesce(strlen(text), 0) + 1 AS size, {_crc("coalesce(text, '')")} AS crc FROM documents, tab),
+        b AS (SELECT *, list_transform(range(0, {SHARDS + 1}), lambda s: -ln((CAST('0x' || substr(md5(k || ':' || s), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE)) AS bids FROM d),
+        p AS (SELECT *, list_position(bids[1:{SHARDS}], list_min(bids[1:{SHARDS}])) - 1 AS shard, list_position(bids, list_min(bids)) - 1 AS grown FROM b)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY md5(k || ':' || size || ':' || crc), doc_id, size, crc) - 1 AS BIGINT) AS slot, CAST(grown AS INTEGER) AS grown_shard FROM p
+    """,
+    "op12_centroid_clustering": f"""
+        WITH x AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), {_rounds_sql(CENTROIDS, ROUNDS)},
+        f AS (SELECT vec_id, key % {CENTROIDS} AS c, key // {CENTROIDS} AS distance FROM a{ROUNDS} JOIN x USING (r))
+        SELECT vec_id, CAST(f.c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(z.v, ',')) AS centroid_sha256
+        FROM f JOIN c{ROUNDS} z ON f.c = z.c
+    """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC_TABLE}, d AS (
+            SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_crc("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS other FROM documents, tab
+        ), l AS (
+            SELECT row_number() OVER () AS r, doc_id, source, leaf, coalesce(other, leaf) AS now, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d
+        ), up AS (
+            SELECT 0 AS lvl, source, pos, leaf AS digest, n FROM l
+            UNION ALL
+            SELECT lvl + 1, source, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (min(n) + 2) // 3 FROM up WHERE n > 1 GROUP BY lvl, source, pos // 3
+        ), sub AS (
+            SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+        ), top AS (
+            SELECT 0 AS lvl, pos, subroot AS digest, n FROM sub
+            UNION ALL
+            SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (min(n) + 2) // 3 FROM top WHERE n > 1 GROUP BY lvl, pos // 3
+        ), beside AS (
+            SELECT FALSE AS is_top, lvl, source, pos, coalesce(string_agg(digest, '') OVER (a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, coalesce(string_agg(digest, '') OVER (a ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM up WHERE n > 1 WINDOW a AS (PARTITION BY lvl, source, pos // 3 ORDER BY pos)
+        ), above AS (
+            SELECT lvl, pos, coalesce(string_agg(digest, '') OVER (a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before, coalesce(string_agg(digest, '') OVER (a ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM top WHERE n > 1 WINDOW a AS (PARTITION BY lvl, pos // 3 ORDER BY pos)
+        ), walk AS (
+            SELECT r, source, 0 AS lvl, pos, now AS acc, '' AS sib, n FROM l
+            UNION ALL
+            SELECT w.r, w.source, w.lvl + 1, w.pos // 3, sha256(b.before || w.acc || b.after), w.sib || b.before || b.after, (w.n + 2) // 3
+            FROM walk w JOIN beside b ON w.n > 1 AND b.lvl = w.lvl AND b.pos = w.pos AND b.source IS NOT DISTINCT FROM w.source
+        ), climb AS (
+            SELECT w.r, 0 AS lvl, s.pos, w.acc, w.sib, s.n, s.subroot FROM walk w JOIN sub s ON w.n = 1 AND s.source IS NOT DISTINCT FROM w.source
+            UNION ALL
+            SELECT c.r, c.lvl + 1, c.pos // 3, sha256(a.before || c.acc || a.after), c.sib || a.before || a.after, (c.n + 2) // 3, c.subroot FROM climb c JOIN above a ON c.n > 1 AND a.lvl = c.lvl AND a.pos = c.pos
+        )
+        SELECT l.doc_id, l.leaf, c.subroot, t.digest AS root, sha256(c.sib) AS proof_sha256, c.acc AS folded_root, c.acc = t.digest AS verified FROM climb c JOIN l USING (r), top t WHERE c.n = 1 AND t.n = 1
+    """,
 }
 
 

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 import tamis.llm
 from tamis.llm.byte_bpe import encode_documents
+from tamis.llm.clustering import cluster_vectors
 from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.llm.jaccard_join import jaccard_components, one_of_each
 from tamis.llm.language_id import identify_languages
 from tamis.llm.line_dedup import drop_boilerplate
+from tamis.llm.merkle import merkle_manifest
 from tamis.llm.mixing import mix_sources, take_copies
 from tamis.llm.quality import score_quality
 from tamis.llm.queries import tokenizer
 from tamis.llm.secrets import scan_secrets
+from tamis.llm.sharding import shard_records
 from tamis.llm.topk_search import topk_search
 from tamis.llm.url_filter import filter_urls
 
@@ -66,6 +69,8 @@ ASIDE = {
     "secrets": lambda d: scan_secrets(d, *tokenizer()),
     "tokens": lambda d: encode_documents(d, *tokenizer(), digests=True),
     "components": lambda d: jaccard_components(d),
+    "shards": lambda d: shard_records(d, [1.0, 2.0]),
+    "manifest": lambda d: merkle_manifest(d, ["doc_id", "source", "text"], "source", "doc_id", {"text": F.upper("text")}),
 }
 
 
@@ -76,7 +81,7 @@ def test_other_columns_are_ignored(spark, docs, name):
 
 def test_vectors_and_urls_ignore_other_columns(spark):
     v = spark.createDataFrame([(i, [1.0, i / 9, 0.5], i % 2) for i in range(40)], "vec_id bigint, embedding array<float>, label int")
-    for f in (embedding_near_duplicates, lambda d: topk_search(d, d.where("vec_id % 5 = 0"))):
+    for f in (embedding_near_duplicates, lambda d: topk_search(d, d.where("vec_id % 5 = 0")), lambda d: cluster_vectors(d, 4, 2, dimensions=3)):
         assert sorted(map(str, f(wide(v)).collect())) == sorted(map(str, f(v).collect()))
     u = spark.createDataFrame([(i, f"http://h{i % 3}.example.org/de/", "2024-05-01 00:00:00") for i in range(9)], "page_id bigint, url string, fetched_at string")
     entries = spark.createDataFrame([("h1.example.org", "/", "add", "2000-01-01 00:00:00")], "domain string, prefix string, action string, listed_at string")
