@@ -94,38 +94,72 @@ def _sized(x: Column, separator: str) -> Column:
     return F.transform(part, lambda p: F.struct(p.alias("p"), word_count(p).alias("n")))
 
 
+def _range(a: Column, b: Column, hard: Column) -> Column:
+    return F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), hard.alias("hard"))
+
+
+_RANGES = "array<struct<a:int,b:int,hard:boolean>>"
+
+
+def flushed(s: Column) -> Column:
+    """The complete ranges of a fold's state, and the open one."""
+    return F.when(s["s"] < s["i"], F.concat(s["out"], F.array(_range(s["s"], s["i"], F.lit(False))))).otherwise(s["out"])
+
+
+def _texts(paras: Column, ranges: Column, separator: str, hard: Callable[[Column], Column] | None = None) -> Column:
+    """The texts of ranges of paragraphs; one marked hard is a single paragraph that hard() cuts into texts."""
+    joined = lambda r: F.array(F.array_join(F.transform(F.slice(paras, r["a"] + 1, r["b"] - r["a"]), lambda s: s["p"]), separator))
+    one = lambda r: F.get(paras, r["a"])["p"]
+    return F.flatten(F.transform(ranges, lambda r: F.when(r["hard"], hard(one(r))).otherwise(joined(r)) if hard else joined(r)))
+
+
+#: Paragraphs that are folded at a time: a fold copies what it carries with every element, so the ranges of a block are carried apart from those before.
+_BLOCK = 256
+
+
+def _fold(n: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """struct(out, s, i, w) after all of n: out the ranges that are complete, s where the open one starts, i the position, w the words of the open one."""
+    state = lambda out, t: F.struct(out.alias("out"), *(t[c].alias(c) for c in ("s", "i", "w")))
+    none, zero = F.array().cast(_RANGES), F.struct(*(F.lit(0).alias(c) for c in ("s", "i", "w")))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / F.lit(_BLOCK)).cast("int")), lambda j: F.slice(n, j * _BLOCK + 1, F.lit(_BLOCK)))
+    return F.aggregate(F.when(F.size(n) > 0, blocks).otherwise(F.array(n)), state(none, zero), lambda t, block: let(F.aggregate(block, state(none, t), step), lambda u: state(F.concat(t["out"], u["out"]), u)))
+
+
 def pack_paragraphs(x: Column, max_words: int = 400, overlap_words: int = 50, separator: str = "\n\n") -> Column:
-    """Greedy packs of whole non-blank paragraphs up to max_words; the next pack starts with the last whole paragraphs that hold overlap_words together. An oversize paragraph is a pack of its own size."""
-    paras = F.filter(_sized(x, separator), lambda s: s["n"] > 0)
-    none = F.array().cast("array<struct<p:string,n:int>>")
-    join = lambda cur: F.array_join(F.transform(cur, lambda s: s["p"]), separator)
-    start = F.struct(literals([]).alias("chunks"), none.alias("cur"), F.lit(0).alias("w"))
+    """Greedy packs of whole non-blank paragraphs up to max_words; the next pack starts with the last whole paragraphs that hold overlap_words together. An oversize paragraph is a pack of its own size. What is carried from paragraph to paragraph is numbers: the ranges of the packs, from which the texts are cut once."""
 
-    def tail(cur: Column) -> Column:
-        return F.aggregate(F.reverse(cur), F.struct(F.lit(0).alias("k"), F.lit(0).alias("w"), F.lit(True).alias("go")), lambda t, y: F.when(t["go"] & (t["w"] + y["n"] <= overlap_words), F.struct((t["k"] + 1).alias("k"), (t["w"] + y["n"]).alias("w"), F.lit(True).alias("go"))).otherwise(F.struct(t["k"].alias("k"), t["w"].alias("w"), F.lit(False).alias("go"))))
+    def back(n: Column, s: Column) -> Column:
+        """(k, w): the last paragraphs of the pack that hold overlap_words together; each has a word, so few are looked at."""
+        near = F.greatest(s["s"], s["i"] - overlap_words)
+        last = F.reverse(F.slice(n, near + 1, s["i"] - near))
+        start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("w"), F.lit(True).alias("go"))
+        return F.aggregate(last, start, lambda t, y: F.when(t["go"] & (t["w"] + y <= overlap_words), F.struct((t["k"] + 1).alias("k"), (t["w"] + y).alias("w"), F.lit(True).alias("go"))).otherwise(F.struct(t["k"].alias("k"), t["w"].alias("w"), F.lit(False).alias("go"))))
 
-    def step(s: Column, y: Column) -> Column:
-        emit = F.transform(F.array(tail(s["cur"])), lambda t: F.struct(F.concat(s["chunks"], F.array(join(s["cur"]))).alias("chunks"), F.concat(F.slice(s["cur"], F.size(s["cur"]) - t["k"] + 1, t["k"]), F.array(y)).alias("cur"), (t["w"] + y["n"]).alias("w")))[0]
-        add = F.struct(s["chunks"].alias("chunks"), F.concat(s["cur"], F.array(y)).alias("cur"), (s["w"] + y["n"]).alias("w"))
-        return F.when((s["w"] + y["n"] > max_words) & (F.size(s["cur"]) > 0), emit).otherwise(add)
+    def ranges(n: Column) -> Column:
+        def step(s: Column, y: Column) -> Column:
+            emit = let(back(n, s), lambda t: F.struct(F.concat(s["out"], F.array(_range(s["s"], s["i"], F.lit(False)))).alias("out"), (s["i"] - t["k"]).alias("s"), (s["i"] + 1).alias("i"), (t["w"] + y).alias("w")))
+            add = F.struct(s["out"].alias("out"), s["s"].alias("s"), (s["i"] + 1).alias("i"), (s["w"] + y).alias("w"))
+            return F.when((s["w"] + y > max_words) & (s["s"] < s["i"]), emit).otherwise(add)
+
+        return let(_fold(n, step), flushed)
 
-    return F.aggregate(paras, start, step, lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["chunks"], F.array(join(s["cur"])))).otherwise(s["chunks"]))
+    numbers = lambda paras: let(F.transform(paras, lambda s: s["n"]), ranges)
+    return let(F.filter(_sized(x, separator), lambda s: s["n"] > 0), lambda paras: let(numbers(paras), lambda r: _texts(paras, r, separator)))
 
 
 def split_sections(x: Column, max_words: int = 30000, separator: str = "\n\n") -> Column:
     """Sections of up to max_words: a text that fits as it stands, else packs of paragraphs (blank ones kept) without overlap; a longer paragraph is cut every max_words."""
-    none = literals([])
-    start = F.struct(none.alias("out"), none.alias("cur"), F.lit(0).alias("w"))
-    flushed = lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["out"], F.array(F.array_join(s["cur"], separator)))).otherwise(s["out"])
 
     def step(s: Column, y: Column) -> Column:
-        hard = F.flatten(F.transform(F.array(words(y["p"])), lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / F.lit(max_words)).cast("int")), lambda i: F.array_join(F.slice(w, i * max_words + 1, F.lit(max_words)), " "))))
-        over = F.struct(F.concat(flushed(s), hard).alias("out"), none.alias("cur"), F.lit(0).alias("w"))
-        emit = F.struct(flushed(s).alias("out"), F.array(y["p"]).alias("cur"), y["n"].alias("w"))
-        add = F.struct(s["out"].alias("out"), F.concat(s["cur"], F.array(y["p"])).alias("cur"), (s["w"] + y["n"]).alias("w"))
-        return F.when(y["n"] > max_words, over).when((s["w"] + y["n"] > max_words) & (F.size(s["cur"]) > 0), emit).otherwise(add)
-
-    packed = F.aggregate(_sized(x, separator), start, step, flushed)
+        after = s["i"] + 1
+        over = F.struct(F.concat(flushed(s), F.array(_range(s["i"], after, F.lit(True)))).alias("out"), after.alias("s"), after.alias("i"), F.lit(0).alias("w"))
+        emit = F.struct(flushed(s).alias("out"), s["i"].alias("s"), after.alias("i"), y.alias("w"))
+        add = F.struct(s["out"].alias("out"), s["s"].alias("s"), after.alias("i"), (s["w"] + y).alias("w"))
+        return F.when(y > max_words, over).when((s["w"] + y > max_words) & (s["s"] < s["i"]), emit).otherwise(add)
+
+    cut = lambda p: let(words(p), lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / F.lit(max_words)).cast("int")), lambda i: F.array_join(F.slice(w, i * max_words + 1, F.lit(max_words)), " ")))
+    numbers = lambda paras: let(let(F.transform(paras, lambda s: s["n"]), lambda n: _fold(n, step)), flushed)
+    packed = let(_sized(x, separator), lambda paras: let(numbers(paras), lambda r: _texts(paras, r, separator, cut)))
     return F.when(word_count(x) <= max_words, F.array(F.coalesce(x, F.lit("")))).otherwise(packed)
 
 

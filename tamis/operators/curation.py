@@ -133,8 +133,8 @@ def _flag_totals(records: DataFrame) -> dict[str, int]:
 
 
 def _rarest(totals: dict[str, int]) -> Column:
-    counts = F.create_map(*(x for f, n in totals.items() for x in (F.lit(f), F.lit(n)))) if totals else F.create_map().cast("map<string,int>")
     """The count of a record's rarest flag; null without flags."""
+    counts = F.create_map(*(x for f, n in totals.items() for x in (F.lit(f), F.lit(n)))) if totals else F.create_map().cast("map<string,int>")
     return F.array_min(F.transform("flags", lambda f: F.element_at(counts, f)))
 
 
@@ -191,10 +191,11 @@ def flag_counts(records: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def supplement(records: DataFrame, generate, needed: DataFrame, suffix: str = "") -> DataFrame:
-    """Synthetic records for (flag, missing): generate(needed) gives (flag, passage, ordinal); those beyond `missing` are cut."""
+    """Synthetic records for (flag, missing): generate(needed) gives (flag, passage, ordinal); those beyond `missing` are cut. Ordinals in ids have three digits at least, and more where they need them."""
+    ordinal = F.col("ordinal").cast("string")
     made = generate(needed).join(F.broadcast(needed), "flag").where(F.col("ordinal") < F.col("missing"))
     return made.select(
-        F.concat(F.lit("SYNTH-"), "flag", F.lit(suffix), F.lit("-"), F.lpad(F.col("ordinal").cast("string"), 3, "0")).alias("rfp_id"),
+        F.concat(F.lit("SYNTH-"), "flag", F.lit(suffix), F.lit("-"), F.when(F.length(ordinal) < 3, F.lpad(ordinal, 3, "0")).otherwise(ordinal)).alias("rfp_id"),
         F.lit(0).alias("chunk_index"), F.col("passage").alias("chunk_text"), F.array("flag").alias("flags"), F.lit("synthetic").alias("confidence"), F.lit(False).alias("adversarial"), F.lit("keep").alias("validation"), F.array().cast("array<string>").alias("original_flags"), F.lit(None).cast("string").alias("drop_reason"),
     )
 

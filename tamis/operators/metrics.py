@@ -103,3 +103,11 @@ def throughput(seen: Observation, seconds: float) -> dict[str, float]:
     """The counts of a finished run, its seconds, and rows per minute."""
     counts = dict(seen.get)
     return {**counts, "seconds": seconds, "rows_per_minute": counts["rows"] * 60 / seconds if seconds > 0 else 0.0}
+
+
+def rates(log: DataFrame, at: str, every: str = "1 minute", **counts: Column) -> DataFrame:
+    """(start, rows, the counts, rows_per_minute) of the rows of a log in each window of time; rows without a time are left out."""
+    own = F.window(F.col(at).cast("timestamp"), every)
+    n = log.groupBy(own.alias("w")).agg(F.count("*").alias("rows"), *(F.count_if(c).alias(k) for k, c in counts.items()))
+    minutes = (F.unix_seconds("w.end") - F.unix_seconds("w.start")) / F.lit(60.0)
+    return n.select(F.col("w.start").alias("start"), "rows", *counts, (F.col("rows") / minutes).alias("rows_per_minute"))

@@ -1,22 +1,14 @@
-"""A store of passages with embeddings: ids, top-k by cosine distance, context for chunks.
-
-Top-k runs in blocks: passages are packed into blocks of vectors, queries meet every block by an equi-join on its number, and
-one matrix product scores a block; k rows per query and block go on to the final ranking. Nothing is broadcast, and no pair of
-query and passage becomes a row.
-"""
+"""A store of passages with embeddings: ids, top-k by cosine distance (see vectors), context for chunks."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions.prompts import context_block, extract_chunk, of_roles
-
+from tamis.operators.vectors import top_k
 
 #: Positions whose passages are ranked together.
 RUN = 1 << 16
@@ -45,56 +37,6 @@ def hashed_embedding(x: Column, dimensions: int = 64) -> Column:
     return F.transform(F.array(counts), lambda v: F.transform(v, lambda c: F.when(norm(v) > 0, c / norm(v)).otherwise(F.lit(0.0))))[0]
 
 
-def top_k(queries: DataFrame, passages: DataFrame, k: int = 3, exclude_self: bool = False, block_rows: int = 8192, query_rows: int = 4096) -> DataFrame:
-    """(query_id, rank, id, distance): the k passages (id bigint, embedding) with the smallest cosine distance to each query (query_id bigint, embedding), ties by id; fewer if the store is small. exclude_self leaves out the passage whose id is the query's. Vectors of zeros are at distance 1."""
-
-    def as_block(block: int, some: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.asarray(v, np.float64) for v in some["embedding"]])
-        return pd.DataFrame({"block": [block], "n": [len(some)], "ids": [some["id"].to_numpy(np.int64).tobytes()], "x": [x.tobytes()]})
-
-    def pack(rows: int):
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            waiting: dict[int, list[pd.DataFrame]] = {}
-            for pdf in parts:
-                for block, own in pdf.groupby("block"):
-                    kept = waiting.setdefault(block, [])
-                    kept.append(own)
-                    if sum(map(len, kept)) >= rows:
-                        whole = pd.concat(waiting.pop(block))
-                        for at in range(0, len(whole), rows):
-                            yield as_block(block, whole.iloc[at : at + rows])
-            for block, kept in waiting.items():
-                yield as_block(block, pd.concat(kept))
-
-        return run
-
-    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for r in pdf.itertuples(index=False):
-                ids, q_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.q_ids, np.int64)
-                unit = [v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) for v in (np.frombuffer(r.x).reshape(r.n, -1), np.frombuffer(r.q_x).reshape(r.q_n, -1))]
-                for at in range(0, r.q_n, 512):
-                    d = 1 - unit[1][at : at + 512] @ unit[0].T
-                    own = q_ids[at : at + 512]
-                    if exclude_self:
-                        d[own[:, None] == ids[None, :]] = np.inf
-                    m = min(k, r.n)
-                    bound = np.partition(d, m - 1, axis=1)[:, m - 1 : m]
-                    a, b = np.nonzero((d <= bound) & np.isfinite(d))
-                    yield pd.DataFrame({"query_id": own[a], "id": ids[b], "distance": d[a, b]})
-
-    blocks, q_blocks = (max(1, math.ceil(df.count() / n)) for df, n in ((passages, block_rows), (queries, query_rows)))
-    deal = lambda df, n: df.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(n, "block")
-    packed = "block int, n int, ids binary, x binary"
-    store = deal(passages.select("id", "embedding"), blocks).mapInPandas(pack(2 * block_rows), packed).repartition(blocks, "block")
-    asked = deal(queries.select(F.col("query_id").alias("id"), "embedding"), q_blocks).mapInPandas(pack(query_rows), packed)
-    asked = asked.select(*(F.col(c).alias(f"q_{c}") for c in ("n", "ids", "x"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(blocks, "block")
-    met = store.hint("shuffle_hash").join(asked, "block").mapInPandas(score, "query_id bigint, id bigint, distance double")
-    # distances that differ by rounding alone are ties
-    order = Window.partitionBy("query_id").orderBy(F.round("distance", 12), "id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
-
-
 def drop_self(hits: DataFrame, same: Column, k: int) -> DataFrame:
     """Of k + 1 over-fetched hits per query, those that are not the chunk itself, ranked again, the first k."""
     order = Window.partitionBy("query_id").orderBy("rank")

@@ -16,12 +16,12 @@ from tamis.schemas import Taxonomy
 from tamis.workspace import written
 
 
-def predict(chats: DataFrame, make_detector: Callable[[], Detector], taxonomy: Taxonomy) -> DataFrame:
+def predict(chats: DataFrame, make_detector: Callable[[], Detector], taxonomy: Taxonomy, in_flight: int = 1) -> DataFrame:
     """chats (messages) as results: predicted, ground_truth, raw_output, raw_ground_truth, format_ok. Each chunk is asked for once."""
     vocabulary = taxonomy.vocabulary()
     asked = chats.select(first_content(F.col("messages"), "user").alias("prompt"), first_content(F.col("messages"), "assistant").alias("raw_ground_truth"))
     raw = F.coalesce("raw", F.lit(""))
-    out = detect(asked, make_detector, taxonomy, attempts=1)
+    out = detect(asked, make_detector, taxonomy, attempts=1, in_flight=in_flight)
     return out.select(parse_flags(raw, vocabulary).alias("predicted"), parse_flags(F.col("raw_ground_truth"), vocabulary).alias("ground_truth"), raw.alias("raw_output"), "raw_ground_truth", format_ok(raw, vocabulary).alias("format_ok"))
 
 
@@ -33,14 +33,14 @@ def evaluate(results: DataFrame) -> dict[str, DataFrame]:
 MODES = ("finetuned", "base", "compare")
 
 
-def run(chats: DataFrame, taxonomy: Taxonomy, base: Callable[[], Detector] | None = None, tuned: Callable[[], Detector] | None = None, mode: str = "finetuned") -> DataFrame:
+def run(chats: DataFrame, taxonomy: Taxonomy, base: Callable[[], Detector] | None = None, tuned: Callable[[], Detector] | None = None, mode: str = "finetuned", in_flight: int = 1) -> DataFrame:
     """What an evaluation run reports: the micro metrics of one model, or, in mode `compare`, the four metrics of both side by side. The modes exclude each other; a model that the mode does not name is not asked. Predictions are written before they are read."""
     if mode not in MODES:
         raise ValueError(f"a mode is one of {', '.join(MODES)}: {mode}")
     wanted = {"finetuned": [("tuned", tuned)], "base": [("base", base)], "compare": [("base", base), ("tuned", tuned)]}[mode]
     if missing := [name for name, make in wanted if make is None]:
         raise ValueError(f"mode {mode} needs the model: {', '.join(missing)}")
-    found = [M.micro_metrics(written(predict(chats, make, taxonomy), f"predictions-{name}")) for name, make in wanted]
+    found = [M.micro_metrics(written(predict(chats, make, taxonomy, in_flight), f"predictions-{name}")) for name, make in wanted]
     return M.compare_models(*found) if mode == "compare" else found[0]
 
 
@@ -56,7 +56,12 @@ SMOKE_CASES = (
 
 def smoke(spark: SparkSession, make_detector: Callable[[], Detector], taxonomy: Taxonomy, cases: tuple[tuple[str, str], ...] = SMOKE_CASES) -> DataFrame:
     """The cases (prompt, expected) with raw answers and errors; M.pass_rate counts them."""
-    return detect(spark.createDataFrame(list(cases), "prompt string, expected string").coalesce(1), make_detector, taxonomy, attempts=1)
+    return ask_cases(spark.createDataFrame(list(cases), "prompt string, expected string").coalesce(1), make_detector, taxonomy)
+
+
+def ask_cases(cases: DataFrame, make_detector: Callable[[], Detector], taxonomy: Taxonomy, in_flight: int = 1) -> DataFrame:
+    """Any table of cases (prompt, expected) with raw answers and errors."""
+    return detect(cases, make_detector, taxonomy, attempts=1, in_flight=in_flight)
 
 
 def token_lengths(chats: DataFrame, make_tokenizer: Callable[[], object], render: Callable[[list], str] | None = None) -> DataFrame:

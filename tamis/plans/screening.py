@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tamis.functions.parsing import parse_flags, parse_ok
 from tamis.functions.text import chunk_words
 from tamis.operators.detection import Detector, detect, with_prompts
+from tamis.operators.passage_index import PassageIndex
 from tamis.schemas import TIERS, Screening, Taxonomy, literals
 
 
@@ -53,7 +54,18 @@ def decide(gathered: DataFrame, settings: Screening) -> DataFrame:
     return gathered.withColumn("filter_out", filters_out(F.col("flags"), settings.taxonomy, settings.red_threshold))
 
 
-def screen(documents: DataFrame, make_detector: Callable[[], Detector], settings: Screening, retrieve: Callable[[DataFrame], DataFrame] | None = None, id_col: str = "doc_id", text_col: str = "text", spread: int | None = None) -> DataFrame:
+def context_of(index: PassageIndex, k: int = 3, id_col: str = "doc_id") -> Callable[[DataFrame], DataFrame]:
+    """A retrieve function for screen(): the k passages of the index that are nearest to each chunk."""
+
+    def retrieve(chunks: DataFrame) -> DataFrame:
+        keyed = chunks.withColumn("query_id", F.xxhash64(id_col, "chunk_index"))
+        hits = index.query(keyed.select("query_id", F.col("chunk_text").alias("text")), k)
+        return keyed.join(hits.select("query_id", F.transform("hits", lambda h: h["passage"]).alias("passages")), "query_id", "left").drop("query_id")
+
+    return retrieve
+
+
+def screen(documents: DataFrame, make_detector: Callable[[], Detector], settings: Screening, retrieve: Callable[[DataFrame], DataFrame] | None = None, id_col: str = "doc_id", text_col: str = "text", spread: int | None = None, in_flight: int = 1) -> DataFrame:
     """One row per document: id, flags, unparsed_chunks, total_chunks, filter_out.
 
     retrieve(chunks) may add a column passages (array<string>) that go into the prompts as context. Empty documents call no
@@ -62,7 +74,7 @@ def screen(documents: DataFrame, make_detector: Callable[[], Detector], settings
     if retrieve:
         chunks = retrieve(chunks)
     asked = with_prompts(chunks, F.col("passages") if retrieve else None).select(id_col, "chunk_index", "prompt")
-    gathered = gather(detect(asked, make_detector, settings.taxonomy, settings.attempts, spread), id_col)
+    gathered = gather(detect(asked, make_detector, settings.taxonomy, settings.attempts, spread, in_flight=in_flight), id_col)
     all_docs = documents.select(id_col).join(gathered, id_col, "left")
     none = literals([])
     return decide(all_docs.select(id_col, F.coalesce("flags", none).alias("flags"), *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("unparsed_chunks", "total_chunks"))), settings)

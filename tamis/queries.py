@@ -446,9 +446,16 @@ def q_detect_chunks(spark, sf_dir):
     return detect(chunks, HalfParsingDetector, Taxonomy()).select("doc_id", "chunk_index", "attempts", "parsed", "error", joined("flags"))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{','.join(sorted(f for f, x in RUNTIME_TIERS.items() if x == t))}')" for t in ("red", "green", "blue")) + ") v(tier, flags)")
+@query(f"""
+        WITH {RECORDS_SQL}, t AS (SELECT * FROM (VALUES {", ".join(f"('{f}', '{t}')" for f, t in RUNTIME_TIERS.items())}) v(flag, tier)),
+        n AS (SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM records) GROUP BY flag)
+        SELECT tier, string_agg(flag, ',' ORDER BY flag) AS flags, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM t LEFT JOIN n USING (flag) GROUP BY tier
+    """)
 def q_taxonomy_views(spark, sf_dir):
-    return Taxonomy().views(spark).select("tier", joined("flags"))
+    """The flags of each tier, and how often records show one of them."""
+    known = Taxonomy()
+    shown = records(spark, sf_dir).select(F.explode("flags").alias("flag")).join(known.table(spark), "flag").groupBy("tier").agg(F.count("*").alias("n"))
+    return known.views(spark).join(shown, "tier", "left").select("tier", joined("flags"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 # --- record filters and statistics -------------------------------------------------------------------------------------

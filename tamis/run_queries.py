@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import uuid
 import zipfile
 from xml.sax.saxutils import escape
@@ -23,11 +24,14 @@ from tamis.operators import labeling as L
 from tamis.operators import metrics as M
 from tamis.operators import retrieval as V
 from tamis.operators.detection import ServiceDetector, detect, detect_native, json_answer, lexicon_answer, lexicon_flags, with_prompts
+from tamis.operators.ordinals import zip_strict
+from tamis.operators.passage_index import PassageIndex
 from tamis.operators.sampling import shuffled_by
 from tamis.plans import evaluation as E
+from tamis.plans import labeling as B
 from tamis.plans import screening as S
 from tamis.plans import training_set as T
-from tamis.queries import _MICRO_SQL, _RESULTS_SQL, LEXICON, RECORDS_SQL, SETTINGS, VOCABULARY, WEAK_LEXICON, HalfParsingDetector, chunks_sql, definitions, documents, joined, lexicon_sql, query, records, results, table
+from tamis.queries import _MICRO_SQL, _PAIRS_SQL, _RESULTS_SQL, _vectors, LEXICON, RECORDS_SQL, SETTINGS, VOCABULARY, WEAK_LEXICON, HalfParsingDetector, chunks_sql, definitions, documents, joined, lexicon_sql, query, records, results, table
 from tamis.schemas import NO_FLAG, TIERS, Taxonomy, literals
 from tamis.sources import files as W
 from tamis.workspace import shared_dir
@@ -152,11 +156,29 @@ def q_pdf_text(spark, sf_dir):
     return W.extract_contents(made).select(F.substring_index("name", ".", 1).cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"))
 
 
-@query("SELECT 'Be brief.' AS prompt")
+@query(r"SELECT item_id, md5(regexp_replace(text, '^[\s\x{85}\x{A0}\x1C-\x1F]+|[\s\x{85}\x{A0}\x1C-\x1F]+$', '', 'g')) AS prompt_md5 FROM benchmark WHERE item_id IS NOT NULL")
 def q_prompt_source(spark, sf_dir):
-    path = fresh(spark, "prompt")
-    spark.createDataFrame([("\n  Be brief. \n",)], "value string").coalesce(1).write.text(path)
-    return spark.createDataFrame([(W.read_prompt(spark, path),)], "prompt string")
+    """Each text of the benchmark as a prompt file with white space around it."""
+    path = fresh(spark, "prompts")
+    table(spark, sf_dir, "benchmark").where("item_id IS NOT NULL").select("item_id", F.concat(F.lit("\n  "), "text", F.lit(" \n"))).write.partitionBy("item_id").text(path)
+    return W.read_prompts(spark, path).select(F.regexp_extract("path", "item_id=([0-9]+)", 1).cast("bigint").alias("item_id"), F.md5("prompt").alias("prompt_md5"))
+
+
+@query("SELECT doc_id, source, md5(text) AS text_md5 FROM documents")
+def q_zip_strict(spark, sf_dir):
+    """Two tables in the same order, put side by side again by position."""
+    docs = documents(spark, sf_dir)
+    own = docs.orderBy("doc_id").select("doc_id", "source")
+    texts = docs.orderBy("doc_id").select(F.md5("text").alias("text_md5"))
+    return zip_strict(own, texts).select("doc_id", "source", "text_md5")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents")
+def q_ordinals(spark, sf_dir):
+    """The place of each record in files that bear none."""
+    path = fresh(spark, "ordered")
+    W.write_jsonl(documents(spark, sf_dir).orderBy("doc_id").select("doc_id", "lang"), path)
+    return W.read_ordered(spark, path, "doc_id bigint, lang string").select("doc_id", "pos")
 
 
 @query(f"WITH {_RESULTS_SQL} {_MICRO_SQL.format(pred='pred')}")
@@ -190,6 +212,17 @@ def q_passage_store(spark, sf_dir):
     return store.read().select("id", F.md5("passage").alias("passage_md5"), *(F.lit(n).cast("bigint").alias(c) for c, n in counts.items()))
 
 
+@query(f"WITH {_PAIRS_SQL} SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(distance, 6) + 0.0 AS distance FROM r WHERE rank <= 3")
+def q_index_topk(spark, sf_dir):
+    """The hits of q_vector_topk by a stored index that is filled in two steps."""
+    queries, passages = _vectors(spark, sf_dir)
+    index = PassageIndex(spark, fresh(spark, "index"))
+    rows = passages.select(F.col("id").alias("key"), F.col("id").cast("string").alias("id"), "flag", "passage", "embedding")
+    for part in ("key % 3 <> 0", "key % 3 = 0"):
+        index.add_vectors(rows.where(part))
+    return index.query_vectors(queries, 3).withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+
+
 @query(r"SELECT item_id AS pos, 64 AS dimensions, CASE WHEN regexp_matches(text, '[\p{L}\p{N}_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM benchmark")
 def q_embedding(spark, sf_dir):
     x = _seeds(spark, sf_dir).select("pos", V.hashed_embedding(F.col("passage")).alias("v"))
@@ -315,12 +348,47 @@ class WordDetector:
         return "\n".join(f for f, term in self.lexicon.items() if term in low) or NO_FLAG
 
 
-_SMOKE = {"small_business_set_aside": "small firms", "lpta_source_selection": "lowest price", "8a_set_aside": "8(a)", "agile_methodology": "scrum"}
+@query(f"""
+        WITH c AS (SELECT {lexicon_sql("text", LEXICON)} AS f, CASE WHEN contains(lower(text), 'license') THEN 'hubzone_set_aside' WHEN doc_id % 4 = 0 THEN 'lpta_source_selection' ELSE 'no_flag' END AS expected FROM documents WHERE text IS NOT NULL),
+        n AS (SELECT count(*) AS cases, count(*) FILTER (contains(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE 'no_flag' END, expected)) AS passed FROM c)
+        SELECT cases, passed, CAST(passed AS DOUBLE) / cases AS rate FROM n
+    """)
+def q_smoke_cases(spark, sf_dir):
+    """The documents as cases, each with what its answer should hold."""
+    expected = F.when(F.contains(F.lower("text"), F.lit("license")), "hubzone_set_aside").when(F.col("doc_id") % 4 == 0, "lpta_source_selection").otherwise("no_flag")
+    cases = documents(spark, sf_dir).where("text IS NOT NULL").select(F.col("text").alias("prompt"), expected.alias("expected"))
+    return M.pass_rate(E.ask_cases(cases, lambda: WordDetector(LEXICON), Taxonomy()))
 
 
-@query("SELECT 5 AS cases, 4 AS passed, 0.8::DOUBLE AS rate")
-def q_smoke_cases(spark, sf_dir):
-    return M.pass_rate(E.smoke(spark, lambda: WordDetector(_SMOKE), Taxonomy()))
+@query("""
+        SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS errors, count(*) / 60.0::DOUBLE AS rows_per_minute FROM events WHERE ts IS NOT NULL GROUP BY 1
+    """)
+def q_throughput(spark, sf_dir):
+    rates = M.rates(table(spark, sf_dir, "events"), "ts", "1 hour", errors=F.col("event_type") == "error")
+    return rates.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "rows", "errors", "rows_per_minute")
+
+
+@query(f"""
+        WITH {RECORDS_SQL}, b AS (SELECT pos, flags, pos // 10 AS batch FROM records),
+        v AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY pos) - 1 AS i, batch % 7 = 3 AS down FROM b)
+        SELECT pos, CASE WHEN NOT down AND i % 3 = 1 THEN 'agile_methodology' ELSE array_to_string(flags, ',') END AS flags, CASE WHEN NOT down AND i % 3 = 1 THEN 'fixed' WHEN NOT down AND i % 3 = 2 THEN 'dropped' ELSE 'keep' END AS validation, CASE WHEN NOT down AND i % 3 = 2 THEN 'off topic' END AS drop_reason FROM v
+    """)
+def q_validate_batches(spark, sf_dir):
+    """A review of all records, ten to a prompt; the calls of some batches fail."""
+    work = records(spark, sf_dir).withColumn("chunk_text", F.concat(F.lit("batch "), F.floor(F.col("pos") / 10).cast("string"), F.lit(" "), F.coalesce("chunk_text", F.lit(""))))
+    done = B.validate(work, ReviewingDetector, VOCABULARY, fresh(spark, "reviews"), in_flight=4)
+    return done.select("pos", joined("flags"), "validation", "drop_reason")
+
+
+class ReviewingDetector:
+    """Keeps, fixes and drops items by their number in the prompt; fails for every seventh batch."""
+
+    def detect(self, prompt: str) -> str:
+        if int(re.search(r"batch ([0-9]+) ", prompt)[1]) % 7 == 3:
+            raise ValueError("down")
+        items = range(len(re.findall(r"^\[[0-9]+\] flags: ", prompt, re.MULTILINE)))
+        verdict = {0: {"verdict": "KEEP"}, 1: {"verdict": "FIX", "corrected_flags": ["agile_methodology", "made_up"]}, 2: {"verdict": "DROP", "reason": "off topic"}}
+        return json.dumps([{"index": i, **verdict[i % 3]} for i in items])
 
 
 # --- whole runs --------------------------------------------------------------------------------------------------------
@@ -373,7 +441,7 @@ def q_shuffle(spark, sf_dir):
 @query(f"""
         WITH {RECORDS_SQL}, n AS (SELECT flag, count(*) AS n FROM (SELECT unnest(flags) AS flag FROM records) GROUP BY flag),
         m AS (SELECT flag, n AS missing FROM n WHERE n < 5000)
-        SELECT 'SYNTH-' || flag || '-' || CASE WHEN i < 1000 THEN lpad(CAST(i AS VARCHAR), 3, '0') ELSE substr(CAST(i AS VARCHAR), 1, 3) END AS rfp_id, flag || ' ' || i AS chunk_text, 'synthetic' AS confidence FROM (SELECT flag, unnest(range(0, missing)) AS i FROM m)
+        SELECT 'SYNTH-' || flag || '-' || printf('%03d', i) AS rfp_id, flag || ' ' || i AS chunk_text, 'synthetic' AS confidence FROM (SELECT flag, unnest(range(0, missing)) AS i FROM m)
     """)
 def q_supplement(spark, sf_dir):
     vocabulary = spark.createDataFrame([(f,) for f in VOCABULARY], "flag string")
@@ -422,12 +490,12 @@ def q_screen_uploads(spark, sf_dir):
     return S.screen_files(_extracted(spark, sf_dir), lambda c: lexicon_answer(c, LEXICON), SETTINGS, "doc_id").select("doc_id", "rejected", joined("flags"), "filter_out")
 
 
-@query(f"WITH {RECORDS_SQL} SELECT CAST(count(*) AS BIGINT) AS \"rows\", CAST(count(*) FILTER (len(flags) > 0) AS BIGINT) AS flagged FROM records")
+@query(f"WITH {RECORDS_SQL} SELECT CAST(count(*) AS BIGINT) AS \"rows\", CAST(count(*) FILTER (len(flags) > 0) AS BIGINT) AS flagged, count(*) * 60 / 90.0::DOUBLE AS rows_per_minute FROM records")
 def q_run_log(spark, sf_dir):
     df, seen = M.observed(records(spark, sf_dir).select("pos", "flags"), "run", flagged=C.is_positive())
     df.write.parquet(fresh(spark, "run"))
-    counts = seen.get
-    return spark.createDataFrame([(counts["rows"], counts["flagged"])], "rows bigint, flagged bigint")
+    log = M.throughput(seen, 90.0)
+    return spark.createDataFrame([(log["rows"], log["flagged"], log["rows_per_minute"])], "rows bigint, flagged bigint, rows_per_minute double")
 
 
 @query(f"""

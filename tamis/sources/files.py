@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -14,6 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tamis.functions.text import strip
+from tamis.operators.ordinals import shifted
+from tamis.workspace import written
+
 SUFFIXES = ("pdf", "docx")
 # The frame of a package of several documents.
 PACKAGE_HEAD = "MULTI-DOCUMENT PACKAGE ({n} documents)\n\n"
@@ -21,13 +26,31 @@ RULE = "=" * 40
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Records of a JSON-lines file or folder; blank lines are skipped, a malformed one fails the read."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """Records of a JSON-lines file or folder, of its current version if rewrite_jsonl has made some; blank lines are skipped, a malformed one fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(current(spark, path))
+
+
+def read_ordered(spark: SparkSession, path: str, schema: StructType | str, name: str = "pos") -> DataFrame:
+    """read_jsonl() with `name`: the place of each record, from 0, in the order of files by name and of lines in them. What the files say about `name` holds if all records do; none is numbered by half."""
+    rows = read_jsonl(spark, path, schema)
+    if name in rows.columns:
+        n, known = rows.agg(F.count("*"), F.count(name)).first()
+        if known == n:
+            return rows
+        if known:
+            raise ValueError(f"{n - known} of {n} records have no {name}")
+        rows = rows.drop(name)
+    at = F.monotonically_increasing_id()
+    split = (F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    return shifted(written(rows.select("*", *split, at.alias("_at")), "ordered"), ["_file", "_start"], F.col("_at"), name, rows.columns)
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     """One object per line; folders are made. To rewrite what df reads, use rewrite_jsonl."""
-    df.write.mode("append" if append else "overwrite").json(path)
+    if append:
+        df.write.mode("append").json(current(df.sparkSession, path))
+    else:
+        df.write.mode("overwrite").json(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,28 +58,77 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def rewrite_jsonl(df: DataFrame, path: str) -> None:
-    """Replace a folder that df may read: the new one is written beside it, the old one set aside, the new one renamed, and only then is the old one deleted. If a run ends in between, one of path, path.new and path.old is whole, and the next call starts from it."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").json(path.rstrip("/") + ".new")
+# A rewritten folder holds its versions in folders _data-*, and for each a small file _version-* that names the folder. Spark's
+# readers pass over names with an underscore in front, so they see no half of anything.
+_VERSION, _DATA, _PENDING = "_version-", "_data-", "_pending-"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, at = _fs(spark, path)
-    beside, aside = (_fs(spark, path.rstrip("/") + end)[1] for end in (".new", ".old"))
-    fs.delete(aside, True)
-    if fs.exists(at) and not fs.rename(at, aside):
-        raise OSError(f"cannot set {path} aside")
-    if not fs.rename(beside, at):
-        fs.rename(aside, at)
-        raise OSError(f"cannot replace {path}")
-    fs.delete(aside, True)
+    if not fs.exists(at) or not fs.getFileStatus(at).isDirectory():
+        return []
+    return sorted(x.getPath().getName() for x in fs.listStatus(at))
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of the versions of a folder, the current one last."""
+    out = []
+    for name in _names(spark, path):
+        if name.startswith(_VERSION):
+            fs, at = _fs(spark, f"{path}/{name}")
+            stream = fs.open(at)
+            out.append((int(name.removeprefix(_VERSION)), stream.readUTF()))
+            stream.close()
+    return out
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where the records of a path are: its current version, or the path itself if it was never rewritten."""
+    path = path.rstrip("/")
+    found = _versions(spark, path)
+    return f"{path}/{found[-1][1]}" if found else path
+
+
+def _point(spark: SparkSession, path: str, number: int, folder: str) -> None:
+    """Make a folder the current version, by one rename of a written file; an error if another run has made one of that number."""
+    fs, draft = _fs(spark, f"{path}/{_PENDING}{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.writeUTF(folder)
+    out.close()
+    if not fs.rename(draft, _fs(spark, f"{path}/{_VERSION}{number:012d}")[1]):
+        raise OSError(f"another run has rewritten {path}")
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    """Delete what is older than the version before the current one, and what runs that ended midway have left. Readers of the version before may still be at work."""
+    found = _versions(spark, path)
+    keep = {_VERSION + f"{n:012d}" for n, _ in found[-2:]} | {folder for _, folder in found[-2:]}
+    for name in _names(spark, path):
+        if name not in keep and (name.startswith((_VERSION, _DATA, _PENDING)) or len(found) > 1):
+            fs, at = _fs(spark, f"{path}/{name}")
+            fs.delete(at, True)
+
+
+def rewrite_jsonl(df: DataFrame, path: str) -> None:
+    """Replace the records of a folder that df may read. They are written beside the old ones; one rename of a small file makes them the current version, which read_jsonl follows. So a run that ends at any point leaves the old records or the new, whole, and the next one clears up."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    folder = f"{_DATA}{uuid.uuid4().hex}"
+    found = _versions(spark, path)
+    df.write.json(f"{path}/{folder}")
+    _point(spark, path, found[-1][0] + 1 if found else 1, folder)
+    _clear(spark, path)
 
 
 def backup_once(spark: SparkSession, path: str, to: str) -> bool:
-    """Copy a file or folder unless the copy is there; says whether it copied."""
-    fs, at = _fs(spark, path)
-    target = _fs(spark, to)[1]
+    """Copy the records of a file or folder of JSON lines unless the copy is there; says whether it copied. Executors copy line by line; the copy gets its name last, so one that is there is whole."""
+    fs, target = _fs(spark, to)
     if fs.exists(target):
         return False
-    return bool(spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, fs, target, False, spark._jsc.hadoopConfiguration()))
+    draft = f"{to.rstrip('/')}.part"
+    spark.read.option("lineSep", "\n").text(current(spark, path)).write.mode("overwrite").option("lineSep", "\n").text(draft)
+    if not fs.rename(_fs(spark, draft)[1], target):
+        raise OSError(f"cannot name the copy {to}")
+    return True
 
 
 def docx_text(content: bytes) -> str:
@@ -133,9 +205,26 @@ def _shown(stream: bytes) -> str:
 READERS = {"pdf": pdf_text, "docx": docx_text}
 
 
+def _any_case(suffixes: tuple[str, ...]) -> str:
+    """A glob for names with one of the suffixes, in either case."""
+    return "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in x) for x in suffixes) + "}"
+
+
+def file_contents(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SUFFIXES, recursive: bool = True, stream: bool = False) -> DataFrame:
+    """(path, content) of the files below a path that have one of the suffixes; others are passed over when files are listed and never opened. stream: a stream that new files join, folders included. Spark's own reader is used, which reads every store that Spark reads and bounds the bytes of a task by spark.sql.files.maxPartitionBytes."""
+    reader = spark.readStream if stream else spark.read
+    reader = reader.format("binaryFile").option("pathGlobFilter", _any_case(suffixes)).option("recursiveFileLookup", str(recursive).lower())
+    if stream:
+        reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
+    return reader.load(path).select("path", "content")
+
+
 def extract_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """path, folder, name, suffix, text, error of every file below a path; a file that cannot be read has an error and no text."""
-    return extract_contents(spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path))
+    """path, folder, name, suffix, text, error of every file below a path; a file that cannot be read has an error and no text. Contents are read of the suffixes that have a reader; of the others the names only."""
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    suffix = F.lower(F.regexp_extract(F.substring_index("path", "/", -1), r"\.([^.]+)$", 1))
+    others = every.where(~suffix.isin(*SUFFIXES)).select("path", F.lit(None).cast("binary").alias("content"))
+    return extract_contents(file_contents(spark, path, SUFFIXES, recursive).unionByName(others))
 
 
 def extract_contents(files: DataFrame) -> DataFrame:
@@ -194,9 +283,14 @@ def combine_packages(documents: DataFrame, package_col: str, pos_col: str, name_
     return documents.groupBy(F.col(package_col).alias("package")).agg(combine_package(F.collect_list(F.struct(F.col(pos_col).alias("pos"), F.col(name_col).alias("name"), F.col(text_col).alias("text")))).alias("text"))
 
 
+def read_prompts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, prompt) of every prompt file below a path, without surrounding white space."""
+    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), strip(F.col("value")).alias("prompt"))
+
+
 def read_prompt(spark: SparkSession, path: str) -> str:
     """A prompt file without surrounding white space."""
-    return spark.read.text(path, wholetext=True).first()["value"].strip()
+    return read_prompts(spark, path).first()["prompt"]
 
 
 def write_evaluation(metrics: DataFrame, results: DataFrame, path: str) -> None:

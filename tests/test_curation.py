@@ -201,3 +201,10 @@ def test_histogram_diff_and_targets(spark):
     made = C.supplement(df, lambda need: need.select("flag", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("ordinal"), F.lit("p").alias("passage")), spark.createDataFrame([("a", 3)], "flag string, missing bigint")).collect()
     assert sorted(r["rfp_id"] for r in made) == ["SYNTH-a-000", "SYNTH-a-001", "SYNTH-a-002"]
     assert M.training_steps(493, 2, 8, 5, 0.1) == (150, 15)
+
+
+def test_ids_of_many_supplements_differ(spark):
+    needed = spark.createDataFrame([("a", 1200)], "flag string, missing int")
+    made = lambda n: n.select("flag", F.explode(F.sequence(F.lit(0), F.col("missing") + 3)).alias("ordinal")).withColumn("passage", F.lit("x"))
+    ids = [r["rfp_id"] for r in C.supplement(None, made, needed, "-v2").collect()]
+    assert len(ids) == len(set(ids)) == 1200 and {"SYNTH-a-v2-000", "SYNTH-a-v2-099", "SYNTH-a-v2-999", "SYNTH-a-v2-1000", "SYNTH-a-v2-1199"} <= set(ids)

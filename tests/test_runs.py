@@ -97,6 +97,28 @@ class JsonDetector:
         return '{"flags": ["8a_set_aside"]}'
 
 
+class TwoPassDetector:
+    """Proposes two flags for texts with `both`, one for `one`; the check takes one away."""
+
+    def detect(self, prompt):
+        text = prompt.rpartition("Text:\n")[2]
+        if prompt.startswith("Which of these flags hold"):
+            return '{"flags": ["agile_methodology", "oral_presentation"]}'
+        return '{"flags": ["8a_set_aside", "agile_methodology"]}' if "both" in text else '["agile_methodology"]' if "one" in text else "[]"
+
+
+class Asked:
+    """Says what context its prompt holds, and flags it."""
+
+    def detect(self, prompt):
+        return "agile_methodology" if "Example 1:\nsprints" in prompt else "no_flag"
+
+
+class Judge:
+    def detect(self, prompt):
+        return '[{"index": 0, "verdict": "DROP", "reason": "no"}, {"index": 1, "verdict": "FIX", "corrected_flags": ["oral_presentation"]}]'
+
+
 def test_commands(spark, tmp_path, monkeypatch):
     folder = tmp_path / "in" / "rfp1"
     folder.mkdir(parents=True)
@@ -108,6 +130,7 @@ def test_commands(spark, tmp_path, monkeypatch):
     assert cli.run(spark, ["screen", at, out, "--detector", "m:small", "--dry-run"]) == {"rows": 2, "rejected": 1}
     assert cli.run(spark, ["screen", at, out, "--detector", "m:small"])["flagged"] == 1
     assert cli.run(spark, ["label", at, out, "--detector", "m:json"])["rows"] == 1
+    assert spark.read.json(f"{out}/final").first()["validation"] == "keep"
     with pytest.raises(SystemExit):
         cli.run(spark, ["label", at, out, "--detector", "m:json"])
     assert cli.run(spark, ["label", at, out, "--detector", "m:json", "--resume"])["flagged"] == 1
@@ -119,3 +142,62 @@ def test_commands(spark, tmp_path, monkeypatch):
     assert cli.run(spark, ["evaluate", f"{out}/chats", f"{out}/metrics", "--compare", "--base-detector", "m:small", "--tuned-detector", "m:small"])["metrics"][0]["sign"] == ""
     with pytest.raises(SystemExit):
         cli.run(spark, ["evaluate", "a", "b", "--base", "--compare"])
+
+
+def test_labels_become_a_training_set(spark, tmp_path, monkeypatch):
+    for i in range(30):
+        folder = tmp_path / "in" / f"rfp{i:02d}"
+        folder.mkdir(parents=True)
+        (folder / "a.docx").write_bytes(docx_bytes(f"text {i} " + ("both" if i % 3 == 0 else "one" if i % 3 == 1 else "blank")))
+    at, out = str(tmp_path / "in"), str(tmp_path / "out")
+    monkeypatch.setattr(cli, "named", lambda path: {"m:two": TwoPassDetector, "m:judge": Judge}[path])
+    done = cli.run(spark, ["label", at, out, "--detector", "m:two", "--black", "8a_set_aside"])
+    assert done["rows"] == 30 and done["flagged"] == 20 and done["proposed"]["flagged"] == 20
+    final = {r["rfp_id"]: r for r in spark.read.json(f"{out}/final").collect()}
+    assert (final["rfp00"]["flags"], final["rfp00"]["validation"], final["rfp00"]["original_flags"]) == (["agile_methodology"], "fixed", ["8a_set_aside", "agile_methodology"])
+    assert final["rfp01"]["validation"] == "keep" and final["rfp02"]["validation"] == "skip"
+    assert "pos" not in spark.read.json(f"{out}/final").columns
+    for more in ([], ["--no-rag"]):  # records without positions get them
+        counts = cli.run(spark, ["build", f"{out}/final", f"{out}/set{len(more)}", "--split", "60/20/20", "--negative-ratio", "0.5", "--exact-split", *more])["counts"]
+        kept = 20 - (2 if not more else 0)
+        assert sum(n for (_, f), n in counts.items() if f == "agile_methodology") == kept and sum(n for (_, f), n in counts.items() if f == "no_flag") == min(10, kept // 2)
+        assert {s for s, _ in counts} == {"train", "eval", "test"}
+        assert sum(spark.read.json(f"{out}/set{len(more)}/{s}").count() for s in ("train", "eval", "test")) == sum(counts.values())
+    assert cli.run(spark, ["validate", f"{out}/final", f"{out}/judged", "--detector", "m:judge", "--batch-size", "3", "--dry-run"]) == {"rows": 30}
+    assert cli.run(spark, ["validate", f"{out}/final", f"{out}/judged", "--detector", "m:judge", "--batch-size", "3", "--limit", "6"])["rows"] == 6
+    judged = spark.read.json(f"{out}/judged/validated").groupBy("validation").count().collect()
+    assert {r["validation"]: r["count"] for r in judged} == {"dropped": 2, "fixed": 2, "keep": 2}
+
+
+def test_a_build_without_records_is_an_error(spark, tmp_path):
+    W.write_jsonl(spark.createDataFrame([("r", 0, "x", ["8a_set_aside"], "high", False, "dropped")], cli.RECORD.replace("pos bigint, ", "")), str(tmp_path / "rows"))
+    with pytest.raises(SystemExit):
+        cli.run(spark, ["build", str(tmp_path / "rows"), str(tmp_path / "set"), "--no-rag"])
+    (tmp_path / "none").mkdir()
+    with pytest.raises(SystemExit):
+        cli.run(spark, ["build", str(tmp_path / "none"), str(tmp_path / "set"), "--no-rag"])
+
+
+def test_labelling_ends_at_its_limits(spark, tmp_path):
+    packages = spark.createDataFrame([(f"p{i:02d}", f"text of p{i:02d} " + ("one" if i % 2 else "")) for i in range(40)], "rfp_id string, text string")
+    path, words = str(tmp_path / "answers"), {"agile_methodology": "sprints"}
+    got = sorted(r["rfp_id"] for r in B.propose_until(packages, TwoPassDetector, words, path, 3, wave=4).collect())
+    assert got == [f"p{i:02d}" for i in range(6)] and spark.read.parquet(path).count() == 8  # one wave beyond is not asked
+    more = B.propose_until(packages, TwoPassDetector, words, path, 100, wave=16).where("size(flags) > 0").count()
+    assert more == 20 and spark.read.parquet(path).count() == 40
+
+
+def test_limits_and_context_as_commands(spark, tmp_path, monkeypatch):
+    for i in range(4):
+        folder = tmp_path / "in" / f"rfp{i}"
+        folder.mkdir(parents=True)
+        (folder / "a.docx").write_bytes(docx_bytes(f"sprints and backlog {i}" if i % 2 else f"the moon {i}"))
+    at, out = str(tmp_path / "in"), str(tmp_path / "out")
+    monkeypatch.setattr(cli, "named", lambda path: {"m:json": JsonDetector, "m:asked": Asked}[path])
+    assert cli.run(spark, ["label", at, out, "--detector", "m:json", "--phase", "1", "--max-rfps", "2"])["rows"] == 2
+    assert cli.run(spark, ["label", at, f"{out}2", "--detector", "m:json", "--phase", "1", "--max-flagged", "3"])["rows"] == 3
+    assert cli.run(spark, ["label", at, out, "--detector", "m:json", "--phase", "2"])["rows"] == 2
+    (tmp_path / "seeds.jsonl").write_text('{"flag": "agile_methodology", "passage": "sprints"}\n{"flag": "oral_presentation", "passage": "the moon at night"}\n')
+    common = ["screen", at, "--detector", "m:asked", "--store", str(tmp_path / "store"), "--seeds", str(tmp_path / "seeds.jsonl")]
+    assert cli.run(spark, [*common[:2], f"{out}3", *common[2:], "--top-k", "1"])["flagged"] == 2
+    assert cli.run(spark, [*common[:2], f"{out}4", *common[2:], "--no-rag", "--max-tokens", "64", "--overlap", "8"])["flagged"] == 0

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +121,15 @@ def test_text_signals(spark):
 
 def test_approximate_tokens(spark):
     assert on(spark, ["a b c", ""], X.approximate_tokens) == pytest.approx([3.9, 0.0])
+
+
+@pytest.mark.parametrize("cut", [X.pack_paragraphs, lambda c: X.split_sections(c, 400)])
+def test_long_documents_take_time_in_proportion(spark, cut):
+    def seconds(n):
+        df = spark.createDataFrame([("\n\n".join(f"w{i} a b c d e f g" for i in range(n)),)], "t string")
+        began = time.monotonic()
+        assert df.select(F.size(cut(F.col("t")))).first()[0] >= n // 50
+        return time.monotonic() - began
+
+    seconds(1000)
+    assert seconds(80_000) < 3 * min(seconds(40_000), seconds(40_000)) + 1
