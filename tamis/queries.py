@@ -6,6 +6,7 @@ embeddings for stored passages, events for labelled chunks in order of arrival.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,8 @@ from tamis.plans import screening as S
 from tamis.schemas import RUNTIME_TIERS, Screening, Taxonomy, literals
 from tamis.shipping import ship
 from tamis.sources.files import combine_packages
-from tamis.streaming.quotas import event_quotas
+from tamis.streaming.quotas import event_quotas, file_stream, gate_quotas, write_gated
+from tamis.workspace import shared_dir
 
 #: Terms of the lexicon detector that occur in the tables.
 LEXICON = {
@@ -644,6 +646,19 @@ def q_stream_quota(spark, sf_dir):
     return event_quotas(spark, sf_dir)
 
 
+@query("""
+        WITH n AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+        b AS (SELECT user_id, event_type, coalesce(sum(n) OVER (PARTITION BY event_type ORDER BY user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
+        SELECT e.event_id AS seq, e.user_id AS rfp_id, e.event_type AS flag FROM events e JOIN b USING (user_id, event_type) WHERE before < CASE event_type WHEN 'click' THEN 500 WHEN 'view' THEN 30 WHEN 'error' THEN 1 ELSE 1000000000 END
+    """)
+def q_stream_gated(spark, sf_dir):
+    """q_quota_gated with a target for each flag, as a stream whose state is the quotas."""
+    base = f"{shared_dir(spark)}/gated-{uuid.uuid4().hex}"
+    events = file_stream(spark, sf_dir, "events.parquet").select(F.col("event_type").alias("flag"), F.col("user_id").alias("rfp_id"), F.col("event_id").alias("seq"))
+    write_gated(gate_quotas(events, {"click": 500, "view": 30, "error": 1}), f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema("flag string, rfp_id bigint, seq bigint").parquet(f"{base}/rows").select("seq", "rfp_id", "flag")
+
+
 # --- curation ----------------------------------------------------------------------------------------------------------
 
 
