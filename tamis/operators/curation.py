@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,10 +12,13 @@ from pyspark.sql import functions as F
 
 from tamis.functions.parsing import in_vocabulary
 from tamis.functions.text import has_dollar_amount, has_large_team, has_onsite_term
+from tamis.operators.ordinals import with_ordinals
 from tamis.operators.sampling import shuffled_by, take_first
 from tamis.workspace import written
 
 SPLITS = ("train", "eval", "test")
+#: Equal neighbours that the exact split takes as one run.
+RUN = 1 << 14
 
 
 def drop_rejected(records: DataFrame) -> DataFrame:
@@ -110,22 +115,53 @@ def split_targets(total: int, split: str) -> dict[str, int]:
 
 
 class GreedySplitter:
-    """Assigns records one by one to the split where their flags are most under-represented; its state is a counter per split and flag."""
+    """Assigns records one by one, or runs of equal ones at once, to the split where their flags are most under-represented; its state is a counter per split and flag."""
+
+    #: Runs up to this length are placed one by one.
+    STEPS = 64
 
     def __init__(self, targets: dict[str, int], totals: dict[str, int]):
         self.targets, self.totals, self.n = targets, totals, sum(targets.values())
         self.size = dict.fromkeys(targets, 0)
         self.count = {s: dict.fromkeys(totals, 0) for s in targets}
 
+    def fill(self, s: str, times: dict[str, int], more: int = 0) -> float:
+        """How full a split is of the flags (each with its occurrences in a record), after `more` such records."""
+        return max((self.count[s][f] + more * k) / max(self.totals[f] * self.targets[s] / self.n, 1) for f, k in times.items())
+
+    def add(self, s: str, times: dict[str, int], records: int = 1) -> None:
+        self.size[s] += records
+        for f, k in times.items():
+            self.count[s][f] += k * records
+
     def place(self, flags: list[str]) -> str:
-        fill = lambda s: max(self.count[s][f] / max(self.totals[f] * self.targets[s] / self.n, 1) for f in flags)
+        times = Counter(flags)
         room = [s for s in SPLITS if self.size[s] < self.targets[s]] if flags else []
-        best = min(room, key=fill) if room else max(SPLITS, key=lambda s: self.targets[s] - self.size[s])
-        self.size[best] += 1
-        for f in flags:
-            self.count[best][f] += 1
+        best = min(room, key=lambda s: self.fill(s, times)) if room else max(SPLITS, key=lambda s: self.targets[s] - self.size[s])
+        self.add(best, times)
         return best
 
+    def place_run(self, flags: list[str], length: int) -> None:
+        """place() of `length` records with these flags. What a split offers its next records rises with each, so the run takes the `length` least offers of all, and how many of them are a split's is found by bisection."""
+        if length <= self.STEPS:
+            for _ in range(length):
+                self.place(flags)
+            return
+        times = Counter(flags)
+        room = {s: max(0, self.targets[s] - self.size[s]) for s in SPLITS}
+        offer = (lambda s, j: self.fill(s, times, j)) if flags else (lambda s, j: j - room[s])
+        taken = {}
+        for at, s in enumerate(SPLITS):
+
+            def before(j: int, at: int = at, s: str = s) -> int:
+                """Offers that come before the j-th of s."""
+                v = offer(s, j)
+                return j + sum(bisect_left(range(room[t]), True, key=lambda i, t=t, k=k: offer(t, i) > v or (offer(t, i) == v and k > at)) for k, t in enumerate(SPLITS) if t != s)
+
+            taken[s] = bisect_left(range(room[s]), length, key=before)
+        for s, n in taken.items():
+            self.add(s, times, n)
+
 
 def _flag_totals(records: DataFrame) -> dict[str, int]:
     """Counts by flag; as many rows as the vocabulary has."""
@@ -139,17 +175,51 @@ def _rarest(totals: dict[str, int]) -> Column:
 
 
 def split_exact(records: DataFrame, split: str = "80/10/10") -> DataFrame:
-    """(pos, split) by the sequential rule: records with the rarest flags first, each to the split that lacks its flags most. Every choice depends on all before it, so one task walks positions and flags in order, with a few counters as its only state."""
-    totals, n = _flag_totals(records), records.count()
+    """(pos, split) by the sequential rule: records with the rarest flags first, each to the split that lacks its flags most.
+
+    Every choice depends on all before it, so one task walks the records in order, but by runs: neighbours with the same flags,
+    RUN at most, are one step, which says where each run starts from; the records of a run are then placed wherever the run is.
+    Records without flags come last and are all alike, so that the walk is as long as the runs of the others."""
+    records = written(records.select("pos", "flags"), "to-split")
+    totals = _flag_totals(records)
+    ordered = with_ordinals(records.select("pos", "flags", _rarest(totals).alias("rarest")).orderBy(F.asc_nulls_last("rarest"), "pos").select("pos", "flags"), "at")
+    n = ordered.count()
     targets = split_targets(n, split)
-    rows = records.select("pos", "flags", _rarest(totals).alias("rarest")).orderBy(F.asc_nulls_last("rarest"), "pos").coalesce(1)
+    near = Window.partitionBy(F.floor(F.col("at") / RUN)).orderBy("at")
+    first = F.lag("at").over(near).isNull() | ~F.col("flags").eqNullSafe(F.lag("flags").over(near))
+    rows = written(ordered.withColumn("first", first).withColumn("run", F.last(F.when(F.col("first"), F.col("at")), ignorenulls=True).over(near)), "split-runs")
+    starts = rows.where("first").select("run", "flags").orderBy("run").coalesce(1)
 
     def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = GreedySplitter(targets, totals)
+        splitter, open_ = GreedySplitter(targets, totals), None
         for pdf in parts:
-            yield pd.DataFrame({"pos": pdf["pos"], "split": [splitter.place(list(f)) for f in pdf["flags"]]})
-
-    return rows.mapInPandas(walk, "pos bigint, split string")
+            runs, states = [], []
+            for run, flags in zip(pdf["run"], pdf["flags"], strict=True):
+                if open_:
+                    splitter.place_run(open_[1], run - open_[0])
+                open_ = (run, list(flags) if flags is not None else [])
+                runs.append(run)
+                states.append([*(splitter.size[s] for s in SPLITS), *(splitter.count[s][f] for s in SPLITS for f in sorted(set(open_[1])))])
+            yield pd.DataFrame({"run": runs, "state": states})
+
+    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        splitter, at = GreedySplitter(targets, totals), None
+        for pdf in parts:
+            out = []
+            for run, flags, state in zip(pdf["run"], pdf["flags"], pdf["state"], strict=True):
+                flags = list(flags) if flags is not None else []
+                if run != at:
+                    at, own = run, sorted(set(flags))
+                    splitter.size = dict(zip(SPLITS, map(int, state[:3]), strict=True))
+                    cells = iter(map(int, state[3:]))
+                    for s in SPLITS:
+                        splitter.count[s].update({f: next(cells) for f in own})
+                out.append(splitter.place(flags))
+            yield pd.DataFrame({"pos": pdf["pos"], "split": out})
+
+    states = written(starts.mapInPandas(walk, "run bigint, state array<bigint>"), "split-states")
+    met = rows.select("pos", "flags", "at", "run").join(states, "run").repartition("run").sortWithinPartitions("run", "at")
+    return met.select("pos", "flags", "run", "state").mapInPandas(place, "pos bigint, split string")
 
 
 def split_by_stratum(records: DataFrame, split: str = "80/10/10", seed: int = 42) -> DataFrame:

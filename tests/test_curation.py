@@ -208,3 +208,40 @@ def test_ids_of_many_supplements_differ(spark):
     made = lambda n: n.select("flag", F.explode(F.sequence(F.lit(0), F.col("missing") + 3)).alias("ordinal")).withColumn("passage", F.lit("x"))
     ids = [r["rfp_id"] for r in C.supplement(None, made, needed, "-v2").collect()]
     assert len(ids) == len(set(ids)) == 1200 and {"SYNTH-a-v2-000", "SYNTH-a-v2-099", "SYNTH-a-v2-999", "SYNTH-a-v2-1000", "SYNTH-a-v2-1199"} <= set(ids)
+
+
+def test_runs_are_placed_like_single_records():
+    rng = random.Random(3)
+    for _ in range(60):
+        kinds = [[], ["a"], ["a", "b"], ["b", "c", "c"], ["d"]]
+        runs = [(rng.choice(kinds), rng.choice([1, 2, 65, 200, 700])) for _ in range(8)]
+        rest = sum(n for _, n in runs)
+        runs.append(([], rng.randrange(1, 300)))
+        n = rest + runs[-1][1]
+        totals = {f: sum(k.count(f) * m for k, m in runs) for f in "abcd"}
+        totals = {f: m for f, m in totals.items() if m}
+        targets = C.split_targets(n, rng.choice(["80/10/10", "34/33/33", "100/0/0", "0/50/50"]))
+        slow, fast = C.GreedySplitter(targets, totals), C.GreedySplitter(targets, totals)
+        for flags, length in runs:
+            for _ in range(length):
+                slow.place(flags)
+            fast.place_run(flags, length)
+            assert (fast.size, fast.count) == (slow.size, slow.count)
+
+
+def test_exact_split_of_long_runs(spark, monkeypatch):
+    monkeypatch.setattr(C, "RUN", 100)
+    flags = [[], ["a"], ["b"], ["a", "b"]]
+    rows = [(i, f"t{i}", flags[(i // 130) % 4 if i < 1000 else 0]) for i in range(1500)]
+    df = spark.createDataFrame([(i, f) for i, _, f in rows], "pos bigint, flags array<string>")
+    assert {r["pos"]: r["split"] for r in C.split_exact(df, "70/20/10").collect()} == model_split(rows, "70/20/10")
+    assert C.split_exact(df.limit(0)).count() == 0
+
+
+def test_a_run_costs_few_steps(monkeypatch):
+    calls = []
+    fill = C.GreedySplitter.fill
+    monkeypatch.setattr(C.GreedySplitter, "fill", lambda self, *a: calls.append(1) or fill(self, *a))
+    splitter = C.GreedySplitter(C.split_targets(10_000_000, "80/10/10"), {"a": 10_000_000})
+    splitter.place_run(["a"], 9_000_000)
+    assert sum(splitter.size.values()) == 9_000_000 and len(calls) < 20_000
