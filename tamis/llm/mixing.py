@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.llm.common import BROADCAST_BYTES, bytes_of, cols, drop, join_small, stash, unused
+from tamis.operators.ordinals import with_ordinals
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -37,8 +38,9 @@ def source_targets(sized: DataFrame, source_col: str = "source", weights: tuple[
     """One row per source: _key, source_size, target. Sources by code point, null last, weigh `weights`, repeating; targets share all words by weight, stop at `most` times the source's size, and the excess is shared again by weight until none is above."""
     source = F.col(source_col)
     totals = sized.groupBy(source.alias("source"), _key(source_col).alias("_key")).agg(F.sum("size").alias("source_size"))
-    ordered = totals.orderBy(F.col("source").isNull(), "source")
-    ranked = stash(ordered.rdd.zipWithIndex().map(lambda r: (r[0]["_key"], r[0]["source_size"], weights[r[1] % len(weights)])).toDF("_key string, source_size bigint, weight int"), "sources")
+    ordered = with_ordinals(totals.orderBy(F.col("source").isNull(), "source").select("_key", "source_size"), "place")
+    weight = F.get(F.array(*map(F.lit, weights)), (F.col("place") % len(weights)).cast("int"))
+    ranked = stash(ordered.select("_key", "source_size", weight.alias("weight")), "sources")
     cap = F.lit(most) * F.col("source_size")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level, before = 0.0, None
@@ -99,10 +101,6 @@ def _round_groups(by: list[str], p: str, size: str, u: str):
     return rounded
 
 
-def _chance(*by: Column):
-    return (F.pmod(F.xxhash64(F.lit(17), *by), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-
-
 def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
     """The keys that several rows have, as a written table; None if there are none."""
     (n,) = unused(key, "_n")
@@ -131,7 +129,8 @@ def number_repeats(rows: DataFrame, key: list[str], name: str, often: DataFrame
     return numbered.unionByName(others.withColumn(name, F.lit(0).cast("bigint")).drop(part))
 
 
-def _chance(*cols: str):
+def _chance(*cols: Column):
+    """A number in (0, 1) by hash."""
     return (F.pmod(F.xxhash64(F.lit(17), *cols), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 

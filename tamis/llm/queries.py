@@ -50,8 +50,21 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"), *tokenizer())
 
 
+#: What of a page is not shown, and the tags that end a line.
+_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<!--.*?-->"
+_LINE_ENDS = r"(?i)</?(p|br|li|ul|ol|div|nav|article|section|header|footer|table|tr|h[1-6])\b[^>]*>"
+_TAGS = r"<[^>]*>"
+
+
+def visible_lines(html: Column) -> Column:
+    """The text of a page, a line for each block that is not blank."""
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, _HIDDEN, ""), _LINE_ENDS, "\n"), _TAGS, "")
+    return F.regexp_replace(F.regexp_replace(text, r"[ \t\r]*\n\s*", "\n"), r"^\n|\n$", "")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_boilerplate(table(spark, sf_dir, "documents"), host_col="source").select("doc_id", "source", "text", "n_lines", "n_dropped")
+    pages = table(spark, sf_dir, "pages").select("page_id", host_of(F.col("url")).alias("host"), visible_lines(F.col("html")).alias("text"))
+    return drop_boilerplate(pages, host_col="host")
 
 
 def held_out() -> Column:
@@ -194,24 +207,30 @@ ORACLES: dict[str, str] = {
         )
         SELECT c.a AS vec_id, CAST((SELECT count(*) FROM link WHERE link.a = c.a) AS BIGINT) AS n_links, component_id, c.a = component_id AS kept FROM c
     """,
-    "op4_line_dedup": """
-        WITH lines AS (
-            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents
+    "op4_line_dedup": r"""
+        WITH shown AS (
+            SELECT page_id, nullif(rtrim(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.'), '') AS host,
+                   regexp_replace(regexp_replace(regexp_replace(html, '<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<!--.*?-->', '', 'gis'), '</?(p|br|li|ul|ol|div|nav|article|section|header|footer|table|tr|h[1-6])\b[^>]*>', chr(10), 'gi'), '<[^>]*>', '', 'g') AS t
+            FROM pages
+        ), pages_ AS (
+            SELECT page_id, host, regexp_replace(regexp_replace(t, '[ \t\r]*\n\s*', chr(10), 'g'), '^\n|\n$', '', 'g') AS text FROM shown
+        ), lines AS (
+            SELECT page_id, host, unnest(string_split(text, chr(10))) AS line FROM pages_
         ), often AS (
-            SELECT source, line, count(DISTINCT doc_id) AS n FROM lines WHERE line <> '' GROUP BY ALL
+            SELECT host, line, count(DISTINCT page_id) AS n FROM lines WHERE line <> '' GROUP BY ALL
         ), total AS (
-            SELECT source, count(*) AS pages FROM documents GROUP BY source
+            SELECT host, count(*) AS pages FROM pages_ GROUP BY host
         ), gone AS (
-            SELECT o.source, list(o.line) AS drop_lines
-            FROM often o JOIN total t ON o.source IS NOT DISTINCT FROM t.source
+            SELECT o.host, list(o.line) AS drop_lines
+            FROM often o JOIN total t ON o.host IS NOT DISTINCT FROM t.host
             WHERE o.n >= 3 AND o.n > 0.08::DOUBLE * t.pages
-            GROUP BY o.source
+            GROUP BY o.host
         ), met AS (
-            SELECT d.doc_id, d.source, d.text, string_split(d.text, chr(10)) AS l,
+            SELECT d.page_id, d.host, d.text, string_split(d.text, chr(10)) AS l,
                    list_filter(string_split(d.text, chr(10)), lambda x: NOT coalesce(list_contains(g.drop_lines, x), false)) AS k
-            FROM documents d LEFT JOIN gone g ON d.source IS NOT DISTINCT FROM g.source
+            FROM pages_ d LEFT JOIN gone g ON d.host IS NOT DISTINCT FROM g.host
         )
-        SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, chr(10)), '') END AS text,
+        SELECT page_id, host, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, chr(10)), '') END AS text,
                CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(l) - len(k), 0) AS BIGINT) AS n_dropped
         FROM met
     """,

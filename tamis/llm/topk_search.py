@@ -8,7 +8,8 @@ the score that falls as postings are read. A candidate whose bound is below the
 The walk ends only when few are left, and exactly these are rescored in integers. Bounds are kept above rounding errors, so
 scores of any size that fits a long take the same way.
 
-Each task meets one block of candidates with one block of queries; both come by an equi-join on the task's number.
+Each task holds one block of candidates, builds its index once, and streams a group of queries past it; both come by an equi-join
+on the task's number. There are as many groups as keep the cluster busy: one, where there are blocks enough.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ FALL, LAST = 0.5, 0.002
 FIRST = 0.25
 #: A walk ends when at most this share of a block's candidates, or four times k, may still be among the k best.
 FEW = 0.1
+#: Tasks for each that can run at a time.
+TILES = 4
 _BLOCK = "block int, n int, d int, ids binary, cells binary"
 
 
@@ -123,7 +126,7 @@ class ImpactIndex:
 
 
 def _meet(k: int):
-    """Rows sorted by (part, role): the block of candidates (role 0), then its block of queries."""
+    """Rows sorted by (part, role): the block of candidates (role 0), of which an index is made once, then blocks of queries."""
 
     def meet(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         indexes: dict[int, list[ImpactIndex]] = {}
@@ -158,17 +161,17 @@ def topk_search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str
     spark = vectors.sparkSession
     cand, ask = quantise(vectors, id_col, vec_col, scale), quantise(queries, id_col, vec_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(cand.count() / block_rows))
-    q_blocks = max(1, math.ceil(ask.count() / query_rows))
+    groups = max(1, min(math.ceil(ask.count() / query_rows), math.ceil(TILES * spark.sparkContext.defaultParallelism / blocks)))
     deal = lambda df, n: df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")).repartition(n, "block")
     index = stash(deal(cand, blocks).mapInPandas(_pack(2 * block_rows), _BLOCK), "impact-blocks")
-    asked = stash(deal(ask, q_blocks).mapInPandas(_pack(query_rows), _BLOCK), "impact-queries")
-    # task `part` has block part // q_blocks of the candidates and block part % q_blocks of the queries
+    asked = stash(deal(ask, groups).mapInPandas(_pack(query_rows), _BLOCK), "impact-queries")
+    # task `part` has block part // groups of the candidates and group part % groups of the queries
     rows = ("n", "d", "ids", "cells")
-    first = index.select(F.explode(F.sequence(F.col("block") * q_blocks, F.col("block") * q_blocks + (q_blocks - 1))).alias("part"), F.lit(0).alias("role"), *rows)
-    then = asked.select(F.explode(F.sequence(F.col("block"), F.lit((blocks - 1) * q_blocks) + F.col("block"), F.lit(q_blocks))).alias("part"), F.lit(1).alias("role"), *rows)
-    keys = stash(task_keys(spark, blocks * q_blocks), "task-keys")
+    first = index.select(F.explode(F.sequence(F.col("block") * groups, F.col("block") * groups + (groups - 1))).alias("part"), F.lit(0).alias("role"), *rows)
+    then = asked.select(F.explode(F.sequence(F.col("block"), F.lit((blocks - 1) * groups) + F.col("block"), F.lit(groups))).alias("part"), F.lit(1).alias("role"), *rows)
+    keys = stash(task_keys(spark, blocks * groups), "task-keys")
     met = join_small(first.unionByName(then), keys, ["part"], F.col("part")).withColumn("key", F.coalesce("key", F.col("part")))
-    met = met.repartition(blocks * q_blocks, "key").sortWithinPartitions("part", "role").select("part", "role", *rows)
+    met = met.repartition(blocks * groups, "key").sortWithinPartitions("part", "role").select("part", "role", *rows)
     found = met.mapInPandas(_meet(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

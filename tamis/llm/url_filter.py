@@ -1,10 +1,12 @@
 """URL filter by a temporal list join: dated list entries become validity intervals, and an as-of join evaluates every capture
 against the entries active at its fetch time.
 
-Only built-in functions are used. An entry is keyed by host (it also covers subdomains) and may narrow to a path prefix. A
-capture asks for its host and each parent domain; the interval of a key that holds its time is found by an equi-join on key
-and period (intervals are listed in every period they touch) and a range test, so a hot host meets only the entries of one
-period. The list is broadcast if its counted size allows, else the join's keys are salted.
+Only built-in functions are used. An entry is keyed by host (it also covers subdomains) and may narrow to a path prefix. The
+intervals of one host and prefix are in order, up to SPANS of them in a row, which knows when they begin and end: as many rows
+as rules, whatever the times of entries and captures. A capture asks for its host and each parent domain, and there for the
+beginnings of its path that are as long as a prefix of that domain; an equi-join on domain and prefix finds the rule, and the
+row that holds the capture's time says whether it was active. So a hot host meets its own rules only, and of those one row
+each. The list is broadcast if its counted size allows, else the joins' keys are salted.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import join_small, stash
 
-PERIOD_DAYS = 90
+#: Intervals that a row of a rule holds.
+SPANS = 64
 #: The end of intervals that nothing closes.
 OPEN_END = "9999-12-31 00:00:00"
 #: The host of a URL, after scheme and user and before the port; an IPv6 address keeps its brackets.
@@ -49,8 +52,12 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return ends.where("action = 'add'").select(F.concat("domain", "prefix").alias("rule"), "domain", "prefix", "valid_from", "valid_to")
 
 
-def _period(at: Column) -> Column:
-    return F.floor(F.unix_seconds(at) / F.lit(86400 * PERIOD_DAYS))
+def rules_of(entries: DataFrame) -> DataFrame:
+    """(domain, prefix, rule, first, last, spans array<struct<a, b>>): the intervals of each rule by time, SPANS to a row; first and last bound those of the row."""
+    by = Window.partitionBy("domain", "prefix").orderBy("valid_from")
+    numbered = validity_intervals(entries).withColumn("part", F.floor((F.row_number().over(by) - 1) / SPANS))
+    spans = F.array_sort(F.collect_list(F.struct(F.col("valid_from").alias("a"), F.col("valid_to").alias("b"))))
+    return numbered.groupBy("domain", "prefix", "rule", "part").agg(F.min("valid_from").alias("first"), F.max("valid_to").alias("last"), spans.alias("spans")).drop("part")
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
@@ -58,20 +65,21 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
 
     A rule applies if its domain is the capture's host or a parent domain of it, its prefix starts the path, and valid_from <=
     fetched_at < valid_to. first_rule is the smallest of them by code point. Captures without URL, host or time are not
-    blocked. One row per input row, repeated ids included; other columns are ignored; an empty list blocks nothing.
+    blocked. One row per input row, repeated ids included; other columns are ignored; an empty list blocks nothing. Times may
+    lie however far apart.
     """
     at = F.col(time_col).cast("timestamp")
     rows = captures.select(F.col(f"`{id_col}`").alias("_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("_path"), at.alias("fetched_at"))
-    valid = validity_intervals(entries)
-    # an interval is listed in the periods that have captures, however long before or after it runs
-    first, last = captures.agg(_period(F.min(at)), _period(F.max(at))).first()
-    start, end = F.greatest(_period(F.col("valid_from")), F.lit(first or 0)), F.least(_period(F.col("valid_to")), F.lit(last or 0))
-    spans = valid.withColumn("_period", F.explode(F.when(start <= end, F.sequence(start, end))))
-    spans = stash(spans.withColumnRenamed("domain", "_domain"), "intervals")
-    asked = stash(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_period", _period(F.col("fetched_at"))), "captures")
-    keys = asked.where("host IS NOT NULL AND fetched_at IS NOT NULL").select("_row", "_path", "fetched_at", "_period", F.explode(domains_of(F.col("host"))).alias("_domain"))
-    met = join_small(keys, spans, ["_domain", "_period"], F.col("_row"), how="inner")
-    hit = met.where((F.col("valid_from") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("valid_to")) & F.startswith(F.col("_path"), F.col("prefix")))
+    rules = stash(rules_of(entries).withColumnRenamed("domain", "_domain"), "rules")
+    lengths = stash(rules.groupBy("_domain").agg(F.collect_set(F.length("prefix")).alias("lengths")), "prefix-lengths")
+    asked = stash(rows.withColumn("_row", F.monotonically_increasing_id()), "captures")
+    keys = asked.where("host IS NOT NULL AND fetched_at IS NOT NULL").select("_row", "_path", "fetched_at", F.explode(domains_of(F.col("host"))).alias("_domain"))
+    known = join_small(keys, lengths, ["_domain"], F.col("_row"), how="inner")
+    begun = F.explode(F.filter("lengths", lambda n: n <= F.length("_path"))).alias("_n")
+    wanted = known.select("_row", "_path", "fetched_at", "_domain", begun).withColumn("prefix", F.substring(F.col("_path"), F.lit(1), F.col("_n")))
+    met = join_small(wanted.drop("_path", "_n"), rules, ["_domain", "prefix"], F.col("_row"), how="inner")
+    t = F.col("fetched_at")
+    hit = met.where((F.col("first") <= t) & (t < F.col("last")) & F.exists("spans", lambda s: (s["a"] <= t) & (t < s["b"])))
     found = hit.groupBy("_row").agg(F.count("*").alias("n_rules"), F.min("rule").alias("first_rule"))
     out = asked.join(found, "_row", "left")
     return out.select(F.col("_id").alias(id_col), "host", "fetched_at", F.col("n_rules").isNotNull().alias("blocked"), F.coalesce("n_rules", F.lit(0)).cast("bigint").alias("n_rules"), "first_rule")
