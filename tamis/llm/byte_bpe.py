@@ -58,6 +58,8 @@ class ChunkedBpe:
             before = self.boundaries(text[known : b + self.overlap])[:-2] + known
             after = self.boundaries(text[b : b + 2 * self.overlap]) + b
             at = self.stitch(before[before > max(b, out[-1])], after, text)
+            if at is None:  # within a long run: what was read from a known boundary shows true ones as well
+                at = next((x for x in before[::-1].tolist() if x >= out[-1] + self.chunk and not text[x - 1].isspace()), None)
             if at is not None:
                 out.append(at)
             was, known = known, max([known, *before[-1:].tolist(), *([at] if at else [])])

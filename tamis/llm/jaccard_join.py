@@ -1,7 +1,7 @@
 """N-gram Jaccard join by token-combination prefixes.
 
 A text's tokens are its distinct 5-word shingles, as 64-bit hashes. All texts order their tokens by an estimated frequency
-(from a count sketch over all documents), then hash. Of two sets with Jaccard >= t, the first n - ceil(t n) + 1 tokens of both
+(from a count sketch over all documents and a summary of the heaviest tokens), then hash. Of two sets with Jaccard >= t, the first n - ceil(t n) + 1 tokens of both
 (their prefixes) share the first token that the sets share. If that is a rare one, the sets meet in the list of this token.
 If not, all tokens that they share are frequent, and e more tokens of both hold e more shared ones. Frequent tokens are dealt by
 hash over groups: class 2 over m2 groups, class 3, the most frequent, over m3; with e = m2 + 2 * m3, some group of class 2 has
@@ -31,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import components, drop, join_small, stash
+from tamis.llm import common as C
+from tamis.llm.common import bytes_of, components, drop, join_small, stash
 from tamis.llm.words import mix, shingle_sets
 
 WIDTH = 5
@@ -40,8 +41,12 @@ PERCENT = 80
 #: The frequency sketch has a counter for so many characters, within these powers of two, and is sent in rows of _ROW counters, merged FAN tasks at a time.
 SKETCH_CHARS, SKETCH_BITS = 128, (16, 22)
 _ROW, FAN = 1 << 14, 16
-#: Counters are read as STEPS * log2(1 + count), in a byte.
-STEPS = 8
+#: Counters are read in a byte: up to their mean, which other tokens bring, in MEAN steps; above it as STEPS * log2(1 + excess).
+STEPS, MEAN = 6, 63
+#: Tokens that the summary of the heaviest holds: all that make up more than one in so many.
+HEAVY = 4096
+#: Bits of the filter for an id that is asked for, and of the whole filter at most.
+FILTER_BITS, MOST_FILTER_BITS = 10, 28
 #: Tokens of class 3 are so many times as frequent as the rarest of class 2.
 CLASS_3 = 64
 #: Documents that a cell of a list may be expected to hold.
@@ -77,11 +82,52 @@ def node_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+class Heaviest:
+    """The heaviest of a run of tokens, by Misra and Gries: counts that are too low by one in HEAVY of all tokens at most. Summaries add up."""
+
+    def __init__(self, keys: np.ndarray | None = None, counts: np.ndarray | None = None):
+        self.keys, self.counts = (np.zeros(0, np.uint64), np.zeros(0, np.int64)) if keys is None else (keys, counts)
+        self.waiting, self.held = [], 0
+
+    def add(self, tokens: np.ndarray) -> None:
+        self.waiting.append(tokens)
+        self.held += len(tokens)
+        if self.held > 16 * HEAVY:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.waiting:
+            keys, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.waiting, self.held = [], 0
+            self.merge(Heaviest(keys, counts))
+
+    def merge(self, other: Heaviest) -> None:
+        keys, at = np.unique(np.concatenate([self.keys, other.keys]), return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, at, np.concatenate([self.counts, other.counts]))
+        if len(keys) > HEAVY:
+            counts -= np.partition(counts, len(keys) - HEAVY - 1)[len(keys) - HEAVY - 1]
+        self.keys, self.counts = keys[counts > 0], counts[counts > 0]
+
+    def packed(self) -> bytes:
+        self.settle()
+        return self.keys.tobytes() + self.counts.astype(np.uint64).tobytes()
+
+    @staticmethod
+    def unpacked(b: bytes) -> Heaviest:
+        both = np.frombuffer(b, np.uint64)
+        return Heaviest(both[: len(both) // 2], both[len(both) // 2 :].astype(np.int64))
+
+
+#: The number of the row that holds a summary of the heaviest among those of a sketch.
+_HEAVIEST = -1
+
+
 def _survey(width: int, bits: int):
-    """(doc_id, n, node) of every document, and the rows of a sketch of its task's token counts."""
+    """(doc_id, n, node) of every document, and the rows of a sketch of its task's token counts, the last one its heaviest."""
 
     def survey(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(1 << bits, np.int32)
+        sketch, heaviest = np.zeros(1 << bits, np.int32), Heaviest()
         for whole in parts:
             for at in range(0, len(whole), SLICE):
                 pdf, n, node = whole.iloc[at : at + SLICE], [], []
@@ -89,77 +135,108 @@ def _survey(width: int, bits: int):
                     n.append(len(tokens))
                     node.append(node_of(tokens) if len(tokens) else None)
                     np.add.at(sketch, (tokens >> np.uint64(64 - bits)).astype(np.int64), 1)
+                    heaviest.add(tokens)
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n": np.array(n, np.int64), "node": pd.array(node, dtype="Int64"), "task": None, "at": None, "counts": None})
         if sketch.any():
-            rows = [small(sketch[k : k + _ROW]) for k in range(0, len(sketch), _ROW)]
-            yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "task": TaskContext.get().partitionId(), "at": range(len(rows)), "counts": rows})
+            rows = [*(small(sketch[k : k + _ROW]) for k in range(0, len(sketch), _ROW)), heaviest.packed()]
+            yield pd.DataFrame({"doc_id": None, "n": None, "node": pd.array([None] * len(rows), dtype="Int64"), "task": TaskContext.get().partitionId(), "at": [*range(len(rows) - 1), _HEAVIEST], "counts": rows})
 
     return survey
 
 
 def small(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as they take."""
+    """Counts in as few bytes each as they take, which the first byte says."""
     most = int(counts.max())
-    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+    size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
 
 
 def _sum_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The sums of sketch rows with the same (task, at), where `task` numbers what is merged so far."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
+    sums: dict[tuple[int, int], np.ndarray | Heaviest] = {}
     for pdf in parts:
         for task, at, b in zip(pdf["task"], pdf["at"], pdf["counts"], strict=True):
-            sums[task, at] = sums.get((task, at), 0) + _counts(b)
+            if at == _HEAVIEST:
+                sums.setdefault((task, at), Heaviest()).merge(Heaviest.unpacked(b))
+            else:
+                sums[task, at] = sums.get((task, at), 0) + _counts(b)
     if sums:
-        yield pd.DataFrame({"task": [t for t, _ in sums], "at": [a for _, a in sums], "counts": [small(np.minimum(s, 2**32 - 1)) for s in sums.values()]}).astype({"task": "int32", "at": "int32"})
+        packed = [s.packed() if a == _HEAVIEST else small(np.minimum(s, 2**32 - 1)) for (_, a), s in sums.items()]
+        yield pd.DataFrame({"task": [t for t, _ in sums], "at": [a for _, a in sums], "counts": packed}).astype({"task": "int32", "at": "int32"})
 
 
-def _levels(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The last sums, as levels."""
-    sums: dict[int, np.ndarray] = {}
-    for pdf in parts:
-        for at, b in zip(pdf["at"], pdf["counts"], strict=True):
-            sums[at] = sums.get(at, 0) + _counts(b)
-    if sums:
-        yield pd.DataFrame({"at": list(sums), "levels": [level_of(s).astype(np.uint8).tobytes() for s in sums.values()], "total": [int(s.sum()) for s in sums.values()]}).astype({"at": "int32"})
+def _levels(mean: float, heaviest: Heaviest, bits: int):
+    """The last sums, as levels, without what the heaviest tokens bring to them."""
+
+    def levels(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for pdf in parts:
+            for at, b in zip(pdf["at"], pdf["counts"], strict=True):
+                sums[at] = sums.get(at, 0) + _counts(b)
+        slot = (heaviest.keys >> np.uint64(64 - bits)).astype(np.int64)
+        for at, counts in sums.items():
+            own = slot // _ROW == at
+            np.subtract.at(counts, slot[own] % _ROW, heaviest.counts[own])
+            yield pd.DataFrame({"at": [at], "levels": [level_of(counts, mean).astype(np.uint8).tobytes()]}).astype({"at": "int32"})
+
+    return levels
 
 
 def _counts(row: bytes) -> np.ndarray:
-    return np.frombuffer(row, {_ROW: np.uint8, 2 * _ROW: np.uint16, 4 * _ROW: np.uint32}[len(row)]).astype(np.int64)
+    return np.frombuffer(row, f"<u{row[0]}", offset=1).astype(np.int64)
 
 
-def level_of(count: np.ndarray | float):
-    return np.floor(STEPS * np.log2(1.0 + count))
+def level_of(count: np.ndarray | float, mean: float = 0.0):
+    """The level of a counter of which `mean` is what other tokens bring."""
+    count = np.maximum(count, 0)
+    low = np.floor(MEAN * count / max(mean, 1.0))
+    return np.minimum(np.where(count <= mean, low, MEAN + np.floor(STEPS * np.log2(1.0 + np.maximum(count - mean, 0)))), 255)
 
 
-def _sketch(found: DataFrame, bits: int) -> tuple[bytes, int]:
-    """The sketch as a byte a counter, and the level above which a token is frequent: more than 12 deviations above what other tokens bring to a counter. Rows of the tasks' sketches are merged up a tree of fan-in FAN."""
+def most_of(level: np.ndarray) -> np.ndarray:
+    """Documents that a token above the mean may be expected to have."""
+    return 2.0 ** ((np.asarray(level, float) - MEAN + 1) / STEPS) - 1
+
+
+def _sketch(found: DataFrame, bits: int) -> tuple[bytes, Heaviest, int]:
+    """The sketch as a byte a counter, the heaviest tokens, and the level above which a token is frequent: more than 12 deviations above what other tokens bring to a counter. Rows of the tasks' sketches are merged up a tree of fan-in FAN."""
     rows = found.where("at IS NOT NULL").select("task", "at", "counts")
-    tasks = (rows.agg(F.max("task")).first()[0] or 0) + 1
+    tasks, total = found.agg(F.max("task") + 1, F.sum("n")).first()
+    tasks, mean = tasks or 1, (total or 0) / (1 << bits)
     while tasks > FAN:
         tasks = math.ceil(tasks / FAN)
         rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).repartition("at", "task").mapInPandas(_sum_rows, "task int, at int, counts binary")
-    levels, total = np.zeros(1 << bits, np.uint8), 0
-    for r in rows.repartition("at").mapInPandas(_levels, "at int, levels binary, total bigint").collect():
+    heaviest = Heaviest()
+    for r in rows.where(F.col("at") == _HEAVIEST).collect():  # FAN rows of up to HEAVY tokens
+        heaviest.merge(Heaviest.unpacked(r["counts"]))
+    levels = np.zeros(1 << bits, np.uint8)
+    for r in rows.where(F.col("at") != _HEAVIEST).repartition("at").mapInPandas(_levels(mean, heaviest, bits), "at int, levels binary").collect():
         levels[r["at"] * _ROW : (r["at"] + 1) * _ROW] = np.frombuffer(r["levels"], np.uint8)
-        total += r["total"]
-    mean = total / (1 << bits)
-    return levels.tobytes(), int(level_of(mean + 12 * mean**0.5 + 8))
+    return levels.tobytes(), heaviest, int(level_of(mean + 12 * mean**0.5 + 8, mean))
 
 
 class Postings:
-    """The index entries of sets of tokens; levels is the sketch, tokens above `rare` are of class 2, those above `often` of class 3."""
+    """The index entries of sets of tokens; levels is the sketch, of all tokens but the heaviest, whose counts are known; tokens above `rare` are of class 2, those above `often` of class 3."""
 
-    def __init__(self, levels: np.ndarray, rare: int, often: int, percent: int):
+    def __init__(self, levels: np.ndarray, heaviest: Heaviest, rare: int, often: int, percent: int):
         self.levels, self.rare, self.often, self.percent = levels, rare, often, percent
+        self.heavy, self.heavy_levels = heaviest.keys, level_of(heaviest.counts).astype(np.uint8)
         self.shift = np.uint64(64 - int(math.log2(len(levels))))
 
+    def level(self, tokens: np.ndarray) -> np.ndarray:
+        level = self.levels[(tokens >> self.shift).astype(np.int64)]
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, tokens), len(self.heavy) - 1)
+            level = np.where(self.heavy[at] == tokens, self.heavy_levels[at], level)
+        return level
+
     def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(keys, places, levels) of a sorted set. A place says: if two similar sets share no earlier entry, so many of this one's tokens are not shared. A level bounds the documents that have the entry."""
         n = len(tokens)
         p = n - _least(n, self.percent) + 1
         powers = range(n.bit_length() - 1, (n * 100 // self.percent).bit_length())
         more = {power: m2 + 2 * m3 for power in powers for m2, m3 in (groups(power, self.percent),)}
-        level = self.levels[(tokens >> self.shift).astype(np.int64)]
+        level = self.level(tokens)
         order = np.argsort(level, kind="stable")[: p + max(more.values())]  # tokens are sorted by hash already
         first, level = tokens[order], level[order]
         single = int(np.searchsorted(level[:p], self.rare, side="right"))
@@ -194,11 +271,11 @@ class Postings:
         return np.concatenate(keys), np.concatenate(places), np.concatenate(levels)
 
 
-def _postings(sketch, rare: int, often: int, width: int, percent: int, most: int):
-    """(cell, list, node, n, at) of the index, once per node and task. cell: the list's key or, of a list that is dealt over cells, the cell's; list: the key of a list that is dealt, else null. A list is dealt if more than `most` documents are expected in it."""
+def _postings(sketch, heaviest: Heaviest, rare: int, often: int, width: int, percent: int, most: int):
+    """(cell, list, node, n, at) of the index, once per node and task. cell: the list's key or, of a list that is dealt over cells, the cell's; list: the key of a list that is dealt, else null. A list is dealt if its token is frequent and more than `most` documents are expected in it; a rare token's is short, whatever its counter holds."""
 
     def postings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, seen = Postings(np.frombuffer(sketch.value, np.uint8), rare, often, percent), set()
+        index, seen = Postings(np.frombuffer(sketch.value, np.uint8), heaviest, rare, often, percent), set()
         for whole in parts:
             for at in range(0, len(whole), SLICE):
                 keys, places, levels, nodes, sizes = [], [], [], [], []
@@ -213,7 +290,8 @@ def _postings(sketch, rare: int, often: int, width: int, percent: int, most: int
                 if keys:
                     times = [len(k) for k in keys]
                     key, node = np.concatenate(keys), np.repeat(np.array(nodes, np.int64), times)
-                    cells = np.ceil((2.0 ** ((np.concatenate(levels) + 1.0) / STEPS) - 1) / most).astype(np.uint64)
+                    level = np.concatenate(levels)
+                    cells = np.where(level > rare, np.ceil(most_of(level) / most), 1).astype(np.uint64)
                     dealt = cells > 1
                     cell = key.copy()
                     cell[dealt] = mix(key[dealt] + (mix(node[dealt].view(np.uint64)) % cells[dealt] + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03))
@@ -305,6 +383,57 @@ def _open_pairs(index: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _bits_of(ids: np.ndarray, bits: int) -> np.ndarray:
+    """Four bits that stand for each id."""
+    keys = ids.astype(np.int64).view(np.uint64)
+    return np.concatenate([(mix(keys + np.uint64(seed)) >> np.uint64(64 - bits)).astype(np.int64) for seed in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1B54A32D192ED03)])
+
+
+def id_filter(ids: DataFrame, n: int) -> tuple[bytes, int]:
+    """(filter, its bits as a power of two): a Bloom filter of n ids (doc_id, a written table), made by tasks and merged piece by piece."""
+    bits = min(max(math.ceil(math.log2(FILTER_BITS * n + 1)), 16), MOST_FILTER_BITS)
+
+    def make(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(1 << (bits - 3), np.uint8)
+        for pdf in parts:
+            on = _bits_of(pdf["doc_id"].to_numpy(np.int64), bits)
+            np.bitwise_or.at(own, on >> 3, (1 << (on & 7)).astype(np.uint8))
+        for at in range(0, len(own), _ROW):
+            if own[at : at + _ROW].any():
+                yield pd.DataFrame({"at": [at], "part": [own[at : at + _ROW].tobytes()]})
+
+    def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[int, np.ndarray] = {}
+        for pdf in parts:
+            for at, part in zip(pdf["at"], pdf["part"], strict=True):
+                part = np.frombuffer(part, np.uint8)
+                found[at] = found[at] | part if at in found else part
+        for at, part in found.items():
+            yield pd.DataFrame({"at": [at], "part": [part.tobytes()]})
+
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    schema = "at bigint, part binary"
+    for r in ids.where("doc_id IS NOT NULL").mapInPandas(make, schema).repartition("at").mapInPandas(merge, schema).collect():
+        whole[r["at"] : r["at"] + len(r["part"])] = np.frombuffer(r["part"], np.uint8)
+    return whole.tobytes(), bits
+
+
+def texts_of(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) whose id is in needed (a written table). Where the ids are too many to be broadcast, rows that a filter of them rules out stay where they are, and only the others move."""
+    if bytes_of(needed) <= C.BROADCAST_BYTES:
+        return rows.join(F.broadcast(needed), "doc_id", "left_semi")
+    made, bits = id_filter(needed, needed.count())
+    sent = rows.sparkSession.sparkContext.broadcast(made)
+
+    def keep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.frombuffer(sent.value, np.uint8)
+        for pdf in parts:
+            on = _bits_of(pdf["doc_id"].to_numpy(np.int64), bits)
+            yield pdf[((own[on >> 3] >> (on & 7).astype(np.uint8)) & 1).reshape(4, -1).all(0)]
+
+    return rows.where("doc_id IS NOT NULL").mapInPandas(keep, rows.schema).join(needed, "doc_id", "left_semi")
+
+
 def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id reachable by links, itself included.
 
@@ -321,10 +450,10 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     bits = min(max(math.ceil(math.log2(chars / SKETCH_CHARS + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
     found = stash(rows.mapInPandas(_survey(width, bits), "doc_id bigint, n bigint, node bigint, task int, at int, counts binary"), "survey")
     docs = found.where("at IS NULL").select("doc_id", "n", "node")
-    levels, rare = _sketch(found, bits)
+    levels, heaviest, rare = _sketch(found, bits)
     sketch = spark.sparkContext.broadcast(levels)
     often = rare + int(STEPS * math.log2(CLASS_3))
-    lists = rows.mapInPandas(_postings(sketch, rare, often, width, percent, CELL), "cell bigint, list bigint, node bigint, n int, at int")
+    lists = rows.mapInPandas(_postings(sketch, heaviest, rare, often, width, percent, CELL), "cell bigint, list bigint, node bigint, n int, at int")
     by = Window.partitionBy("cell")
     own = F.struct("node", "n", "at")
     # of a cell, the node with the fewest tokens of its own stands nearest to all others; another one is its smallest
@@ -340,13 +469,16 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     # written, as a semi-join would else be pushed below the grouping and bring all copies of a text to one task
     reps = stash(docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The sets (node, tokens) of the nodes in pairs, from one document each."""
+    def sets_of(pairs: DataFrame, have: DataFrame | None = None) -> DataFrame:
+        """The sets (node, tokens) of the nodes in pairs, from one document each; those that `have` holds are not made again."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = nodes if have is None else nodes.join(have.select("node"), "node", "left_anti")
         needed = stash(reps.join(nodes, "node", "left_semi").select("doc_id").distinct(), "needed")
-        out = stash(join_small(rows, needed, ["doc_id"], F.col("doc_id"), how="left_semi", salts=1).mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
+        if have is not None and not needed.take(1):
+            return have
+        out = stash(texts_of(rows, needed).mapInPandas(_sets(width), "node bigint, tokens binary"), "sets")
         drop(needed)
-        return out
+        return out if have is None else have.unionByName(out)
 
     sets = sets_of(first)
     links = stash(_verify(first, sets, percent), "star-links")
@@ -355,7 +487,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     rest = _open_pairs(index.where("rows > 2 OR list IS NOT NULL"), comp, percent)
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = stash(rest.join(done, ["a", "b"], "left_anti"), "open-pairs")
-    others = sets_of(second)
+    others = sets_of(second, sets)
     more = stash(_verify(second, others, percent), "open-links")
     final = components(links.unionByName(more))
     named = reps.join(final, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("comp"))

@@ -44,8 +44,8 @@ def domains_of(host: Column) -> Column:
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
-    """(rule, domain, prefix, valid_from, valid_to): from entries (domain, prefix, action, listed_at). An `add` holds from its time until the next entry of the same domain and prefix; `remove` ends it. Entries at the same time: `remove` wins. Null domains, times or actions are left out, a null prefix is `/`."""
-    clean = entries.where("domain IS NOT NULL AND listed_at IS NOT NULL AND action IN ('add', 'remove')").select(F.lower("domain").alias("domain"), F.coalesce("prefix", F.lit("/")).alias("prefix"), "action", F.col("listed_at").cast("timestamp").alias("valid_from"))
+    """(rule, domain, prefix, valid_from, valid_to): from entries (domain, prefix, action, listed_at). An `add` holds from its time until the next entry of the same domain and prefix; `remove` ends it. Entries at the same time: `remove` wins. Null domains and actions, and times that are null or no times, are left out; a null prefix is `/`."""
+    clean = entries.where("domain IS NOT NULL AND action IN ('add', 'remove')").select(F.lower("domain").alias("domain"), F.coalesce("prefix", F.lit("/")).alias("prefix"), "action", F.col("listed_at").try_cast("timestamp").alias("valid_from")).where("valid_from IS NOT NULL")
     one = clean.groupBy("domain", "prefix", "valid_from").agg(F.max("action").alias("action"))
     after = Window.partitionBy("domain", "prefix").orderBy("valid_from")
     ends = one.withColumn("valid_to", F.coalesce(F.lead("valid_from").over(after), F.lit(OPEN_END).cast("timestamp")))
@@ -64,11 +64,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     """Each capture with the rules active for it when it was fetched: id, host, fetched_at, blocked, n_rules, first_rule.
 
     A rule applies if its domain is the capture's host or a parent domain of it, its prefix starts the path, and valid_from <=
-    fetched_at < valid_to. first_rule is the smallest of them by code point. Captures without URL, host or time are not
-    blocked. One row per input row, repeated ids included; other columns are ignored; an empty list blocks nothing. Times may
+    fetched_at < valid_to. first_rule is the smallest of them by code point. Captures without URL or host, or whose
+    time is none, are not blocked. One row per input row, repeated ids included; other columns are ignored; an empty list blocks nothing. Times may
     lie however far apart.
     """
-    at = F.col(time_col).cast("timestamp")
+    at = F.col(time_col).try_cast("timestamp")
     rows = captures.select(F.col(f"`{id_col}`").alias("_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("_path"), at.alias("fetched_at"))
     rules = stash(rules_of(entries).withColumnRenamed("domain", "_domain"), "rules")
     lengths = stash(rules.groupBy("_domain").agg(F.collect_set(F.length("prefix")).alias("lengths")), "prefix-lengths")
