@@ -422,6 +422,7 @@ class HalfParsingDetector:
             raise ValueError("no answer")
         if kind == 1 or (kind == 2 and not again):
             return "cannot tell"
+        self.seen = None  # an equal chunk after this one begins anew
         return "\n".join(f for f, t in LEXICON.items() if t in chunk.lower()) or "no_flag"
 
 

@@ -4,11 +4,14 @@ import sys
 import threading
 import time
 
+import duckdb
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from tamis import run_queries  # noqa: F401
 from tamis.operators.detection import Backoff, Pool, ServiceDetector, detect
+from tamis.queries import ORACLES, QUERIES
 from tamis.schemas import Taxonomy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -121,3 +124,23 @@ def test_a_throttled_service_is_asked_again_and_other_errors_are_not():
 def test_at_least_one_call(spark):
     with pytest.raises(ValueError):
         detect(spark.range(1).select(F.lit("x").alias("prompt")), Slow, Taxonomy(), in_flight=0)
+
+
+def against_sql(spark, folder, name, texts):
+    """The rows of a query over documents in one partition, which are those of its SQL."""
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    df = QUERIES[name](spark, str(folder))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    got = sorted(map(tuple, df.collect()))
+    assert got == sorted(con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLES[name]})").fetchall())
+    return got
+
+
+#: Equal texts beside each other, of each length that the detector of the queries tells apart.
+EQUAL = [t for t in ("abcd", "abcde", "ab", "abc") for _ in range(3)] + ["ab", "abcdef", "ab", "ab"]
+
+
+def test_equal_chunks_beside_each_other_take_as_many_attempts(spark, tmp_path):
+    got = against_sql(spark, tmp_path, "q_detect_chunks", EQUAL)
+    assert [r[2] for r in got] == [1] * 3 + [2] * 6 + [1] * 3 + [2] * 4
