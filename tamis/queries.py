@@ -410,17 +410,18 @@ def q_screen_report(spark, sf_dir):
 
 
 class HalfParsingDetector:
-    """Answers that fail for texts of some lengths: never parsed, parsed at the second attempt, or an exception."""
+    """Answers that fail for texts of some lengths: never parsed, parsed at the second attempt of those that a chunk has, or an exception."""
 
-    def __init__(self):
-        self.seen = None
+    def __init__(self, attempts: int = 2):
+        self.attempts, self.seen, self.calls = attempts, None, 0
 
     def detect(self, chunk: str) -> str:
-        kind, again = len(chunk) % 4, self.seen == chunk
+        kind = len(chunk) % 4
+        self.calls = self.calls + 1 if self.seen == chunk and self.calls < self.attempts else 1
         self.seen = chunk
         if kind == 3:
             raise ValueError("no answer")
-        if kind == 1 or (kind == 2 and not again):
+        if kind == 1 or (kind == 2 and self.calls == 1):
             return "cannot tell"
         self.seen = None  # an equal chunk after this one begins anew
         return "\n".join(f for f, t in LEXICON.items() if t in chunk.lower()) or "no_flag"

@@ -334,7 +334,7 @@ def q_json_retry(spark, sf_dir):
     """)
 def q_one_attempt(spark, sf_dir):
     chunks = with_prompts(S.chunks_of(documents(spark, sf_dir), SETTINGS)).select("doc_id", "chunk_index", "prompt")
-    return detect(chunks, HalfParsingDetector, Taxonomy(), attempts=1).select("doc_id", "chunk_index", "parsed", "error", joined("flags"))
+    return detect(chunks, lambda: HalfParsingDetector(attempts=1), Taxonomy(), attempts=1).select("doc_id", "chunk_index", "parsed", "error", joined("flags"))
 
 
 class WordDetector:

@@ -144,3 +144,8 @@ EQUAL = [t for t in ("abcd", "abcde", "ab", "abc") for _ in range(3)] + ["ab", "
 def test_equal_chunks_beside_each_other_take_as_many_attempts(spark, tmp_path):
     got = against_sql(spark, tmp_path, "q_detect_chunks", EQUAL)
     assert [r[2] for r in got] == [1] * 3 + [2] * 6 + [1] * 3 + [2] * 4
+
+
+def test_equal_chunks_beside_each_other_have_one_attempt_each(spark, tmp_path):
+    got = against_sql(spark, tmp_path, "q_one_attempt", EQUAL)
+    assert [r[2] for r in got] == [True] * 3 + [False] * 13
