@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.functions.text import let
 from tamis.llm.topk_search import topk_search
 from tamis.llm.embedding_dedup import embedding_near_duplicates
 from tamis.llm.secrets import scan_secrets
@@ -50,16 +51,22 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"), *tokenizer())
 
 
-#: What of a page is not shown, and the tags that end a line.
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<!--.*?-->"
-_LINE_ENDS = r"(?i)</?(p|br|li|ul|ol|div|nav|article|section|header|footer|table|tr|h[1-6])\b[^>]*>"
+#: What of a page is not shown, and the tags that end a line. A pattern that begins with one character looks for the rest only where that stands; white space, ends of words and the long s are what they are in SQL.
+_HIDDEN = r"(?is)<(?:[sſ]cript(?!\w).*?</[sſ]cript[\t\n\f\r ]*>|[sſ]tyle(?!\w).*?</[sſ]tyle[\t\n\f\r ]*>|head(?!\w).*?</head[\t\n\f\r ]*>|!--.*?-->)"
+_LINE_ENDS = r"(?i)</?(?:p|br|li|ul|ol|div|nav|article|[sſ]ection|header|footer|table|tr|h[1-6])(?!\w)[^>]*>"
 _TAGS = r"<[^>]*>"
 
 
 def visible_lines(html: Column) -> Column:
-    """The text of a page, a line for each block that is not blank."""
+    """The text of a page, a line for each block that is not blank. A line loses white space before it (the first one: none) and blanks after it (the last one: none)."""
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, _HIDDEN, ""), _LINE_ENDS, "\n"), _TAGS, "")
-    return F.regexp_replace(F.regexp_replace(text, r"[ \t\r]*\n\s*", "\n"), r"^\n|\n$", "")
+
+    def shown(lines: Column) -> Column:
+        begun = lambda x, i: F.when(i > 0, F.ltrim(x, F.lit("\t\n\f\r "))).otherwise(x)
+        ended = lambda x, i: F.when(i < F.size(lines) - 1, F.rtrim(x, F.lit("\t\r "))).otherwise(x)
+        return F.array_join(F.filter(F.transform(lines, lambda x, i: ended(begun(x, i), i)), lambda x: x != ""), "\n")
+
+    return let(F.split(text, "\n", -1), shown)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

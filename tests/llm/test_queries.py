@@ -5,17 +5,19 @@ import os
 import random
 import re
 import string
+import time
 import zlib
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF
 from tamis.llm import quality, secrets
 from tamis.llm.language_id import fit_language_model
-from tamis.llm.queries import ORACLES, QUERIES, tokenizer
+from tamis.llm.queries import ORACLES, QUERIES, tokenizer, visible_lines
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +41,28 @@ def test_query_against_sql(spark, con, name):
     assert sorted(map(repr, (tuple(r) for r in df.select(*cols).collect()))) == sorted(repr(tuple(None if v is pd.NA or v is None else v for v in r)) for r in want)
 
 
+ODD_HTML = ["<p>", "</p>", "<P class='a'>", "<pé>", "<pre>", "<p_>", "<br/>", "<br", "<h1>", "<h7>", "<script>", "</SCRIPT \n>", "</script\x0b>", "<ſcript>", "</ſcript>", "<ſection>", "<style>", "</style>", "<head>", "</head>", "<header>", "<!--", "-->", "<", ">", "<di", "v>", "<b>", " ", "  ", "\t", "\r", "\n", "\r\n", "\f", "\x0b", "\x85", "\xa0", "\u2028", "a", "bc d", "é", "😀", "x\n"]
+
+
+def test_lines_of_odd_pages_are_those_of_the_sql(spark, tmp_path):
+    rng = random.Random(5)
+    pages = [(k, f"https://{k % 40}.example.org/", "".join(rng.choice(ODD_HTML) for _ in range(rng.randint(0, 25)))) for k in range(2000)]
+    pages += [(2000, None, None), (2001, "x", ""), (2002, None, "\n\x0b"), (2003, "x", "a\n\u2028")]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    df = QUERIES["op4_line_dedup"](spark, str(tmp_path))
+    want = c.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLES['op4_line_dedup']})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_time_of_a_page_is_in_proportion_to_its_blanks(spark):
+    pages = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.lit(200_000)), F.lit("b<p> c")).alias("html"))
+    began = time.monotonic()
+    assert pages.select(F.length(visible_lines(F.col("html")))).first()[0] == 200_004
+    assert time.monotonic() - began < 5
+
+
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 3 == 1
 
